@@ -1,3 +1,11 @@
 """Document-audit analytics expressed as Spark DataFrame operators."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Functions that run in Python workers travel with the job, so the executors
+# need numpy and pyarrow but no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -30,11 +30,14 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
     return spark
 
 
+_local: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the one the cluster names for checkpoints.
 
     Only where ``spark.checkpoint.dir`` is unset, as on a single machine, a
-    temporary folder takes its place and is remembered for the session.
+    temporary folder takes its place and is kept for the session.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
@@ -42,6 +45,7 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="casewright-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        app = spark.sparkContext.applicationId
+        base = _local.setdefault(app, "") or tempfile.mkdtemp(prefix="casewright-")
+        _local[app] = base
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
