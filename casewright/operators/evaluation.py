@@ -83,26 +83,17 @@ def ngram_overlap(pairs: DataFrame, max_n: int = 1) -> DataFrame:
             "pair_id", tokens(F.col(side)).alias("t"), F.lit(side == "candidate").alias("mine")
         )
 
+    def numbered(n: int) -> Column:
+        return F.transform(
+            _ngrams(F.col("t"), n),
+            lambda g: F.struct(F.lit(n).alias("n"), g.alias("gram")),
+        )
+
+    orders = F.flatten(F.array(*map(numbered, range(1, max_n + 1))))
     exploded = (
         grams("candidate")
         .unionByName(grams("reference"))
-        .select(
-            "pair_id",
-            "mine",
-            F.inline(
-                F.flatten(
-                    F.array(
-                        *[
-                            F.transform(
-                                _ngrams(F.col("t"), n),
-                                lambda g, n=n: F.struct(F.lit(n).alias("n"), g.alias("gram")),
-                            )
-                            for n in range(1, max_n + 1)
-                        ]
-                    )
-                )
-            ),
-        )
+        .select("pair_id", "mine", F.inline(orders))
     )
     counts = exploded.groupBy("pair_id", "n", "gram").agg(
         F.count_if("mine").alias("c"), F.count_if(~F.col("mine")).alias("r")

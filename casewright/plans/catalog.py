@@ -1008,7 +1008,7 @@ def stream_sessions(spark, d):
         F.col("turn").alias("id"),
         F.col("conv_id").cast("string").alias("session_id"),
         sessions.message_json(F.col("role"), F.col("text")).alias("message_data"),
-        F.timestamp_millis(F.col("turn") * 60_000).alias("created_at"),
+        F.timestamp_seconds(F.lit(1_704_067_200) + F.col("turn") * 60).alias("created_at"),
     )
     jobs.append_sessions(messages, path, f"{path}-checkpoint")
     return spark.read.parquet(path).select("session_id", "id", "message_data")

@@ -117,7 +117,7 @@ _DECLARATION_HTML = (
     "'<table>' || "
     + " || ".join(
         f"CASE WHEN {cond} THEN "
-        + (_TH if i == 0 else _TD).format(row.replace(" %", "&nbsp;%"))
+        + (_TH if i == 0 else _TD).format(row.replace(" %|", "&nbsp;%|"))
         + " ELSE '' END"
         for i, (row, cond) in enumerate(_DECLARATION_ROWS)
     )
@@ -305,15 +305,15 @@ WITH RECURSIVE parts AS (
   SELECT doc_id AS id, list_filter(list_transform(string_split(text, chr(10)),
            lambda x: {_strip('x')}), lambda x: x <> '') AS ps FROM documents),
 walk AS (
-  SELECT id, ps, 1 AS at, 0 AS chunk_no, CAST(length(ps[1]) // 4 AS BIGINT) AS used
+  SELECT id, ps, 1 AS pos, 0 AS chunk_no, CAST(length(ps[1]) // 4 AS BIGINT) AS used
   FROM parts WHERE len(ps) > 0
   UNION ALL
-  SELECT id, ps, at + 1,
-         CASE WHEN used + length(ps[at + 1]) // 4 > 128 THEN chunk_no + 1 ELSE chunk_no END,
-         CASE WHEN used + length(ps[at + 1]) // 4 > 128 THEN length(ps[at + 1]) // 4
-              ELSE used + length(ps[at + 1]) // 4 END
-  FROM walk WHERE at < len(ps))
-SELECT id, chunk_no, string_agg(ps[at], chr(10) ORDER BY at) AS text FROM walk GROUP BY id, chunk_no
+  SELECT id, ps, pos + 1,
+         CASE WHEN used + length(ps[pos + 1]) // 4 > 128 THEN chunk_no + 1 ELSE chunk_no END,
+         CASE WHEN used + length(ps[pos + 1]) // 4 > 128 THEN length(ps[pos + 1]) // 4
+              ELSE used + length(ps[pos + 1]) // 4 END
+  FROM walk WHERE pos < len(ps))
+SELECT id, chunk_no, string_agg(ps[pos], chr(10) ORDER BY pos) AS text FROM walk GROUP BY id, chunk_no
 """
 
 # --- search ---------------------------------------------------------------------
@@ -508,7 +508,7 @@ m{n} AS (SELECT pair_id, sum(least(c{n}.n, r{n}.n)) AS m FROM c{n} JOIN r{n} USI
 _TRACES = """
 traces AS (
   SELECT event_id::VARCHAR AS request_id, 'tr-' || event_id AS trace_id,
-         epoch_ms(ts) AS timestamp_ms, CAST(round(value * 100) AS BIGINT) AS execution_time_ms,
+         epoch_us(ts) // 1000 AS timestamp_ms, CAST(round(value * 100) AS BIGINT) AS execution_time_ms,
          CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'OK' END AS status,
          event_type, user_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS kk
   FROM events)
