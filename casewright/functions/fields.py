@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from casewright.functions.elements import last_table
-from casewright.functions.html import table_cells
+from casewright.functions.html import cell_text, raw_cells, raw_rows
 from casewright.functions.paths import role
 from casewright.functions.text import let, strip
 
@@ -34,7 +34,9 @@ def parse_number(c: Column) -> Column:
     """Text to double: blanks around, underscores between digits, nan and inf.
 
     No thousands separators and no type suffixes; anything else is NULL.
+    Plain digits, by far the most common, take one test and one cast.
     """
+    simple = c.rlike(r"^-?[0-9]+(\.[0-9]+)?$")
 
     def convert(t: Column) -> Column:
         plain = t.rlike(r"^[+-]?(\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?$")
@@ -47,7 +49,7 @@ def parse_number(c: Column) -> Column:
             .when(unsigned == "nan", F.lit(float("nan")))
         )
 
-    return let(F.lower(strip(c)), convert)
+    return F.when(simple, c.try_cast("double")).otherwise(let(F.lower(strip(c)), convert))
 
 
 def invoice_fields(elements: Column, amount_col: int = 6, currency_col: int = 7) -> Column:
@@ -63,19 +65,28 @@ def invoice_fields(elements: Column, amount_col: int = 6, currency_col: int = 7)
         return none
 
     def read(cells: Column) -> Column:
-        amount = parse_number(F.get(cells, F.lit(amount_col - 1)))
-        currency = F.upper(F.get(cells, F.lit(currency_col - 1)))
-        return F.when(
-            amount.isNotNull() & currency.isNotNull(),
+        amount = parse_number(F.get(cells, F.lit(0)))
+        currency = F.upper(F.get(cells, F.lit(1)))
+        return let(
             F.struct(amount.alias("amount"), currency.alias("currency")),
-        ).otherwise(none)
+            lambda f: F.when(f["amount"].isNotNull() & f["currency"].isNotNull(), f).otherwise(none),
+        )
 
-    last_row = F.try_element_at(table_cells(last_table(elements)), F.lit(-1))
-    return F.coalesce(let(last_row, read), none)
+    # Only the two cells in question are turned into text.
+    last_row = raw_cells(F.try_element_at(raw_rows(last_table(elements)), F.lit(-1)))
+    wanted = let(
+        last_row,
+        lambda r: F.array(F.get(r, F.lit(amount_col - 1)), F.get(r, F.lit(currency_col - 1))),
+    )
+    return F.coalesce(let(F.transform(wanted, cell_text), read), none)
 
 
-def declaration_rows(cells: Column) -> Column:
-    """array<struct<field,amount,raw>> of the labelled rows below the header."""
+def declaration_rows(rows: Column) -> Column:
+    """array<struct<field,amount,raw,currency>> of the rows below the header.
+
+    ``rows`` holds the raw cells of all non-empty rows.  Rows with fewer than
+    three cells carry no amount: they have a NULL field and a NULL raw text.
+    """
 
     def label_field(label: Column) -> Column:
         out = F.when(F.lit(False), F.lit(None).cast("string"))
@@ -83,16 +94,25 @@ def declaration_rows(cells: Column) -> Column:
             out = out.when(label.contains(needle), F.lit(field))
         return out
 
-    data = F.filter(
-        F.slice(cells, F.lit(2), F.greatest(F.size(cells) - 1, F.lit(0))),
-        lambda r: F.size(r) >= 3,
-    )
+    def read(texts: Column) -> Column:
+        raw = F.get(texts, F.lit(1))
+        return F.struct(
+            F.when(
+                raw.isNotNull(), let(F.lower(F.get(texts, F.lit(0))), label_field)
+            ).alias("field"),
+            parse_number(raw).alias("amount"),
+            raw.alias("raw"),
+            F.get(texts, F.lit(2)).alias("currency"),
+        )
+
+    # Label, amount and currency are the only cells turned into text.
     return F.transform(
-        data,
-        lambda r: F.struct(
-            label_field(F.lower(F.get(r, F.lit(0)))).alias("field"),
-            parse_number(F.get(r, F.lit(2))).alias("amount"),
-            F.get(r, F.lit(2)).alias("raw"),
+        rows,
+        lambda r: let(
+            F.transform(
+                F.array(F.get(r, F.lit(0)), F.get(r, F.lit(2)), F.get(r, F.lit(3))), cell_text
+            ),
+            read,
         ),
     )
 
@@ -105,27 +125,29 @@ def declaration_fields(elements: Column) -> Column:
     stops the job.
     """
 
-    def read(rows: Column) -> Column:
-        def collect(entries: Column) -> Column:
+    def collect(rows: Column) -> Column:
+        # The header never counts as an amount, but if it is the only row it is
+        # also the last one and gives the currency.
+        entries = F.slice(rows, F.lit(2), F.greatest(F.size(rows) - 1, F.lit(0)))
+
+        def read(found: Column) -> Column:
             def last(field: str) -> Column:
-                hits = F.filter(entries, lambda e: e["field"] == field)
+                hits = F.filter(found, lambda e: e["field"] == field)
                 return F.try_element_at(hits, F.lit(-1))["amount"].alias(field)
 
-            last_row = F.try_element_at(rows, F.lit(-1))
-            currency = F.upper(F.get(last_row, F.lit(3)))
-            bad = F.filter(entries, lambda e: e["amount"].isNull())
+            currency = F.upper(F.try_element_at(rows, F.lit(-1))["currency"])
+            bad = F.filter(found, lambda e: e["raw"].isNotNull() & e["amount"].isNull())
             return F.struct(
                 *[last(field) for _, field in DECLARATION_LABELS],
                 F.when(currency != "", currency).alias("declaration_currency"),
                 F.transform(bad, lambda e: e["raw"]).alias("bad_amounts"),
             )
 
-        return let(declaration_rows(rows), collect)
+        return let(entries, read)
 
-    cells = F.coalesce(
-        table_cells(last_table(elements)), F.array().cast("array<array<string>>")
-    )
-    return let(F.filter(cells, lambda r: F.size(r) > 0), read)
+    raw = F.coalesce(raw_rows(last_table(elements)), F.array().cast("array<string>"))
+    rows = F.filter(F.transform(raw, raw_cells), lambda r: F.size(r) > 0)
+    return let(declaration_rows(rows), collect)
 
 
 def royalty_percentage(elements: Column) -> Column:

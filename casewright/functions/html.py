@@ -25,7 +25,10 @@ def _entity_tables() -> tuple[str, str, str]:
     Returns the names ending in a semicolon, the legacy names usable without
     one, and the numeric references below U+00A0, most of which are remapped.
     """
-    closed = {n: v for n, v in html5.items() if n.endswith(";")}
+    # Map lookups scan from the front, so the usual names come first.
+    usual = ("amp;", "nbsp;", "lt;", "gt;", "quot;", "apos;", "euro;", "pound;")
+    names = [*usual, *(n for n in html5 if n.endswith(";") and n not in usual)]
+    closed = {n: html5[n] for n in names}
     legacy = {n: v for n, v in html5.items() if not n.endswith(";")}
     low = {str(n): _html.unescape(f"&#{n};") for n in range(160)}
     return json.dumps(closed), json.dumps(legacy), json.dumps(low)
@@ -114,7 +117,18 @@ def unescape(c: Column) -> Column:
 
 def cell_text(c: Column) -> Column:
     """Visible text of an HTML fragment: no tags, no references, squeezed."""
-    return squeeze(unescape(F.regexp_replace(c, TAG, " ")))
+    untagged = F.when(c.contains("<"), F.regexp_replace(c, TAG, " ")).otherwise(c)
+    return squeeze(unescape(untagged))
+
+
+def raw_rows(c: Column) -> Column:
+    """array<string>: inner HTML of the rows of a table."""
+    return F.regexp_extract_all(c, F.lit(ROW), F.lit(1))
+
+
+def raw_cells(row: Column) -> Column:
+    """array<string>: inner HTML of the cells of a row."""
+    return F.regexp_extract_all(row, F.lit(CELL), F.lit(1))
 
 
 def table_cells(c: Column) -> Column:
@@ -123,10 +137,7 @@ def table_cells(c: Column) -> Column:
     Rows without cells are kept as empty arrays, so a caller can tell a row
     without cells from a missing row.
     """
-    return F.transform(
-        F.regexp_extract_all(c, F.lit(ROW), F.lit(1)),
-        lambda row: F.transform(F.regexp_extract_all(row, F.lit(CELL), F.lit(1)), cell_text),
-    )
+    return F.transform(raw_rows(c), lambda row: F.transform(raw_cells(row), cell_text))
 
 
 # --- whole pages ------------------------------------------------------------

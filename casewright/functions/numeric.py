@@ -41,10 +41,10 @@ TOKENS_PER_SECOND = 65
 def reserved_cost(units: Column, hours: Column, unit_hour_rate: Column) -> Column:
     """struct<total_cost,total_tokens,cost_per_million> of reserved capacity."""
     cost = units * hours * unit_hour_rate
-    served = units * F.lit(TOKENS_PER_SECOND) * F.lit(3600) * hours
+    served = units.cast("long") * TOKENS_PER_SECOND * 3600 * hours
     return F.struct(
         cost.cast("double").alias("total_cost"),
-        served.cast("long").alias("total_tokens"),
+        served.alias("total_tokens"),
         (F.try_divide(cost, served) * 1_000_000).cast("double").alias("cost_per_million"),
     )
 

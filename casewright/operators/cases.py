@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,14 +71,18 @@ def pending_documents(parsed: DataFrame, run: int) -> DataFrame:
     return parsed.where(this_run & F.col("parsed_content_translated").isNull())
 
 
+@lru_cache(maxsize=4)
+def _metadata_column(path: str, content: str) -> Column:
+    """A large expression; built once per process and shared by all plans."""
+    return structured_metadata(F.col(path), document_elements(F.col(content)))
+
+
 def document_fields(parsed: DataFrame) -> DataFrame:
     """One row per document: case_id, path, the ten fields, bad_amounts."""
-    elements = document_elements(F.col("parsed_content_translated"))
-    path = F.col("path")
     return parsed.select(
-        paths.case_id(path).alias("case_id"),
+        paths.case_id(F.col("path")).alias("case_id"),
         "path",
-        structured_metadata(path, elements).alias("fields"),
+        _metadata_column("path", "parsed_content_translated").alias("fields"),
     ).select("case_id", "path", "fields.*")
 
 

@@ -25,6 +25,8 @@ from casewright.operators.ranking import top_k
 
 # A query set up to this many bytes is sent to the tasks whole.
 QUERY_BYTES = 32 << 20
+# Ranked hits up to this many rows (some 30 bytes each) are broadcast.
+HIT_ROWS = 1_000_000
 # Sizes of the blocks beyond that.
 CORPUS_BLOCK = 100_000
 QUERY_BLOCK = 2_000
@@ -127,14 +129,12 @@ def blocked_top_k(
     if whole:
         rows = queries.collect()
         columns = {n: [r[n] for r in rows] for n in names}
-        if not rows:
-            columns = {n: [] for n in names}
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            prepared = prepare(columns)
             best = _Best(len(columns["query_id"]), k)
-            for batch in batches:
-                if best.scores:
+            if best.scores:
+                prepared = prepare(columns)
+                for batch in batches:
                     table = pa.Table.from_batches([batch])
                     _score_table(table, prepared, best, scorer, width(prepared))
             yield from best.rows(columns["query_id"], schema).to_batches()
@@ -201,12 +201,9 @@ def _similarity(metric: str) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
     if metric == "dot":
         return lambda a, b: a @ b.T
     if metric == "l2":
-        # Negated distance, so that greater is better for every metric.
-        return lambda a, b: -np.sqrt(
-            np.maximum(
-                (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T), 0.0
-            )
-        )
+        # Negated distance, so that greater is better for every metric.  Plain
+        # differences: expanding the square would lose the digits of small ones.
+        return lambda a, b: -np.stack([np.linalg.norm(a - q, axis=1) for q in b], axis=1)
     raise ValueError(f"unknown metric {metric!r}")
 
 
@@ -293,9 +290,13 @@ def keyword_search(
     asked = queries.select(
         "query_id", F.explode(F.array_distinct(tokens(F.col("text")))).alias("term")
     )
+    bytes_ = queries.agg(F.sum(F.length("text").cast("long") * 4 + 64)).first()[0] or 0
+    vocabulary = asked.select("term").distinct()
+    if bytes_ <= query_bytes:
+        vocabulary = F.broadcast(vocabulary)
     frequencies = (
         rows.select(F.explode(F.array_distinct("terms")).alias("term"))
-        .join(asked.select("term").distinct(), "term", "left_semi")
+        .join(vocabulary, "term", "left_semi")
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"))
     )
@@ -314,7 +315,6 @@ def keyword_search(
         "terms",
         (F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * length / F.lit(mean_length or 1.0))).alias("norm"),
     )
-    bytes_ = queries.agg(F.sum(F.length("text").cast("long") * 4 + 64)).first()[0] or 0
 
     def prepare(q: dict[str, list]) -> tuple:
         vocabulary = sorted({t for ts in q["terms"] for t in ts})
@@ -404,22 +404,37 @@ def token_jaccard(a: Column, b: Column) -> Column:
     )
 
 
+def attach(hits: DataFrame, corpus: DataFrame, n_queries: int, k: int) -> DataFrame:
+    """Corpus columns for the first ``k`` hits of each of ``n_queries`` queries.
+
+    The hits are at most ``k * n_queries`` rows.  Within a bound they are sent
+    to the corpus, whose texts then need no shuffle; beyond it, both sides are
+    shuffled by id.
+    """
+    few = hits.where(F.col("rank") <= k)
+    if k * n_queries <= HIT_ROWS:
+        few = F.broadcast(few)
+    return corpus.join(few, "id")
+
+
 def rerank(
     candidates: DataFrame,
     corpus: DataFrame,
     queries: DataFrame,
     k: int,
+    pool: int = 50,
     score: Callable[[Column, Column], Column] | None = None,
 ) -> DataFrame:
-    """Second stage: score the candidate pool again and keep the best ``k``.
+    """Second stage: score the first ``pool`` candidates again, keep the best ``k``.
 
     Only the candidates' texts are read into the second score.  ``score`` takes
     the query text and the row text.
     """
     score = score or (lambda q, t: token_jaccard(tokens(q), tokens(t)))
-    pool = candidates.select("query_id", "id", F.col("rank").alias("first_rank"))
+    stage = candidates.select("query_id", "id", "rank")
     rescored = (
-        pool.join(corpus.select("id", "text"), "id")
+        attach(stage, corpus.select("id", "text"), queries.count(), pool)
+        .withColumnRenamed("rank", "first_rank")
         .join(queries.select("query_id", F.col("text").alias("_question")), "query_id")
         .select(
             "query_id",

@@ -10,21 +10,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from casewright.functions.elements import ELEMENT_TYPE
 
 _KEY_BITS = 40
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+_schemas: dict[str, StructType] = {}
 
 
-def _money(cents: Column) -> Column:
-    whole = F.floor(cents / 100).cast("long")
-    return F.concat(
-        whole.cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0")
-    )
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table; its schema is read from the files once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,148 +106,142 @@ def case_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The document generator is plain SQL text: one parse instead of hundreds of
+# column calls.  Names: k key, c cents, cur currency.
+_CUR = "element_at(array('eur', 'usd', 'gbp'), CAST(k % 3 + 1 AS INT))"
+_TAX_A = "c * 5 DIV 100"
+_TAX_B = "c * 3 DIV 100"
+_VAT = "c * 21 DIV 100"
+_ROYALTY = "c * (k % 9 * 2 + 1) DIV 200"
+_HAS_TAX_B = "k % 2 = 0"
+_HAS_ROYALTY = "k % 5 = 0 AND k % 15 <> 0"
+_TOTAL = (
+    f"c + {_TAX_A} + IF({_HAS_TAX_B}, {_TAX_B}, 0) + {_VAT} "
+    f"+ IF({_HAS_ROYALTY}, {_ROYALTY}, 0) + IF(k % 11 = 0, 1000, 0)"
+)
+
+
+def _money(cents: str) -> str:
+    return f"concat(({cents}) DIV 100, '.', lpad(CAST(({cents}) % 100 AS STRING), 2, '0'))"
+
+
+def _row(*cells: str, tag: str = "td", when: str | None = None) -> str:
+    """SQL for a table row of SQL cell expressions, empty unless ``when``."""
+    parts = ", ".join(f"'<{tag}>', {cell}, '</{tag}>'" for cell in cells)
+    row = f"concat('<tr>', {parts}, '</tr>')"
+    return row if when is None else f"IF({when}, {row}, '')"
+
+
+def _element(id_: str, kind: str, content: str) -> str:
+    return f"named_struct('id', {id_}, 'type', '{kind}', 'content', {content})"
+
+
+def _document(role: str, *elements: str) -> str:
+    return (
+        f"named_struct('path', concat('/cases/case_', k, '/{role}_', k, '.pdf'), "
+        f"'elements', CAST(array({', '.join(elements)}) AS array<{ELEMENT_TYPE}>))"
+    )
+
+
+_INVOICE = _document(
+    "invoice",
+    _element("'i0'", "section_header", "concat('Commercial invoice ', k)"),
+    _element(
+        "'i1'",
+        "text",
+        "concat('Goods sup-\\nplied by ', supplier, '.\\n  Article: ', part, '.')",
+    ),
+    _element("'i2'", "page_footer", "'Page 1'"),
+    _element("'i3'", "text", "''"),
+    _element(
+        "'i4'",
+        "table",
+        "concat('<table>', "
+        + ", ".join(
+            (
+                _row("'No'", "'Article'", "'Qty'", "'Unit'", "'Note'", "'Amount'", "'Cur'", tag="th"),
+                _row("'1'", "part", "quantity", "'pcs'", "'new &amp; boxed'", _money("c"), "cur"),
+                _row(
+                    "''", "''", "''", "''", "'<b>Total</b>'",
+                    f"concat(' ', {_money('c + IF(k % 7 = 0, 100, 0)')})", "cur",
+                ),
+            )
+        )
+        + ", '</table>')",
+    ),
+)
+_DECLARATION = _document(
+    "declaration",
+    _element("'d0'", "section_header", "concat('Import declaration ', k)"),
+    _element(
+        "CAST(NULL AS STRING)",
+        "table",
+        "concat('<table>', "
+        + ", ".join(
+            (
+                _row("'Item'", "'Base'", "'Amount'", "'Currency'", tag="th"),
+                _row("'Invoice'", "''", _money("c"), "cur"),
+                _row("'Tax A'", "'5&nbsp;%'", _money(_TAX_A), "cur"),
+                _row("'Tax B'", "'3&nbsp;%'", _money(_TAX_B), "cur", when=_HAS_TAX_B),
+                _row("'VAT'", "'21&nbsp;%'", _money(_VAT), "cur"),
+                _row("'Royalty'", "''", _money(_ROYALTY), "cur", when=_HAS_ROYALTY),
+                _row("'Total'", "''", _money(_TOTAL), "cur"),
+            )
+        )
+        + ", '</table>')",
+    ),
+)
+_ROYALTY_AGREEMENT = _document(
+    "royalty",
+    _element("'r0'", "section_header", "concat('Royalty agreement ', k)"),
+    _element(
+        "'r1'",
+        "text",
+        "concat('The licensee pays a royalty of ', k % 9, ',5 % on net sales.')",
+    ),
+)
+
+
 def parsed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parsed documents of all complete cases, one row per file."""
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     facts = (
         order_facts(spark, sf_dir)
         .where(F.col("cents").isNotNull())
-        .join(
-            table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"),
-            F.col("suppkey") == F.col("s_suppkey"),
-            "left",
-        )
-        .join(
-            table(spark, sf_dir, "part").select("p_partkey", "p_name"),
-            F.col("partkey") == F.col("p_partkey"),
-            "left",
+        .join(suppliers, F.col("suppkey") == F.col("s_suppkey"), "left")
+        .join(parts, F.col("partkey") == F.col("p_partkey"), "left")
+        .selectExpr(
+            "k",
+            "cents AS c",
+            "quantity",
+            "coalesce(s_name, 'unknown') AS supplier",
+            "coalesce(p_name, 'unknown') AS part",
+            f"{_CUR} AS cur",
+            "CAST(date_format(ordered, 'yyyyMMddHHmm') AS BIGINT) AS processed",
+            "element_at(array('en', 'es', 'fr', 'de'), CAST(k % 4 + 1 AS INT)) AS source_language",
         )
     )
-    k, c = F.col("k"), F.col("cents")
-    key = k.cast("string")
-    supplier = F.coalesce(F.col("s_name"), F.lit("unknown"))
-    part = F.coalesce(F.col("p_name"), F.lit("unknown"))
-    currency = F.element_at(F.array(*map(F.lit, ("eur", "usd", "gbp"))), (k % 3 + 1).cast("int"))
-    quantity = F.col("quantity").cast("string")
-
-    def element(id_: str | None, type_: str, content: Column) -> Column:
-        return F.struct(
-            F.lit(id_).cast("string").alias("id"),
-            F.lit(type_).alias("type"),
-            content.alias("content"),
-        )
-
-    def row(*cells: Column | str, tag: str = "td") -> Column:
-        parts: list[Column] = [F.lit("<tr>")]
-        for cell in cells:
-            value = F.lit(cell) if isinstance(cell, str) else cell
-            parts += [F.lit(f"<{tag}>"), value, F.lit(f"</{tag}>")]
-        return F.concat(*parts, F.lit("</tr>"))
-
-    def when_row(cond: Column, r: Column) -> Column:
-        return F.when(cond, r).otherwise(F.lit(""))
-
-    def html_table(*rows: Column) -> Column:
-        return F.concat(F.lit("<table>"), *rows, F.lit("</table>"))
-
-    def floor_div(n: Column, d: int) -> Column:
-        return ((n - n % d) / d).cast("long")
-
-    invoice_cents = c + F.when(k % 7 == 0, 100).otherwise(0)
-    tax_a = floor_div(c * 5, 100)
-    tax_b = floor_div(c * 3, 100)
-    vat = floor_div(c * 21, 100)
-    has_tax_b = k % 2 == 0
-    royalty_cents = floor_div(c * ((k % 9) * 2 + 1), 200)
-    has_royalty = (k % 5 == 0) & (k % 15 != 0)
-    total = (
-        c
-        + tax_a
-        + F.when(has_tax_b, tax_b).otherwise(0)
-        + vat
-        + F.when(has_royalty, royalty_cents).otherwise(0)
-        + F.when(k % 11 == 0, 1000).otherwise(0)
-    )
-    article = F.concat(
-        F.lit("Goods sup-\nplied by "), supplier, F.lit(".\n  Article: "), part, F.lit(".")
-    )
-    invoice = F.array(
-        element("i0", "section_header", F.concat(F.lit("Commercial invoice "), key)),
-        element("i1", "text", article),
-        element("i2", "page_footer", F.lit("Page 1")),
-        element("i3", "text", F.lit("")),
-        element(
-            "i4",
-            "table",
-            html_table(
-                row("No", "Article", "Qty", "Unit", "Note", "Amount", "Cur", tag="th"),
-                row("1", part, quantity, "pcs", "new &amp; boxed", _money(c), currency),
-                row("", "", "", "", "<b>Total</b>", F.concat(F.lit(" "), _money(invoice_cents)), currency),
-            ),
-        ),
-    )
-    declaration = F.array(
-        element("d0", "section_header", F.concat(F.lit("Import declaration "), key)),
-        element(
-            None,
-            "table",
-            html_table(
-                row("Item", "Base", "Amount", "Currency", tag="th"),
-                row("Invoice", "", _money(c), currency),
-                row("Tax A", "5&nbsp;%", _money(tax_a), currency),
-                when_row(has_tax_b, row("Tax B", "3&nbsp;%", _money(tax_b), currency)),
-                row("VAT", "21&nbsp;%", _money(vat), currency),
-                when_row(has_royalty, row("Royalty", "", _money(royalty_cents), currency)),
-                row("Total", "", _money(total), currency),
-            ),
-        ),
-    )
-    royalty = F.array(
-        element("r0", "section_header", F.concat(F.lit("Royalty agreement "), key)),
-        element(
-            "r1",
-            "text",
-            F.concat(
-                F.lit("The licensee pays a royalty of "),
-                (k % 9).cast("string"),
-                F.lit(",5 % on net sales."),
-            ),
-        ),
-    )
-
-    def document(role: str, elements: Column) -> Column:
-        path = F.concat(F.lit("/cases/case_"), key, F.lit(f"/{role}_"), key, F.lit(".pdf"))
-        return F.struct(path.alias("path"), elements.cast(f"array<{ELEMENT_TYPE}>").alias("elements"))
-
-    documents = F.array(
-        document("invoice", invoice),
-        document("declaration", declaration),
-        F.when(k % 5 == 0, document("royalty", royalty)),
-    )
-    language = F.element_at(
-        F.array(*map(F.lit, ("en", "es", "fr", "de"))), (k % 4 + 1).cast("int")
-    )
     return (
-        facts.select(
-            run_stamp(F.col("ordered")).alias("processed"),
-            language.alias("source_language"),
-            F.explode(F.filter(documents, lambda d: d.isNotNull())).alias("doc"),
+        facts.selectExpr(
+            "processed",
+            "source_language",
+            f"inline(array_compact(array({_INVOICE}, {_DECLARATION}, "
+            f"IF(k % 5 = 0, {_ROYALTY_AGREEMENT}, NULL)))) AS (path, elements)",
         )
-        .select(
-            F.col("doc.path").alias("path"),
-            F.to_json(
-                F.struct(F.struct(F.col("doc.elements").alias("elements")).alias("document"))
-            ).alias("parsed_content"),
+        .selectExpr(
+            "path",
+            "to_json(named_struct('document', named_struct('elements', elements))) "
+            "AS parsed_content",
             "processed",
             "source_language",
-            (F.col("source_language") != "en").alias("translation_applied"),
         )
-        .withColumn("parsed_content_translated", F.col("parsed_content"))
-        .select(
+        .selectExpr(
             "path",
             "parsed_content",
             "processed",
-            "parsed_content_translated",
+            "parsed_content AS parsed_content_translated",
             "source_language",
-            "translation_applied",
+            "source_language <> 'en' AS translation_applied",
         )
     )

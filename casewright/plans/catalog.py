@@ -700,7 +700,8 @@ def ann_lsh(spark, d):
 def retrieval_metrics(spark, d):
     vectors = _vectors(spark, d)
     hits = _knn(spark, d)
-    labelled = hits.join(vectors.select("id", "label"), "id").select(
+    n = vectors.select("label").distinct().count()
+    labelled = search.attach(hits, vectors.select("id", "label"), n, 10).select(
         "query_id", "rank", (F.col("label") == F.col("query_id")).alias("relevant")
     )
     totals = vectors.groupBy(F.col("label").alias("query_id")).agg(
@@ -824,7 +825,8 @@ def multi_query_fusion(spark, d):
 
 def _passages(spark: SparkSession, d: str, k: int) -> DataFrame:
     """Keyword hits with the columns of their documents."""
-    return _keyword(spark, d, k).join(_documents(spark, d, "lang", "source"), "id")
+    n = _questions(spark, d).count()
+    return search.attach(_keyword(spark, d, k), _documents(spark, d, "lang", "source"), n, k)
 
 
 @query
@@ -1039,15 +1041,16 @@ def stream_index_sync(spark, d):
 # --- the question set ---------------------------------------------------------
 
 
-def _case_documents(spark: SparkSession, d: str) -> DataFrame:
-    """Documents with the fields of their case, without the texts."""
+def _documents_with_rate(spark: SparkSession, d: str, rate: float) -> DataFrame:
+    """Documents of the cases with a royalty rate; the ids join without texts."""
     parsed = fixture.parsed_documents(spark, d)
     ids = parsed.select(
         paths.case_id(F.col("path")).alias("case_id"),
         paths.document_id(F.col("path")).alias("document_id"),
-        "source_language",
     )
-    return ids.join(cases.case_rollup(parsed), "case_id", "left")
+    rates = cases.case_rollup(parsed.where(paths.role(F.col("path")) == "royalty"))
+    found = rates.where(F.col("royalty_percentage") == rate).select("case_id")
+    return ids.join(found, "case_id", "left_semi").select("document_id")
 
 
 def _case_suppliers(spark: SparkSession, d: str) -> DataFrame:
@@ -1073,7 +1076,7 @@ def _by_supplier(spark: SparkSession, d: str, name: str, roles: tuple[str, ...])
 
 @query
 def q01(spark, d):
-    return _case_documents(spark, d).where(F.col("royalty_percentage") == 3.5).select("document_id")
+    return _documents_with_rate(spark, d, 3.5)
 
 
 @query
@@ -1083,8 +1086,7 @@ def q02(spark, d):
 
 @query
 def q03(spark, d):
-    rates = cases.document_fields(fixture.parsed_documents(spark, d))
-    return rates.where(F.col("royalty_percentage").isNotNull()).select("royalty_percentage").distinct()
+    return _royalty_documents(spark, d).select("royalty_percentage").distinct()
 
 
 @query
@@ -1095,8 +1097,9 @@ def q04(spark, d):
 
 
 def _royalty_documents(spark: SparkSession, d: str) -> DataFrame:
+    parsed = fixture.parsed_documents(spark, d)
     return (
-        cases.document_fields(fixture.parsed_documents(spark, d))
+        cases.document_fields(parsed.where(paths.role(F.col("path")) == "royalty"))
         .where(F.col("royalty_percentage").isNotNull())
         .select(paths.document_id(F.col("path")).alias("document_id"), "royalty_percentage")
     )
@@ -1139,7 +1142,7 @@ def q10(spark, d):
 
 @query
 def q11(spark, d):
-    return _case_documents(spark, d).where(F.col("royalty_percentage") == 99).select("document_id")
+    return _documents_with_rate(spark, d, 99.0)
 
 
 @query

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Recording the Python call site of every column call doubles planning time.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -23,6 +25,8 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
     builder = SparkSession.builder.master(f"local[{cores}]").appName("casewright")
     builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
     builder = builder.config("spark.driver.memory", memory)
+    # Small test tables cost CPU, not bytes: keep them on several cores.
+    builder = builder.config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

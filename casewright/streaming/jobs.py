@@ -9,8 +9,9 @@ neither loses nor repeats rows.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -74,9 +75,15 @@ def extract_pages(pages: DataFrame, path: str, checkpoint: str) -> StreamingQuer
     return run_available(rows, checkpoint, lambda df, n: write_batch(df, n, path))
 
 
+@lru_cache(maxsize=4)
+def _page_elements(html: str) -> Column:
+    """A large expression; built once per process and shared by all plans."""
+    return page_elements(F.col(html))
+
+
 def explode_page_elements(pages: DataFrame) -> DataFrame:
     """page_id, idx, type and content of every element of raw HTML pages."""
-    return pages.select("page_id", F.inline(page_elements(F.col("html")))).select(
+    return pages.select("page_id", F.inline(_page_elements("html"))).select(
         "page_id", F.col("id").cast("int").alias("idx"), "type", "content"
     )
 
