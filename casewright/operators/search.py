@@ -11,6 +11,7 @@ driver nor any task holds all of it.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -19,6 +20,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 from casewright.functions.text import tokens
 from casewright.operators.ranking import top_k
@@ -91,6 +94,12 @@ def _score_table(table: pa.Table, prepared: Any, best: _Best, scorer: Scorer, wi
         best.add(ids, scorer(part, prepared))
 
 
+def _columns(queries: DataFrame) -> dict[str, list]:
+    """A query set of checked size as columns on the driver."""
+    rows = queries.collect()
+    return {n: [r[n] for r in rows] for n in queries.columns}
+
+
 def _copies(n: int) -> Column:
     """One row per block number below ``n``."""
     return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
@@ -98,37 +107,32 @@ def _copies(n: int) -> Column:
 
 def blocked_top_k(
     corpus: DataFrame,
-    queries: DataFrame,
+    queries: DataFrame | dict[str, list],
+    query_type: DataType,
     k: int,
     prepare: Callable[[dict[str, list]], Any],
     scorer: Scorer,
     width: Callable[[Any], int],
-    whole: bool,
 ) -> DataFrame:
     """query_id, id, score and rank of the best ``k`` corpus rows per query.
 
-    ``corpus`` has ``id`` first and the columns of the scorer after it, and
-    ``queries`` has ``query_id`` first.  ``prepare`` turns query columns into
-    the scorer's form; ``width`` gives the matrix entries per corpus row.
-    ``whole`` says the caller has checked that all queries fit in one block.
+    ``corpus`` has ``id`` and the columns of the scorer.  ``queries`` is either
+    a dict of columns, when the caller has checked that all of them fit in one
+    block, or a DataFrame with ``query_id``.  ``prepare`` turns query columns
+    into the scorer's form; ``width`` gives the matrix entries per corpus row.
     """
     id_type = corpus.schema["id"].dataType
-    query_type = queries.schema["query_id"].dataType
     out_ddl = f"query_id {query_type.simpleString()}, id {id_type.simpleString()}, score double"
-    names = queries.columns
-
-    def arrow_type(t: Any) -> pa.DataType:
-        from pyspark.sql.pandas.types import to_arrow_type
-
-        return to_arrow_type(t)
-
     schema = pa.schema(
-        [("query_id", arrow_type(query_type)), ("id", arrow_type(id_type)), ("score", pa.float64())]
+        [
+            ("query_id", to_arrow_type(query_type)),
+            ("id", to_arrow_type(id_type)),
+            ("score", pa.float64()),
+        ]
     )
 
-    if whole:
-        rows = queries.collect()
-        columns = {n: [r[n] for r in rows] for n in names}
+    if isinstance(queries, dict):
+        columns = queries
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             best = _Best(len(columns["query_id"]), k)
@@ -141,6 +145,7 @@ def blocked_top_k(
 
         partial = corpus.mapInArrow(scan, out_ddl)
     else:
+        names = queries.columns
         n_corpus, n_queries = corpus.count(), queries.count()
         corpus_blocks = max(1, -(-n_corpus // CORPUS_BLOCK))
         query_blocks = max(1, -(-n_queries // QUERY_BLOCK))
@@ -244,9 +249,9 @@ def vector_search(
             scores = np.where(shared, scores, -np.inf)
         return scores
 
-    return blocked_top_k(
-        rows, asked, k, prepare, scorer, lambda p: p[0].shape[0], bytes_ <= query_bytes
-    )
+    query_type = asked.schema["query_id"].dataType
+    block = _columns(asked) if bytes_ <= query_bytes else asked
+    return blocked_top_k(rows, block, query_type, k, prepare, scorer, lambda p: p[0].shape[0])
 
 
 def label_centroids(vectors: DataFrame, label: str = "label") -> DataFrame:
@@ -284,36 +289,49 @@ def keyword_search(
     Rows without any query term are not hits.
     """
     rows = apply_filters(corpus, filters).select("id", tokens(F.col("text")).alias("terms"))
-    totals = rows.agg(
-        F.count(F.lit(1)).alias("n"), F.avg(F.size("terms")).alias("mean_length")
-    )
     asked = queries.select(
         "query_id", F.explode(F.array_distinct(tokens(F.col("text")))).alias("term")
     )
     bytes_ = queries.agg(F.sum(F.length("text").cast("long") * 4 + 64)).first()[0] or 0
-    vocabulary = asked.select("term").distinct()
-    if bytes_ <= query_bytes:
-        vocabulary = F.broadcast(vocabulary)
-    frequencies = (
-        rows.select(F.explode(F.array_distinct("terms")).alias("term"))
-        .join(vocabulary, "term", "left_semi")
+    whole = bytes_ <= query_bytes
+    vocabulary = asked.select("term").union(queries.sparkSession.range(1).select(F.lit(""))).distinct()
+    # One pass over the corpus: the document frequency of every query term, and
+    # under the empty term the number of texts and their total length.
+    statistics = (
+        rows.select(
+            F.explode(F.array_append(F.array_distinct("terms"), "")).alias("term"),
+            F.size("terms").cast("long").alias("length"),
+        )
+        .join(F.broadcast(vocabulary) if whole else vocabulary, "term", "left_semi")
         .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("df"))
+        .agg(F.count(F.lit(1)).alias("df"), F.sum("length").alias("length"))
     )
-    n, mean_length = totals.first()
-    idf = F.log1p((F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    # One array per query, no longer than the query itself.
-    weighted = (
-        asked.join(frequencies, "term")
-        .groupBy("query_id")
-        .agg(F.collect_list(F.struct("term", (idf * (k1 + 1)).alias("w"))).alias("tw"))
-        .select("query_id", F.col("tw.term").alias("terms"), F.col("tw.w").alias("weights"))
-    )
-    length = F.size("terms")
+
+    def idf(n: int, df: int) -> float:
+        return math.log1p((n - df + 0.5) / (df + 0.5)) * (k1 + 1)
+
+    if whole:
+        counted = {r["term"]: (r["df"], r["length"]) for r in statistics.collect()}
+        n, total = counted.get("", (0, 0))
+        block: dict[str, list] | DataFrame = {"query_id": [], "terms": [], "weights": []}
+        for r in asked.groupBy("query_id").agg(F.collect_list("term").alias("ts")).collect():
+            known = [t for t in r["ts"] if t in counted]
+            block["query_id"].append(r["query_id"])
+            block["terms"].append(known)
+            block["weights"].append([idf(n, counted[t][0]) for t in known])
+    else:
+        n, total = statistics.where(F.col("term") == "").select("df", "length").first() or (0, 0)
+        weight = F.log1p((F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5)) * (k1 + 1)
+        # One array per query, no longer than the query itself.
+        block = (
+            asked.join(statistics, "term")
+            .groupBy("query_id")
+            .agg(F.collect_list(F.struct("term", weight.alias("w"))).alias("tw"))
+            .select("query_id", F.col("tw.term").alias("terms"), F.col("tw.w").alias("weights"))
+        )
+    relative = F.size("terms") * n / max(total, 1)
     prepared_rows = rows.select(
-        "id",
-        "terms",
-        (F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * length / F.lit(mean_length or 1.0))).alias("norm"),
+        "id", "terms", (F.lit(k1 * (1.0 - b)) + F.lit(k1 * b) * relative).alias("norm")
     )
 
     def prepare(q: dict[str, list]) -> tuple:
@@ -341,12 +359,12 @@ def keyword_search(
 
     return blocked_top_k(
         prepared_rows,
-        weighted,
+        block,
+        queries.schema["query_id"].dataType,
         k,
         prepare,
         scorer,
         lambda p: max(1, len(p[0]) + p[1].shape[1]),
-        bytes_ <= query_bytes,
     )
 
 

@@ -8,6 +8,21 @@ from pyspark.sql import functions as F
 RUN = "processed"
 
 
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Give a table read as a few large splits to all cores.
+
+    A single row group cannot be split by the reader, and work that is heavy
+    per row would run on one core.  A table with at least as many splits as
+    there are cores comes back as it is, so a large one is never shuffled.
+    ``scan`` must be a plain table read: counting its splits plans but runs
+    nothing.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores, key)
+
+
 def ensure_columns(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Add the missing columns as NULLs; names compare without case."""
     present = {c.lower() for c in df.columns}
