@@ -1,13 +1,13 @@
 """Text cleaning, tokenising and chunking.
 
-Whitespace and word characters follow Unicode, not ASCII, so the classes are
-spelled out instead of relying on Java's ASCII ``\\s`` and ``\\w``.
+Whitespace and word characters follow Unicode, as they do in Python's ``re``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,6 +32,23 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def built_once(build: Callable[..., Column]) -> Callable[..., Column]:
+    """Keep the columns a builder returns for given column names.
+
+    A large expression takes hundreds of calls into the JVM to build, and the
+    result can be shared by any number of plans of the same JVM.
+    """
+    kept: dict[tuple, Column] = {}
+
+    def get(*names: str) -> Column:
+        key = (SparkContext._gateway, *names)
+        if key not in kept:
+            kept[key] = build(*names)
+        return kept[key]
+
+    return get
+
+
 def strip(c: Column) -> Column:
     """Remove Unicode whitespace on both ends."""
     return F.btrim(c, F.lit(SPACE_CHARS))

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casewright.functions import paths
 from casewright.functions.elements import content_chunks, document_elements
 from casewright.functions.fields import FIELD_TYPES, structured_metadata
-from casewright.functions.text import clean_text
+from casewright.functions.text import built_once, clean_text
 
 PATH_COLUMNS = tuple(f"{r}_path" for r in paths.ROLES)
 
@@ -71,9 +69,8 @@ def pending_documents(parsed: DataFrame, run: int) -> DataFrame:
     return parsed.where(this_run & F.col("parsed_content_translated").isNull())
 
 
-@lru_cache(maxsize=4)
+@built_once
 def _metadata_column(path: str, content: str) -> Column:
-    """A large expression; built once per process and shared by all plans."""
     return structured_metadata(F.col(path), document_elements(F.col(content)))
 
 

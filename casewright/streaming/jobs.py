@@ -9,13 +9,13 @@ neither loses nor repeats rows.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from casewright.functions.html import page_elements
+from casewright.functions.text import built_once
 from casewright.operators.logs import windowed_activity
 from casewright.operators.merge import changed_rows, text_hash
 
@@ -75,9 +75,8 @@ def extract_pages(pages: DataFrame, path: str, checkpoint: str) -> StreamingQuer
     return run_available(rows, checkpoint, lambda df, n: write_batch(df, n, path))
 
 
-@lru_cache(maxsize=4)
+@built_once
 def _page_elements(html: str) -> Column:
-    """A large expression; built once per process and shared by all plans."""
     return page_elements(F.col(html))
 
 
