@@ -354,8 +354,8 @@ def keyword_search(
         tf = tf.reshape(len(lists), len(vocabulary))
         norm = part.column("norm").to_numpy()[:, None]
         scores = (tf / (tf + norm)) @ weights
-        # A hit shares a term; a matrix of marks tells, not the score.
-        return np.where((tf > 0).astype(np.float32) @ (weights != 0).astype(np.float32) > 0, scores, -np.inf)
+        # Every weight is positive, so a positive score means a shared term.
+        return np.where(scores > 0, scores, -np.inf)
 
     return blocked_top_k(
         prepared_rows,

@@ -252,9 +252,10 @@ _BLOCK = (
 
 
 def _unescape(c: str) -> str:
+    # These names also count without the semicolon.
     for name, char in (("quot", '"'), ("lt", "<"), ("gt", ">"), ("middot", "·"), ("copy", "©")):
-        c = f"replace({c}, '&{name};', '{char}')"
-    return f"replace({c}, '&amp;', '&')"
+        c = f"regexp_replace({c}, '&{name};?', '{char}', 'g')"
+    return f"regexp_replace({c}, '&amp;?', '&', 'g')"
 
 
 _PAGES = rf"""

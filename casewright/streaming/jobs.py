@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -110,12 +111,12 @@ def sync_index(
 
 def current_index(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
     """The newest row per id; None while nothing has been written."""
-    from pyspark.errors import AnalysisException
-
     try:
         rows = spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
     if before is not None:
         rows = rows.where(F.col(BATCH) < before)
     values = [c for c in rows.columns if c not in ("id", BATCH)]
