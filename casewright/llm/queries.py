@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casewright.llm import packing, repetition, sharding
+from casewright.llm import packing, repetition, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,6 +27,13 @@ def op6_packing(spark, d):
     return packing.pack(_table(spark, d, "documents"))
 
 
+@query
+def op7_simhash(spark, d):
+    return simhash.near_duplicates(_table(spark, d, "documents")).select(
+        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
 @query
 def op8_sharding(spark, d):
     return sharding.balanced_shards(_table(spark, d, "documents")).select(

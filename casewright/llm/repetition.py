@@ -202,3 +202,21 @@ def judged(documents: DataFrame, max_covered: float = MAX_COVERED, max_longest:
     return counted.withColumn("base_failed", base_failed()).withColumn(
         "kept", ~F.col("base_failed") & ~repetitive
     )
+
+
+def keep_judged(
+    documents: DataFrame, max_covered: float = MAX_COVERED, max_longest: int = MAX_LONGEST
+) -> DataFrame:
+    """The documents that :func:`judged` keeps, with all their columns."""
+
+    def keep(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = measure(batch)
+        n, repeated, cover, longest = (
+            found.column(c).to_numpy()
+            for c in ("n_words", "n_repeat_words", "repeat_covered", "longest_repeat")
+        )
+        failed = (n < MIN_WORDS) | (100 * repeated > MAX_REPEAT_PERCENT * n)
+        failed |= (cover > max_covered * n) | (longest > max_longest)
+        return batch.filter(pa.array(~failed))
+
+    return map_slices(documents, keep, documents.schema)

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 # Text handled at once inside a task; a longer text makes a slice of its own.
 SLICE_BYTES = 2 << 20
@@ -37,7 +38,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
 def map_slices(
     df: DataFrame,
     function: Callable[[pa.RecordBatch], pa.RecordBatch | None],
-    schema: str,
+    schema: str | StructType,
     column: str = "text",
     limit: int = SLICE_BYTES,
 ) -> DataFrame:
