@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casewright.llm import packing, repetition, sharding, simhash
+from casewright.llm import packing, pii, repetition, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,6 +22,22 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op2_pii(spark, d):
+    found = pii.find_private(_table(spark, d, "documents"))
+    base = F.filter("spans", lambda s: s.base)
+
+    def count(kind):
+        return F.size(F.filter(base, lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(k) for k in pii.BASE_KINDS],
+        F.sha2(pii.joined(base), 256).alias("base_sha256"),
+        pii.joined(F.col("spans")).alias("spans"),
+    )
+
+
 @query
 def op6_packing(spark, d):
     return packing.pack(_table(spark, d, "documents"))
