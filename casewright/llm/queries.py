@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casewright.llm import packing, pii, repetition, sharding, simhash
+from casewright.llm import packing, pii, repetition, sharding, simhash, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,6 +22,16 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_substring_dedup(spark, d):
+    documents = _table(spark, d, "documents")
+    kept = substring.kept_texts(substring.unique_texts(documents))
+    digest = kept.select("text_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    return substring.of_documents(documents, digest).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256"
+    )
+
+
 @query
 def op2_pii(spark, d):
     found = pii.find_private(_table(spark, d, "documents"))
