@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casewright.llm import packing, pii, repetition, sharding, simhash, substring
+from casewright.llm import packing, pii, repetition, sharding, simhash, substring, token_files
+from casewright.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -48,6 +49,15 @@ def op2_pii(spark, d):
     )
 
 
+@query
+def op4_token_files(spark, d):
+    folder = shared_folder(spark, "token-files")
+    token_files.write_tokens(_table(spark, d, "documents"), folder)
+    return token_files.read_tokens(spark, folder).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
 @query
 def op6_packing(spark, d):
     return packing.pack(_table(spark, d, "documents"))
