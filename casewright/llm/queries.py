@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casewright.llm import packing, pii, repetition, sharding, simhash, substring, token_files
+from casewright.llm import decontamination, html_text, packing, pii, repetition, sharding, simhash, substring, token_files
 from casewright.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,11 @@ def op2_pii(spark, d):
     )
 
 
+@query
+def op3_html_text(spark, d):
+    return html_text.extract(_table(spark, d, "pages"))
+
+
 @query
 def op4_token_files(spark, d):
     folder = shared_folder(spark, "token-files")
@@ -58,6 +63,15 @@ def op4_token_files(spark, d):
     )
 
 
+@query
+def op5_decontamination(spark, d):
+    return decontamination.contaminated_passages(
+        _table(spark, d, "documents"), _table(spark, d, "benchmark")
+    ).groupBy("doc_id", "item_id").agg(
+        F.round(F.max("score"), 6).alias("score"), F.count("*").alias("passages")
+    )
+
+
 @query
 def op6_packing(spark, d):
     return packing.pack(_table(spark, d, "documents"))
