@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casewright.llm import decontamination, html_text, packing, pii, repetition, sharding, simhash, substring, token_files
+from casewright.llm import decontamination, html_text, licenses, packing, pii, repetition, sharding, simhash, substring, token_files
 from casewright.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,6 +97,14 @@ def op8_sharding(spark, d):
     )
 
 
+@query
+def op9_license_scan(spark, d):
+    found = licenses.scan_licences(_table(spark, d, "documents"))
+    return found.select(
+        "doc_id", "scope", "first_line", "last_line", "licence", F.round("dice", 6).alias("dice")
+    )
+
+
 @query
 def op10_quality_rules(spark, d):
     return repetition.judged(_table(spark, d, "documents"))

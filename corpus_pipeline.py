@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from casewright.llm import packing, repetition
+from casewright.llm import decontamination, packing, pii, repetition, simhash
 from casewright.session import shared_folder
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -16,17 +15,39 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the documents that pass the base rules and the repetition limits."""
+    """Drop documents that are too short, or repeat too much of themselves."""
     return repetition.keep_judged(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document with the least id of every group of near-duplicates."""
+    return simhash.keep_one(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold a passage of a test item."""
+    return decontamination.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mask_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace personal data by its kind; no document is dropped."""
+    return pii.mask(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of fixed windows over the ids of all remaining documents."""
     return packing.pack(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("quality_rules", quality_rules), ("packing", pack)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("decontaminate", decontaminate),
+    ("mask_private", mask_private),
+    ("packing", pack),
+]
 
+# Prefix sums over token ids and 64-bit hashes have no DuckDB form; see tests/llm.
 ORACLE_SQL = None
 
 
