@@ -141,7 +141,7 @@ def _regions(text: np.ndarray, item: np.ndarray, begin: np.ndarray, length: np.n
     new = np.ones(len(text), bool)
     new[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (begin[1:] - begin[:-1] > length[item[1:]] // 2 + 1)
     at = np.flatnonzero(new)
-    stop = np.append(at[1:], len(text)) - 1
+    stop = np.append(at[1:], len(text))[: len(at)] - 1
     return text[at], item[at], begin[at], begin[stop], np.diff(np.append(at, len(text)))
 
 
