@@ -137,9 +137,9 @@ def usage_cost(usage: DataFrame, prices: DataFrame) -> DataFrame:
 
 
 def windowed_activity(
-    events: DataFrame, time: str = "ts", width: str = "1 hour"
+    events: DataFrame, time: str = "ts", width: str = "1 hour", more: tuple[Column, ...] = ()
 ) -> DataFrame:
-    """Requests, errors and latency per time window; batch and streaming alike."""
+    """Requests, errors and latency per time window, and any aggregates given in ``more``."""
     failed = F.col("event_type") == "error"
     return (
         events.groupBy(F.window(time, width).alias("w"))
@@ -149,6 +149,8 @@ def windowed_activity(
             # cents as longs: the sum does not depend on the order of the rows
             F.sum(F.round(F.col("value") * 100).cast("long")).alias("latency_sum"),
             F.max("value").alias("latency_max"),
+            *more,
         )
-        .select("w.start", "requests", "errors", "latency_sum", "latency_max")
+        .withColumn("start", F.col("w.start"))
+        .drop("w")
     )

@@ -1006,15 +1006,18 @@ def stream_log_hourly(spark, d):
 
 @query
 def stream_sessions(spark, d):
+    """Three runs: later messages first, then all of them, then all again without a checkpoint."""
     path = shared_folder(spark, "stream-sessions")
     turns = jobs.read_stream(spark, d, schemas.CONVERSATIONS, "conversations.parquet")
     messages = turns.select(
         F.col("turn").alias("id"),
         F.col("conv_id").cast("string").alias("session_id"),
         sessions.message_json(F.col("role"), F.col("text")).alias("message_data"),
-        F.timestamp_seconds(F.lit(1_704_067_200) + F.col("turn") * 60).alias("created_at"),
+        F.timestamp_seconds(F.lit(1_704_067_200) + F.col("turn") * 3600).alias("created_at"),
     )
-    jobs.append_sessions(messages, path, f"{path}-checkpoint")
+    jobs.append_sessions(messages.where(F.col("id") >= 2), path, f"{path}-late")
+    jobs.append_sessions(messages, path, f"{path}-all")
+    jobs.append_sessions(messages, path, f"{path}-again")
     return spark.read.parquet(path).select("session_id", "id", "message_data")
 
 

@@ -1,14 +1,18 @@
 """Structured Streaming jobs.
 
 Each job processes what is there and stops (``availableNow``); a schedule runs
-it again and the checkpoint remembers what was done.  Batches are written to a
-folder named after the batch, replacing what a failed attempt left, so a retry
-neither loses nor repeats rows.
+it again and the checkpoint remembers what was done.  A batch is written to a
+folder named after the stream and the batch number, replacing what a failed
+attempt left, so a retry neither loses nor repeats rows.  The stream's name is
+the id its checkpoint keeps: a new checkpoint over a stored table numbers its
+batches from 0 again, but writes beside the old ones.
 """
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,9 +22,22 @@ from pyspark.sql.streaming import StreamingQuery
 from casewright.functions.html import page_elements
 from casewright.functions.text import built_once
 from casewright.operators.logs import windowed_activity
-from casewright.operators.merge import changed_rows, text_hash
+from casewright.operators.merge import text_hash
+from casewright.operators.sessions import BUCKETS
 
+STREAM = "stream"
 BATCH = "batch"
+VERSION = "version"
+
+
+class Step(NamedTuple):
+    """One micro-batch of one stream."""
+
+    stream: str
+    batch: int
+
+    def mine(self) -> Column:
+        return (F.col(STREAM) == self.stream) & (F.col(BATCH) == self.batch)
 
 
 def read_stream(spark: SparkSession, folder: str, schema: str, pattern: str = "*.parquet") -> DataFrame:
@@ -30,50 +47,77 @@ def read_stream(spark: SparkSession, folder: str, schema: str, pattern: str = "*
     )
 
 
-def write_batch(df: DataFrame, batch_id: int, path: str) -> None:
+def write_batch(df: DataFrame, step: Step, path: str, by: tuple[str, ...] = ()) -> None:
     """Write one micro-batch as its own folder, replacing an earlier attempt."""
     (
-        df.withColumn(BATCH, F.lit(batch_id))
+        df.withColumns({STREAM: F.lit(step.stream), BATCH: F.lit(step.batch)})
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH)
+        .partitionBy(*by, STREAM, BATCH)
         .parquet(path)
     )
 
 
+def stored_rows(spark: SparkSession, path: str, before: Step | None = None) -> DataFrame | None:
+    """All rows written so far, without those of a step; None while there are none."""
+    try:
+        rows = spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    return rows if before is None else rows.where(~before.mine())
+
+
 def run_available(
-    stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None], mode: str = "append"
+    stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, Step], None], mode: str = "append"
 ) -> StreamingQuery:
     """Process all available input through ``sink`` and wait for the end."""
+    started = threading.Event()
+    name: list[str] = []
+
+    def step(df: DataFrame, batch_id: int) -> None:
+        started.wait()
+        sink(df, Step(name[0], batch_id))
+
     query = (
-        stream.writeStream.foreachBatch(sink)
+        stream.writeStream.foreachBatch(step)
         .outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+    name.append(str(query.id))
+    started.set()
     query.awaitTermination()
     return query
 
 
-def append_sessions(
-    messages: DataFrame, path: str, checkpoint: str, delay: str = "10 minutes"
-) -> StreamingQuery:
-    """Append session messages once each.
+def append_sessions(messages: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Append session messages once each, however late they come.
 
-    A message sent again within ``delay`` of event time is recognised by
-    (session_id, id); the state of older messages is dropped.
+    A message is known by (session_id, id).  A batch is compared with the
+    stored keys of its sessions' buckets, so nothing has to be remembered in
+    between and no message is too old.
     """
-    unique = messages.withWatermark("created_at", delay).dropDuplicatesWithinWatermark(
-        ["session_id", "id"]
-    )
-    return run_available(unique, checkpoint, lambda df, n: write_batch(df, n, path))
+
+    def sink(df: DataFrame, step: Step) -> None:
+        bucket = F.pmod(F.xxhash64("session_id"), F.lit(BUCKETS)).cast("int")
+        new = df.dropDuplicates(["session_id", "id"]).withColumn("bucket", bucket)
+        stored = stored_rows(df.sparkSession, path, step)
+        if stored is not None:
+            touched = [r.bucket for r in df.select(bucket.alias("bucket")).distinct().collect()]
+            keys = stored.where(F.col("bucket").isin(touched)).select("bucket", "session_id", "id")
+            new = new.join(keys, ["bucket", "session_id", "id"], "left_anti")
+        write_batch(new, step, path, ("bucket",))
+
+    return run_available(messages, checkpoint, sink)
 
 
 def extract_pages(pages: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Incremental document extraction: the batch expressions on a stream."""
     rows = explode_page_elements(pages)
-    return run_available(rows, checkpoint, lambda df, n: write_batch(df, n, path))
+    return run_available(rows, checkpoint, lambda df, step: write_batch(df, step, path))
 
 
 @built_once
@@ -88,39 +132,53 @@ def explode_page_elements(pages: DataFrame) -> DataFrame:
     )
 
 
+def newest_per_id(rows: DataFrame, order: str | None) -> DataFrame:
+    """One row per id: the greatest in ``order``, of equals that of the greatest text hash."""
+    place = F.struct(*[F.col(c) for c in ([order] if order else [])], "text_hash")
+    values = [c for c in rows.columns if c != "id"]
+    return rows.groupBy("id").agg(F.max_by(F.struct(*values), place).alias("_v")).select("id", "_v.*")
+
+
 def sync_index(
-    chunks: DataFrame, path: str, checkpoint: str, embed: Callable[[DataFrame], DataFrame]
+    chunks: DataFrame,
+    path: str,
+    checkpoint: str,
+    embed: Callable[[DataFrame], DataFrame],
+    order: str | None = None,
 ) -> StreamingQuery:
     """Embed new and changed chunks only.
 
-    The index is read for the keys and text hashes of earlier batches.  A row
-    of a newer batch replaces older ones of the same id, see
-    :func:`current_index`.
+    Of several versions of an id in a batch the last in the column ``order``
+    counts.  Only key, text hash and version of the stored rows are read, and
+    only for the ids of the batch.  A row with a higher version replaces the
+    older ones of its id, see :func:`current_index`.
     """
 
-    def sink(df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        known = current_index(spark, path, before=batch_id)
-        todo = changed_rows(df, known) if known is not None else df.withColumn(
-            "text_hash", text_hash(F.col("text"))
-        )
-        write_batch(embed(todo), batch_id, path)
+    def sink(df: DataFrame, step: Step) -> None:
+        latest = newest_per_id(df.withColumn("text_hash", text_hash(F.col("text"))), order)
+        stored = stored_rows(df.sparkSession, path, step)
+        version = 0
+        if stored is not None:
+            version = (stored.agg(F.max(VERSION)).first()[0] or 0) + 1
+            known = (
+                stored.select("id", "text_hash", VERSION)
+                .join(df.select("id").distinct(), "id", "left_semi")
+                .groupBy("id")
+                .agg(F.max_by("text_hash", VERSION).alias("text_hash"))
+            )
+            latest = latest.join(known, ["id", "text_hash"], "left_anti")
+        write_batch(embed(latest).withColumn(VERSION, F.lit(version).cast("long")), step, path)
 
     return run_available(chunks, checkpoint, sink)
 
 
-def current_index(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
+def current_index(spark: SparkSession, path: str) -> DataFrame | None:
     """The newest row per id; None while nothing has been written."""
-    try:
-        rows = spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-    if before is not None:
-        rows = rows.where(F.col(BATCH) < before)
-    values = [c for c in rows.columns if c not in ("id", BATCH)]
-    return rows.groupBy("id").agg(F.max_by(F.struct(*values), BATCH).alias("_v")).select(
+    rows = stored_rows(spark, path)
+    if rows is None:
+        return None
+    values = [c for c in rows.columns if c not in ("id", STREAM, BATCH, VERSION)]
+    return rows.groupBy("id").agg(F.max_by(F.struct(*values), VERSION).alias("_v")).select(
         "id", "_v.*"
     )
 
@@ -134,17 +192,29 @@ def monitor(
 ) -> StreamingQuery:
     """Windowed request counts, errors and latency of a log stream.
 
-    Changed windows are written per batch; events later than ``delay`` no
-    longer change a window.
+    Every batch adds its own counts per window; :func:`newest_windows` sums
+    them, so an event corrects its window however late it comes, and no state
+    is kept.  ``late`` counts the events that were older than the newest event
+    of earlier batches by more than ``delay``.
     """
-    counts = windowed_activity(events.withWatermark("ts", delay), "ts", width)
-    return run_available(counts, checkpoint, lambda df, n: write_batch(df, n, path), "update")
+
+    def sink(df: DataFrame, step: Step) -> None:
+        stored = stored_rows(df.sparkSession, path, step)
+        newest = stored.agg(F.max("newest")).first()[0] if stored is not None else None
+        overdue = F.col("ts") < F.lit(newest) - F.expr(f"INTERVAL {delay}")
+        rows = df.withColumn("_late", overdue if newest is not None else F.lit(False))
+        more = (F.count_if("_late").alias("late"), F.max("ts").alias("newest"))
+        write_batch(windowed_activity(rows, "ts", width, more), step, path)
+
+    return run_available(events, checkpoint, sink)
 
 
 def newest_windows(spark: SparkSession, path: str) -> DataFrame:
-    """The latest state of every window written by :func:`monitor`."""
-    rows = spark.read.parquet(path)
-    values = [c for c in rows.columns if c not in ("start", BATCH)]
-    return rows.groupBy("start").agg(F.max_by(F.struct(*values), BATCH).alias("_v")).select(
-        "start", "_v.*"
+    """The state of every window written by :func:`monitor`."""
+    sums = [F.sum(c).alias(c) for c in ("requests", "errors", "latency_sum", "late")]
+    return (
+        spark.read.parquet(path)
+        .groupBy("start")
+        .agg(*sums, F.max("latency_max").alias("latency_max"))
+        .select("start", "requests", "errors", "latency_sum", "latency_max", "late")
     )
