@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -10,41 +12,44 @@ from pyspark.sql import functions as F
 from casewright.functions.text import tokens
 
 
-def hash_buckets(c: Column, dims: int) -> Column:
-    """array<int>: the bucket of each token, from its MD5 digest."""
-    return F.transform(
-        tokens(c),
-        lambda t: (F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("long") % dims).cast("int"),
-    )
-
-
 def hash_embedding(c: Column, dims: int = 1024) -> Column:
     """Unit-length vector of hashed token counts (array<double>).
 
-    Tokens are found and hashed in the JVM; the counting and scaling of a
-    whole Arrow batch is one numpy call each.
+    Tokens are found in the JVM and hashed by the first 32 bits of their MD5
+    digest; counting and scaling a whole Arrow batch is one numpy call each.
     """
 
     @F.arrow_udf("array<double>")
-    def dense(buckets: pa.Array) -> pa.Array:
-        n = len(buckets)
-        lengths = np.nan_to_num(buckets.value_lengths().to_numpy(zero_copy_only=False)).astype(
+    def dense(words: pa.Array) -> pa.Array:
+        n = len(words)
+        lengths = np.nan_to_num(words.value_lengths().to_numpy(zero_copy_only=False)).astype(
             np.int64
         )
         rows = np.repeat(np.arange(n), lengths)
-        flat = rows * dims + buckets.flatten().to_numpy(zero_copy_only=False)
+        # Each different token of the batch is hashed once.
+        coded = words.flatten().dictionary_encode()
+        bucket = np.array(
+            [int(hashlib.md5(t.encode()).hexdigest()[:8], 16) % dims for t in coded.dictionary.to_pylist()],
+            np.int64,
+        )
+        flat = rows * dims + bucket[coded.indices.to_numpy(zero_copy_only=False)]
         counts = np.bincount(flat.astype(np.int64), minlength=n * dims).reshape(n, dims)
         norm = np.sqrt((counts * counts).sum(1, keepdims=True))
         unit = np.divide(counts, norm, out=np.zeros(counts.shape), where=norm > 0)
         offsets = np.arange(0, n * dims + 1, dims, dtype=np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(unit.ravel()))
 
-    return dense(hash_buckets(c, dims))
+    return dense(tokens(c))
+
+
+def plane_table(dims: int, planes: int, seed: int = 7) -> np.ndarray:
+    """Normals of random hyperplanes, rounded so that they can be written down exactly."""
+    return np.round(np.random.default_rng(seed).standard_normal((dims, planes)), 6)
 
 
 def plane_codes(vector: Column, dims: int, tables: int = 8, bits: int = 8, seed: int = 7) -> Column:
     """array<int>: one bucket per table from random hyperplanes (Charikar 2002)."""
-    planes = np.random.default_rng(seed).standard_normal((dims, tables * bits))
+    planes = plane_table(dims, tables * bits, seed)
     powers = (1 << np.arange(bits)).astype(np.int64)
 
     @F.arrow_udf("array<int>")

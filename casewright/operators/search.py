@@ -1,38 +1,36 @@
-"""Exact top-k search: vectors, keywords and their fusion.
-
-Scoring compares every query with every row, but no pair of them ever becomes
-a row of a DataFrame.  Each task scores Arrow batches of its part of the corpus
-against a block of queries as matrix products and keeps the best ``k`` per
-query; only those are shuffled.  A query set of checked size travels to the
-tasks whole, and the corpus is not moved at all.  A larger one is cut into
-blocks and meets blocks of the corpus in a co-grouped job, so that neither the
-driver nor any task holds all of it.
+"""Top-k search: vectors, keywords and their fusion.
+
+Exact scoring compares every query with every row, but no pair of them ever
+becomes a row of a DataFrame.  Each task scores Arrow batches of its part of
+the corpus against a block of queries as matrix products and keeps the best
+``k`` per query; only those are shuffled.  Blocks of queries have a bounded
+size and travel to the tasks one after the other, and the corpus is not moved
+at all.  Approximate search joins hash codes and scores only what shares one.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator
 from typing import Any
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType
 
 from casewright.functions.text import tokens
 from casewright.operators.ranking import top_k
+from casewright.session import shared_folder
 
-# A query set up to this many bytes is sent to the tasks whole.
+# Queries sent to the tasks at once, in bytes.
 QUERY_BYTES = 32 << 20
-# Ranked hits up to this many rows (some 30 bytes each) are broadcast.
-HIT_ROWS = 1_000_000
-# Sizes of the blocks beyond that.
-CORPUS_BLOCK = 100_000
-QUERY_BLOCK = 2_000
+# Ranked hits up to this many bytes are broadcast.
+HIT_BYTES = 32 << 20
+# Rows, columns and queries of the matrices built at a time are limited by these.
+SCORED_QUERIES = 512
 # Scores are compared after rounding, so that summation order cannot reorder ties.
 SCORE_DIGITS = 9
 # Entries of a score matrix built at a time.
@@ -94,20 +92,28 @@ def _score_table(table: pa.Table, prepared: Any, best: _Best, scorer: Scorer, wi
         best.add(ids, scorer(part, prepared))
 
 
-def _columns(queries: DataFrame) -> dict[str, list]:
-    """A query set of checked size as columns on the driver."""
-    rows = queries.collect()
-    return {n: [r[n] for r in rows] for n in queries.columns}
+def _blocks(queries: DataFrame, size: Callable[[Row], int], limit: int) -> Iterator[dict[str, list]]:
+    """The queries as columns, in blocks of at most ``limit`` bytes, or one query."""
+    names = queries.columns
 
+    def columns(rows: list[Row]) -> dict[str, list]:
+        return {n: [r[n] for r in rows] for n in names}
 
-def _copies(n: int) -> Column:
-    """One row per block number below ``n``."""
-    return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    rows: list[Row] = []
+    held = 0
+    for r in queries.toLocalIterator():
+        rows.append(r)
+        held += size(r)
+        if held >= limit:
+            yield columns(rows)
+            rows, held = [], 0
+    if rows:
+        yield columns(rows)
 
 
 def blocked_top_k(
     corpus: DataFrame,
-    queries: DataFrame | dict[str, list],
+    queries: Iterator[dict[str, list]],
     query_type: DataType,
     k: int,
     prepare: Callable[[dict[str, list]], Any],
@@ -116,10 +122,11 @@ def blocked_top_k(
 ) -> DataFrame:
     """query_id, id, score and rank of the best ``k`` corpus rows per query.
 
-    ``corpus`` has ``id`` and the columns of the scorer.  ``queries`` is either
-    a dict of columns, when the caller has checked that all of them fit in one
-    block, or a DataFrame with ``query_id``.  ``prepare`` turns query columns
-    into the scorer's form; ``width`` gives the matrix entries per corpus row.
+    ``corpus`` has ``id`` and the columns of the scorer.  ``queries`` gives
+    blocks of query columns; each block is one pass over the corpus, inside
+    which ``SCORED_QUERIES`` queries are scored at a time.  ``prepare`` turns
+    query columns into the scorer's form; ``width`` gives the matrix entries
+    per corpus row.
     """
     id_type = corpus.schema["id"].dataType
     out_ddl = f"query_id {query_type.simpleString()}, id {id_type.simpleString()}, score double"
@@ -131,44 +138,29 @@ def blocked_top_k(
         ]
     )
 
-    if isinstance(queries, dict):
-        columns = queries
-
-        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            best = _Best(len(columns["query_id"]), k)
-            if best.scores:
-                prepared = prepare(columns)
-                for batch in batches:
-                    table = pa.Table.from_batches([batch])
+    def scan(columns: dict[str, list]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            groups = []
+            for at in range(0, len(columns["query_id"]), SCORED_QUERIES):
+                some = {n: v[at : at + SCORED_QUERIES] for n, v in columns.items()}
+                groups.append((some["query_id"], prepare(some), _Best(len(some["query_id"]), k)))
+            for batch in batches:
+                table = pa.Table.from_batches([batch])
+                if "vector" in table.column_names:
+                    table = table.filter(pc.is_valid(table.column("vector")))
+                for _, prepared, best in groups:
                     _score_table(table, prepared, best, scorer, width(prepared))
-            yield from best.rows(columns["query_id"], schema).to_batches()
-
-        partial = corpus.mapInArrow(scan, out_ddl)
-    else:
-        names = queries.columns
-        n_corpus, n_queries = corpus.count(), queries.count()
-        corpus_blocks = max(1, -(-n_corpus // CORPUS_BLOCK))
-        query_blocks = max(1, -(-n_queries // QUERY_BLOCK))
-        # The hash spreads ids evenly, so a block has a bounded size whatever
-        # the data looks like.
-        left = corpus.withColumn(
-            "_c", F.pmod(F.xxhash64("id"), F.lit(corpus_blocks))
-        ).withColumn("_q", _copies(query_blocks))
-        right = queries.withColumn(
-            "_q", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks))
-        ).withColumn("_c", _copies(corpus_blocks))
-
-        def block(rows_: pa.Table, queries_: pa.Table) -> pa.Table:
-            columns = {n: queries_.column(n).to_pylist() for n in names}
-            best = _Best(len(columns["query_id"]), k)
-            if rows_.num_rows and best.scores:
-                prepared = prepare(columns)
-                _score_table(rows_, prepared, best, scorer, width(prepared))
-            return best.rows(columns["query_id"], schema)
-
-        partial = (
-            left.groupBy("_c", "_q").cogroup(right.groupBy("_c", "_q")).applyInArrow(block, out_ddl)
-        )
+            for ids, _, best in groups:
+                yield from best.rows(ids, schema).to_batches()
+
+        return run
+
+    partial = None
+    for columns in queries:
+        part = corpus.mapInArrow(scan(columns), out_ddl)
+        partial = part if partial is None else partial.unionByName(part)
+    if partial is None:
+        partial = corpus.sparkSession.createDataFrame([], out_ddl)
     return top_k(partial, ["query_id"], [F.desc("score"), F.col("id")], k)
 
 
@@ -218,40 +210,92 @@ def vector_search(
     k: int = 5,
     metric: str = "cosine",
     filters: dict[str, Any] | str | Column | None = None,
-    codes: bool = False,
     query_bytes: int = QUERY_BYTES,
 ) -> DataFrame:
     """Best ``k`` corpus rows per query by vector similarity.
 
     ``corpus`` has id, vector and any filter columns; ``queries`` has query_id
-    and vector.  With ``codes`` both also have bucket ``codes``, and only rows
-    that share a bucket with the query are considered.
+    and vector.  Rows without a vector are passed over where they are scored:
+    a filter on the column would be pushed down and embed every row twice.
     """
     similarity = _similarity(metric)
-    extra = ["codes"] if codes else []
-    rows = apply_filters(corpus, filters).where(F.col("vector").isNotNull())
-    rows = rows.select("id", "vector", *extra)
-    asked = queries.where(F.col("vector").isNotNull()).select("query_id", "vector", *extra)
-    bytes_ = asked.agg(F.sum(F.size("vector").cast("long") * 8 + 64)).first()[0] or 0
+    rows = apply_filters(corpus, filters).select("id", "vector")
+    asked = queries.select("query_id", "vector")
 
-    def prepare(q: dict[str, list]) -> tuple:
-        return _matrix(q["vector"]), (np.array(q["codes"]) if codes else None)
+    def prepare(q: dict[str, list]) -> np.ndarray:
+        return _matrix([v for v in q["vector"] if v is not None])
 
-    def scorer(part: pa.Table, prepared: tuple) -> np.ndarray:
-        vectors, probe = prepared
-        scores = similarity(_matrix(part.column("vector")), vectors)
-        if probe is not None:
-            own = part.column("codes").combine_chunks()
-            own = own.flatten().to_numpy(zero_copy_only=False).reshape(len(own), -1)
-            shared = np.zeros(scores.shape, dtype=bool)
-            for t in range(own.shape[1]):
-                shared |= own[:, t][:, None] == probe[:, t][None, :]
-            scores = np.where(shared, scores, -np.inf)
-        return scores
-
-    query_type = asked.schema["query_id"].dataType
-    block = _columns(asked) if bytes_ <= query_bytes else asked
-    return blocked_top_k(rows, block, query_type, k, prepare, scorer, lambda p: p[0].shape[0])
+    def known(block: dict[str, list]) -> dict[str, list]:
+        keep = [i for i, v in enumerate(block["vector"]) if v is not None]
+        return {n: [v[i] for i in keep] for n, v in block.items()}
+
+    def scorer(part: pa.Table, vectors: np.ndarray) -> np.ndarray:
+        return similarity(_matrix(part.column("vector")), vectors)
+
+    # A Python float in a list takes 32 bytes.
+    blocks = _blocks(asked, lambda r: 32 * len(r["vector"] or ()) + 64, query_bytes)
+    return blocked_top_k(
+        rows,
+        (x for b in blocks if (x := known(b))["query_id"]),
+        asked.schema["query_id"].dataType,
+        k,
+        prepare,
+        scorer,
+        lambda v: v.shape[0],
+    )
+
+
+def candidate_pairs(corpus: DataFrame, queries: DataFrame) -> DataFrame:
+    """query_id and id of every pair that shares the code of some table, once each.
+
+    Both sides have ``codes``, an array with one code per table.  The tables'
+    codes are joined by equality, so only rows in a query's buckets are met;
+    a bucket with very many rows is split by the adaptive skew join.
+    """
+    rows = corpus.select("id", F.posexplode("codes").alias("table", "code"))
+    asked = queries.select("query_id", F.posexplode("codes").alias("table", "code"))
+    return rows.join(asked, ["table", "code"]).select("query_id", "id").distinct()
+
+
+def similarity_column(a: Column, b: Column, metric: str) -> Column:
+    """Similarity of two vector columns; greater is better for every metric."""
+
+    def total(x: Column, y: Column, f: Callable[[Column, Column], Column]) -> Column:
+        parts = F.zip_with(x, y, lambda u, v: f(u.cast("double"), v.cast("double")))
+        return F.aggregate(parts, F.lit(0.0), lambda s, p: s + p)
+
+    def dot(x: Column, y: Column) -> Column:
+        return total(x, y, lambda u, v: u * v)
+
+    if metric == "cosine":
+        return F.coalesce(F.try_divide(dot(a, b), F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))), F.lit(0.0))
+    if metric == "dot":
+        return dot(a, b)
+    if metric == "l2":
+        return -F.sqrt(total(a, b, lambda u, v: (u - v) * (u - v)))
+    raise ValueError(f"unknown metric {metric!r}")
+
+
+def approximate_search(
+    corpus: DataFrame, queries: DataFrame, k: int = 5, metric: str = "cosine"
+) -> DataFrame:
+    """Best ``k`` rows per query among those that share a bucket with it.
+
+    ``corpus`` has id, vector and codes, ``queries`` query_id, vector and
+    codes, see :func:`casewright.functions.embedding.plane_codes`.  Vectors
+    are read only for the pairs of :func:`candidate_pairs`.
+    """
+    scored = (
+        candidate_pairs(corpus, queries)
+        .join(corpus.select("id", "vector"), "id")
+        .join(queries.select("query_id", F.col("vector").alias("_asked")), "query_id")
+        .select(
+            "query_id",
+            "id",
+            F.round(similarity_column(F.col("vector"), F.col("_asked"), metric), SCORE_DIGITS).alias("score"),
+        )
+    )
+    return top_k(scored, ["query_id"], [F.desc("score"), F.col("id")], k)
 
 
 def label_centroids(vectors: DataFrame, label: str = "label") -> DataFrame:
@@ -292,43 +336,30 @@ def keyword_search(
     asked = queries.select(
         "query_id", F.explode(F.array_distinct(tokens(F.col("text")))).alias("term")
     )
-    bytes_ = queries.agg(F.sum(F.length("text").cast("long") * 4 + 64)).first()[0] or 0
-    whole = bytes_ <= query_bytes
+    # The empty term stands for the number of texts and their total length.
     vocabulary = asked.select("term").union(queries.sparkSession.range(1).select(F.lit(""))).distinct()
-    # One pass over the corpus: the document frequency of every query term, and
-    # under the empty term the number of texts and their total length.
     statistics = (
         rows.select(
             F.explode(F.array_append(F.array_distinct("terms"), "")).alias("term"),
             F.size("terms").cast("long").alias("length"),
         )
-        .join(F.broadcast(vocabulary) if whole else vocabulary, "term", "left_semi")
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"), F.sum("length").alias("length"))
+        .join(vocabulary, "term", "left_semi")
     )
-
-    def idf(n: int, df: int) -> float:
-        return math.log1p((n - df + 0.5) / (df + 0.5)) * (k1 + 1)
-
-    if whole:
-        counted = {r["term"]: (r["df"], r["length"]) for r in statistics.collect()}
-        n, total = counted.get("", (0, 0))
-        block: dict[str, list] | DataFrame = {"query_id": [], "terms": [], "weights": []}
-        for r in asked.groupBy("query_id").agg(F.collect_list("term").alias("ts")).collect():
-            known = [t for t in r["ts"] if t in counted]
-            block["query_id"].append(r["query_id"])
-            block["terms"].append(known)
-            block["weights"].append([idf(n, counted[t][0]) for t in known])
-    else:
-        n, total = statistics.where(F.col("term") == "").select("df", "length").first() or (0, 0)
-        weight = F.log1p((F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5)) * (k1 + 1)
-        # One array per query, no longer than the query itself.
-        block = (
-            asked.join(statistics, "term")
-            .groupBy("query_id")
-            .agg(F.collect_list(F.struct("term", weight.alias("w"))).alias("tw"))
-            .select("query_id", F.col("tw.term").alias("terms"), F.col("tw.w").alias("weights"))
-        )
+    folder = shared_folder(queries.sparkSession, "terms")
+    statistics.write.parquet(folder)
+    statistics = queries.sparkSession.read.schema(statistics.schema).parquet(folder)
+    n, total = statistics.where(F.col("term") == "").select("df", "length").first() or (0, 0)
+    weight = F.log1p((F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5)) * (k1 + 1)
+    # One array per query, no longer than the query itself.
+    weighted = (
+        asked.join(statistics, "term")
+        .groupBy("query_id")
+        .agg(F.collect_list(F.struct("term", weight.alias("w"))).alias("tw"))
+        .select("query_id", F.col("tw.term").alias("terms"), F.col("tw.w").alias("weights"))
+    )
+    blocks = _blocks(weighted, lambda r: 64 + sum(90 + len(t) for t in r["terms"]), query_bytes)
     relative = F.size("terms") * n / max(total, 1)
     prepared_rows = rows.select(
         "id", "terms", (F.lit(k1 * (1.0 - b)) + F.lit(k1 * b) * relative).alias("norm")
@@ -359,7 +390,7 @@ def keyword_search(
 
     return blocked_top_k(
         prepared_rows,
-        block,
+        blocks,
         queries.schema["query_id"].dataType,
         k,
         prepare,
@@ -425,12 +456,13 @@ def token_jaccard(a: Column, b: Column) -> Column:
 def attach(hits: DataFrame, corpus: DataFrame, n_queries: int, k: int) -> DataFrame:
     """Corpus columns for the first ``k`` hits of each of ``n_queries`` queries.
 
-    The hits are at most ``k * n_queries`` rows.  Within a bound they are sent
-    to the corpus, whose texts then need no shuffle; beyond it, both sides are
-    shuffled by id.
+    The hits are at most ``k * n_queries`` rows of fixed width, but for ids
+    that are text.  Within a bound they are sent to the corpus, whose texts
+    then need no shuffle; beyond it, both sides are shuffled by id.
     """
     few = hits.where(F.col("rank") <= k)
-    if k * n_queries <= HIT_ROWS:
+    fixed = all(t in ("bigint", "int", "double") for _, t in few.select("query_id", "id").dtypes)
+    if fixed and k * n_queries * 64 <= HIT_BYTES:
         few = F.broadcast(few)
     return corpus.join(few, "id")
 

@@ -13,6 +13,7 @@ from casewright.functions import embedding, fields, html, language, numeric, pat
 from casewright.operators import cases, context, evaluation, logs, merge, ranking, rules, search, sessions
 from casewright.plans import cases as fixture
 from casewright.plans.cases import table
+from casewright.plans.settings import EMBED_DIMS, LSH_BITS, LSH_TABLES
 from casewright.session import shared_folder
 from casewright.sources import files, tables
 from casewright.streaming import jobs
@@ -20,7 +21,6 @@ from casewright.streaming import jobs
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-EMBED_DIMS = 256
 
 
 def query(fn: Query) -> Query:
@@ -691,11 +691,19 @@ def knn_range_filtered(spark, d):
 def ann_lsh(spark, d):
     """Approximate search through hyperplane buckets."""
     vectors = _vectors(spark, d)
-    codes = embedding.plane_codes(F.col("vector"), 64, tables=16, bits=4)
+    codes = embedding.plane_codes(F.col("vector"), 64, LSH_TABLES, LSH_BITS)
     queries = search.label_centroids(vectors).withColumn("codes", codes)
-    return _rounded(
-        search.vector_search(vectors.withColumn("codes", codes), queries, 10, codes=True)
-    )
+    return _rounded(search.approximate_search(vectors.withColumn("codes", codes), queries, 10))
+
+
+@query
+def ann_candidates(spark, d):
+    """How many rows of each query's buckets approximate search scores."""
+    vectors = _vectors(spark, d)
+    codes = embedding.plane_codes(F.col("vector"), 64, LSH_TABLES, LSH_BITS)
+    queries = search.label_centroids(vectors).withColumn("codes", codes)
+    pairs = search.candidate_pairs(vectors.withColumn("codes", codes), queries)
+    return pairs.groupBy("query_id").agg(F.count(F.lit(1)).alias("scored"))
 
 
 @query
@@ -786,10 +794,11 @@ def rerank_two_stage(spark, d):
 
 
 def _strategies(spark: SparkSession, d: str, k: int = 3) -> DataFrame:
-    pool = _hybrid(spark, d, POOL)
+    semantic = _semantic(spark, d, POOL)
+    pool = search.fuse_ranks([semantic, _keyword(spark, d, POOL)], POOL)
     return search.compare_strategies(
         {
-            "semantic": _semantic(spark, d, k),
+            "semantic": semantic.where(F.col("rank") <= k),
             "hybrid": ranking.top_k(pool.drop("rank"), ["query_id"], [F.desc("score"), F.col("id")], k),
             "hybrid_rerank": search.rerank(pool, _documents(spark, d), _questions(spark, d), k),
         }
@@ -1031,16 +1040,45 @@ def stream_elements(spark, d):
 
 @query
 def stream_index_sync(spark, d):
+    """The stored vectors after two runs, the first of them over a part of the documents."""
+    return _stored_index(spark, d).select(
+        "id",
+        F.size(F.filter("vector", lambda x: x > 0)).alias("filled"),
+        _r(F.array_max("vector")).alias("greatest"),
+    )
+
+
+def _stored_index(spark: SparkSession, d: str) -> DataFrame:
     path = shared_folder(spark, "stream-index")
     docs = jobs.read_stream(spark, d, schemas.DOCUMENTS, "documents.parquet").select(
-        F.col("doc_id").alias("id"), "text"
+        F.col("doc_id").alias("id"), "text", "lang"
     )
 
     def embed(rows: DataFrame) -> DataFrame:
-        return rows.select("id", "text_hash", F.length("text").alias("size"))
+        vector = embedding.hash_embedding(F.col("text"), EMBED_DIMS)
+        return rows.select("id", "text_hash", "lang", vector.alias("vector"))
+
+    jobs.sync_index(docs.where(F.col("lang") != "en"), path, f"{path}-part", embed)
+    jobs.sync_index(docs, path, f"{path}-all", embed)
+    return jobs.current_index(spark, path)
+
 
-    jobs.sync_index(docs, path, f"{path}-checkpoint", embed)
-    return jobs.current_index(spark, path).select("id", "size")
+@query
+def index_search(spark, d):
+    """Semantic search on the stored vectors."""
+    asked = _questions(spark, d).withColumn(
+        "vector", embedding.hash_embedding(F.col("text"), EMBED_DIMS)
+    )
+    return _rounded(search.vector_search(_stored_index(spark, d), asked, 10))
+
+
+@query
+def index_search_filtered(spark, d):
+    """The same among the documents of one language."""
+    asked = _questions(spark, d).withColumn(
+        "vector", embedding.hash_embedding(F.col("text"), EMBED_DIMS)
+    )
+    return _rounded(search.vector_search(_stored_index(spark, d), asked, 10, filters={"lang": "fr"}))
 
 
 # --- the question set ---------------------------------------------------------

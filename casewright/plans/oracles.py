@@ -8,6 +8,9 @@ splits go through a marker character.
 
 from __future__ import annotations
 
+from casewright.functions.embedding import plane_table
+from casewright.plans.settings import LSH_BITS, LSH_TABLES
+
 WS = r"[\t\n\x0B\f\r\x1C-\x20\x{85}\p{Z}]"
 TOKENS = r"regexp_extract_all(lower({}), '[\p{{L}}\p{{N}}]+')"
 
@@ -348,6 +351,25 @@ def _knn(metric: str = "cosine", where: str = "TRUE") -> str:
     return f"WITH {_knn_cte(metric, where)} SELECT query_id, id, rank, round(score, 6) AS score FROM knn"
 
 
+def _lsh_cte() -> str:
+    """Pairs that share a bucket of some table of hyperplanes."""
+    planes = plane_table(64, LSH_TABLES * LSH_BITS)
+    values = ", ".join(
+        f"({i + 1}, {p}, {w:.6f}::DOUBLE)" for i, row in enumerate(planes.tolist()) for p, w in enumerate(row)
+    )
+    return f"""{_VECTORS}, planes(dim, plane, w) AS (VALUES {values}),
+sides AS (
+  SELECT side, id, plane, sum(v * w) > 0 AS above
+  FROM (SELECT 'd' AS side, id, dim, v FROM dims UNION ALL SELECT 'q', query_id, dim, v FROM centre)
+  JOIN planes USING (dim) GROUP BY side, id, plane),
+codes AS (
+  SELECT side, id, plane // {LSH_BITS} AS t, sum(above::INTEGER * (1 << (plane % {LSH_BITS}))) AS code
+  FROM sides GROUP BY side, id, t),
+pairs AS (
+  SELECT DISTINCT q.id::INTEGER AS query_id, d.id FROM codes q JOIN codes d USING (t, code)
+  WHERE q.side = 'q' AND d.side = 'd')"""
+
+
 def _bm25_cte(k: int, questions: str = "SELECT item_id AS query_id, text FROM benchmark") -> str:
     return f"""
 questions AS ({questions}),
@@ -381,7 +403,7 @@ unit AS (SELECT side, id, b, n / norm AS v FROM buckets JOIN norms USING (side,
 """
 
 
-def _semantic_cte(k: int) -> str:
+def _semantic_cte(k: int, where: str = "TRUE") -> str:
     return f"""{_EMBED},
 dots AS (
   SELECT q.id AS query_id, d.id, sum(q.v * d.v) AS s
@@ -392,7 +414,7 @@ semantic AS (
               AS INTEGER) AS rank
   FROM benchmark CROSS JOIN documents
   LEFT JOIN dots ON dots.query_id = item_id AND dots.id = doc_id
-  QUALIFY rank <= {k})
+  WHERE {where} QUALIFY rank <= {k})
 """
 
 
@@ -691,6 +713,12 @@ ORACLES: dict[str, str] = {
     "knn_l2": _knn("l2"),
     "knn_filtered": _knn(where="d.label = 3"),
     "knn_range_filtered": _knn(where="d.label >= 5"),
+    "ann_lsh": f"""WITH {_lsh_cte()}, scored AS (
+          SELECT query_id, id, round({_METRIC["cosine"]}, 9) AS score
+          FROM pairs JOIN dims d USING (id) JOIN centre q USING (query_id, dim) GROUP BY query_id, id),
+        {_top("best", "SELECT * FROM scored", 10)}
+        SELECT query_id, id, rank, round(score, 6) AS score FROM best""",
+    "ann_candidates": f"WITH {_lsh_cte()} SELECT query_id, count(*) AS scored FROM pairs GROUP BY query_id",
     "retrieval_metrics": f"""WITH {_knn_cte()}, totals AS (
         SELECT label AS query_id, count(*) AS total FROM embeddings GROUP BY label),
         m AS (
@@ -803,7 +831,13 @@ ORACLES: dict[str, str] = {
     "stream_sessions": f"""SELECT conv_id::VARCHAR AS session_id, turn AS id, {_MESSAGE} AS message_data
         FROM conversations""",
     "stream_elements": _PAGES,
-    "stream_index_sync": "SELECT doc_id AS id, length(text)::INTEGER AS size FROM documents",
+    "stream_index_sync": f"""WITH {_EMBED} SELECT doc_id AS id, count(v)::INTEGER AS filled,
+        round(coalesce(max(v), 0), 6) AS greatest
+        FROM documents LEFT JOIN unit ON id = doc_id AND side = 'd' GROUP BY doc_id""",
+    "index_search": f"""WITH {_semantic_cte(10)}
+        SELECT query_id, id, rank, round(score, 6) AS score FROM semantic""",
+    "index_search_filtered": f"""WITH {_semantic_cte(10, "lang = 'fr'")}
+        SELECT query_id, id, rank, round(score, 6) AS score FROM semantic""",
     # the question set
     "q01": f"WITH {CASES} SELECT document_id FROM docs WHERE pct = 3.5",
     "q02": f"WITH {CASES} SELECT DISTINCT supplier FROM cases",

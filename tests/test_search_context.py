@@ -54,10 +54,9 @@ def brute(base, asked, k, metric, allowed=lambda i: True):
 @pytest.mark.parametrize("whole", [True, False])
 def test_vector_search_is_exact(vectors, monkeypatch, metric, whole):
     corpus, queries, base, asked = vectors
-    monkeypatch.setattr(search, "CORPUS_BLOCK", 13)
-    monkeypatch.setattr(search, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(search, "SCORED_QUERIES", 3)
     hits = search.vector_search(
-        corpus, queries, 25, metric, query_bytes=search.QUERY_BYTES if whole else 0
+        corpus, queries, 25, metric, query_bytes=search.QUERY_BYTES if whole else 1000
     )
     assert rows(hits, "query_id", "id", "rank") == brute(base, asked, 25, metric)
 
@@ -90,11 +89,28 @@ def test_hyperplane_buckets_recall(spark):
     v = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").select(
         F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), "label"
     )
-    codes = embedding.plane_codes(F.col("vector"), 64, tables=16, bits=4)
+    codes = embedding.plane_codes(F.col("vector"), 64, tables=24, bits=6)
     q = search.label_centroids(v)
     exact = set(rows(search.vector_search(v, q, 10), "query_id", "id"))
-    near = search.vector_search(v.withColumn("codes", codes), q.withColumn("codes", codes), 10, codes=True)
-    assert len(exact & set(rows(near, "query_id", "id"))) / len(exact) > 0.6
+    coded, asked = v.withColumn("codes", codes), q.withColumn("codes", codes)
+    near = set(rows(search.approximate_search(coded, asked, 10), "query_id", "id"))
+    assert len(exact & near) / len(exact) > 0.6
+    # It scores far fewer pairs than there are.
+    assert search.candidate_pairs(coded, asked).count() < 0.4 * v.count() * q.count()
+
+
+@pytest.mark.parametrize("metric", ["cosine", "dot", "l2"])
+def test_approximate_search_scores_like_exact(vectors, metric):
+    corpus, queries, base, asked = vectors
+    one = F.array(F.lit(0))
+    hits = search.approximate_search(corpus.withColumn("codes", one), queries.withColumn("codes", one), 5, metric)
+    assert rows(hits, "query_id", "id", "rank") == brute(base, asked, 5, metric)
+
+
+def test_rows_without_a_vector_are_passed_over(spark):
+    corpus = spark.createDataFrame([(1, [1.0, 0.0]), (2, None)], "id long, vector array<double>")
+    asked = spark.createDataFrame([(7, [1.0, 0.0]), (8, None)], "query_id long, vector array<double>")
+    assert rows(search.vector_search(corpus, asked, 3), "query_id", "id") == [(7, 1)]
 
 
 TEXTS = ["the cat sat", "the the dog", "", "a cat and a dog", "the", "fish"] + ["the copy text"] * 6
@@ -116,13 +132,12 @@ def py_bm25(texts, question, k1=1.2, b=0.75):
 
 @pytest.mark.parametrize("whole", [True, False])
 def test_keyword_search_is_exact(spark, monkeypatch, whole):
-    monkeypatch.setattr(search, "CORPUS_BLOCK", 3)
-    monkeypatch.setattr(search, "QUERY_BLOCK", 1)
+    monkeypatch.setattr(search, "SCORED_QUERIES", 2)
     corpus = spark.createDataFrame(list(enumerate(TEXTS)), "id bigint, text string").repartition(4)
     asked = ["the cat", "dog dog Dog", "unknown words", "", "copy"]
     queries = spark.createDataFrame(list(enumerate(asked)), "query_id bigint, text string")
     hits = search.keyword_search(
-        corpus, queries, 4, query_bytes=search.QUERY_BYTES if whole else 0
+        corpus, queries, 4, query_bytes=search.QUERY_BYTES if whole else 1000
     )
     expected = [
         (q, i, r) for q, text in enumerate(asked) for r, i in enumerate(py_bm25(TEXTS, text)[:4], 1)
