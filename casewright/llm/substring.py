@@ -85,7 +85,9 @@ def unique_texts(documents: DataFrame) -> DataFrame:
     """text_id, text and copies of every different text; null counts as empty."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = documents.select(F.unhex(F.md5(text)).alias("text_id"), text.alias("text"))
-    return rows.groupBy("text_id").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+    # Joins on the id add this filter; with it everywhere, all readers share one shuffle of the texts.
+    known = rows.where(F.col("text_id").isNotNull())
+    return known.groupBy("text_id").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
 
 
 def _cut(batch: pa.RecordBatch, window: int, gram: int):
@@ -319,7 +321,7 @@ def kept_texts(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Data
         arrays = [pa.array(c, schema.field(k + 1).type) for k, c in enumerate(columns)]
         return pa.record_batch([batch.column("text_id"), *arrays], schema=schema)
 
-    joined = texts.select("text_id", "text").join(intervals, "text_id", "left")
+    joined = texts.join(intervals, "text_id", "left")
     return map_slices(
         joined,
         run,
