@@ -16,13 +16,32 @@ CONTENT_TYPES = ("text", "table", "section_header")
 
 
 def document_elements(parsed: Column) -> Column:
-    """Typed elements of a parsed document; an empty array if there are none."""
+    """Typed elements of a parsed document; an empty array if there are none.
+
+    A document with an element that is no object is read again element by
+    element, so that only that one is lost; see :func:`unreadable_elements`.
+    """
+    typed = F.from_json(parsed, DOCUMENT_TYPE)["document"]["elements"]
+    good = F.transform(_element_variants(parsed), lambda e: F.try_variant_get(e, "$", ELEMENT_TYPE))
     return F.coalesce(
-        F.from_json(parsed, DOCUMENT_TYPE)["document"]["elements"],
+        typed,
+        F.filter(good, lambda e: e.isNotNull()),
         F.array().cast(f"array<{ELEMENT_TYPE}>"),
     )
 
 
+def _element_variants(parsed: Column) -> Column:
+    return F.try_variant_get(F.try_parse_json(parsed), "$.document.elements", "array<variant>")
+
+
+def unreadable_elements(parsed: Column) -> Column:
+    """Number of elements that cannot be read; -1 if the document itself cannot."""
+    bad = F.filter(
+        _element_variants(parsed), lambda e: ~F.schema_of_variant(e).startswith("OBJECT")
+    )
+    return F.coalesce(F.size(bad), F.lit(-1))
+
+
 def to_document_json(elements: Column) -> Column:
     """Inverse of :func:`document_elements`."""
     return F.to_json(F.struct(F.struct(elements.alias("elements")).alias("document")))

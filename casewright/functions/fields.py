@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -159,7 +161,12 @@ def royalty_percentage(elements: Column) -> Column:
         ),
     )
     first = F.try_element_at(F.filter(found, lambda t: t != ""), F.lit(1))
-    return F.replace(first, F.lit(","), F.lit(".")).try_cast("double")
+    # The pattern knows the decimal digits of all scripts, the cast only those of ASCII.
+    return F.translate(first, "," + _DIGITS, "." + _VALUES).try_cast("double")
+
+
+_DIGITS = "".join(c for c in map(chr, range(128, 0x10000)) if unicodedata.category(c) == "Nd")
+_VALUES = "".join(str(unicodedata.digit(c)) for c in _DIGITS)
 
 
 def structured_metadata(path: Column, elements: Column) -> Column:

@@ -6,10 +6,6 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
-def divide_or_null(a: Column, b: Column) -> Column:
-    return F.try_divide(a, b)
-
-
 def calculator(operation: Column, a: Column, b: Column) -> Column:
     """add, subtract, multiply, divide; a zero divisor gives infinity.
 
@@ -49,6 +45,11 @@ def reserved_cost(units: Column, hours: Column, unit_hour_rate: Column) -> Colum
     )
 
 
+def cost_difference(token: Column, reserved: Column) -> Column:
+    """Pay-per-token cost minus reserved cost; negative while paying per token is cheaper."""
+    return token - reserved
+
+
 SQL_FUNCTIONS = {
     "add_numbers": "a + b",
     "subtract_numbers": "a - b",

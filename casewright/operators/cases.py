@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casewright.functions import paths
-from casewright.functions.elements import content_chunks, document_elements
+from casewright.functions.elements import content_chunks, document_elements, unreadable_elements
 from casewright.functions.fields import FIELD_TYPES, structured_metadata
 from casewright.functions.text import built_once, clean_text
 
@@ -107,6 +107,20 @@ def unreadable_amounts(parsed: DataFrame) -> DataFrame:
     )
 
 
+def unreadable_documents(parsed: DataFrame) -> DataFrame:
+    """Quarantine: translated documents that are not JSON or have unreadable elements.
+
+    ``bad_elements`` counts the latter; it is NULL if nothing could be read.
+    """
+    text = F.col("parsed_content_translated")
+    return (
+        parsed.where(text.isNotNull())
+        .select("path", unreadable_elements(text).alias("n"))
+        .where(F.col("n") != 0)
+        .select("path", F.when(F.col("n") > 0, F.col("n")).alias("bad_elements"))
+    )
+
+
 def document_chunks(parsed: DataFrame) -> DataFrame:
     """One row per content element with cleaned text and a global chunk id."""
     path = F.col("path")

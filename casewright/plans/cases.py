@@ -106,6 +106,16 @@ def case_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def case_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """case_id and supplier of every complete case whose supplier is known."""
+    return (
+        order_facts(spark, sf_dir)
+        .where(F.col("cents").isNotNull())
+        .join(table(spark, sf_dir, "supplier"), F.col("suppkey") == F.col("s_suppkey"))
+        .select("case_id", F.col("s_name").alias("supplier"))
+    )
+
+
 # The document generator is plain SQL text: one parse instead of hundreds of
 # column calls.  Names: k key, c cents, cur currency.
 _CUR = "element_at(array('eur', 'usd', 'gbp'), CAST(k % 3 + 1 AS INT))"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from casewright import schemas
 from casewright.functions import elements as el
 from casewright.functions import embedding, fields, html, language, numeric, paths, text
-from casewright.operators import cases, context, evaluation, logs, merge, ranking, rules, search, sessions
+from casewright.operators import batch, cases, context, evaluation, logs, merge, ranking, rules, search, sessions
 from casewright.plans import cases as fixture
 from casewright.plans.cases import table
 from casewright.plans.settings import EMBED_DIMS, LSH_BITS, LSH_TABLES
@@ -35,21 +37,56 @@ def _r(c: Column | str, digits: int = 6) -> Column:
 # --- sources and sinks -------------------------------------------------------
 
 
+def _written_files(spark: SparkSession, d: str) -> tuple[str, str]:
+    """Case files with one order each, in two folders written one after the other.
+
+    Returns the root and the time between the two.
+    """
+    root = shared_folder(spark, "files")
+    orders = table(spark, d, "orders").where(F.col("o_orderkey") % 500 < 2)
+    lines = orders.select(
+        F.concat(F.lit("order "), F.col("o_orderkey"), F.lit(" of "), F.col("o_custkey")).alias("value"),
+        (F.col("o_orderkey") % 500).alias("part"),
+        F.concat(F.lit("case_"), F.col("o_orderkey")).alias("case"),
+    )
+    first = lines.where("part = 0").select("value", "case")
+    first.repartition("case").write.partitionBy("case").text(f"{root}/early")
+    written = files.list_files(spark, f"{root}/early", "*.txt")
+    newest = written.agg(F.date_format(F.max("modificationTime"), "yyyy-MM-dd'T'HH:mm:ss")).first()[0]
+    time.sleep(1.1)
+    second = lines.where("part = 1").select("value", "case")
+    second.repartition("case").write.partitionBy("case").text(f"{root}/late")
+    return root, newest or "1970-01-01T00:00:00"
+
+
+def _case_of(path: str) -> Column:
+    return F.regexp_extract(path, "case=(case_[0-9]+)", 1)
+
+
 @query
 def scan_binary(spark, d):
-    """Every file of the folder with the size of its content."""
-    return files.read_binary(spark, d, "*.parquet").select(
-        paths.basename(F.col("path")).alias("name"), F.length("content").alias("bytes")
+    """Every written file with its content."""
+    root, _ = _written_files(spark, d)
+    return files.read_binary(spark, root, "*.txt").select(
+        _case_of("path").alias("case"), F.decode("content", "UTF-8").alias("content")
     )
 
 
 @query
 def scan_incremental(spark, d):
-    """Files modified in an interval; the content is never read."""
-    listed = files.list_files(spark, d, "*.parquet", since="1969-01-01T00:00:00")
-    return listed.where(F.col("modificationTime") <= F.current_timestamp()).select(
-        paths.basename(F.col("path")).alias("name"), "length"
-    )
+    """The files of the second write alone, by the time of the first."""
+    root, since = _written_files(spark, d)
+    return files.list_files(spark, root, "*.txt", since=since).where(
+        F.col("modificationTime") > F.lit(since).cast("timestamp") + F.expr("INTERVAL 1 SECOND")
+    ).select(_case_of("path").alias("case"), F.col("length").alias("bytes"))
+
+
+@query
+def eval_questions(spark, d):
+    """Question lines written from the test items and read back."""
+    path = shared_folder(spark, "questions")
+    table(spark, d, "benchmark").select(F.concat(F.lit("  "), "text", F.lit("\n \n"))).write.text(path)
+    return files.read_questions(spark, path)
 
 
 @query
@@ -322,6 +359,30 @@ def extract_chunks(spark, d):
     return cases.document_chunks(fixture.parsed_documents(spark, d))
 
 
+def _damaged_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Documents of which some are cut off and some have a bare string among their elements."""
+    key = F.regexp_extract("path", "case_([0-9]+)", 1).cast("long")
+    text = F.col("parsed_content_translated")
+    damaged = F.when(key % 13 == 0, text.substr(F.lit(1), F.length(text) - 5)).when(
+        key % 13 == 1, F.replace(text, F.lit('"elements":['), F.lit('"elements":["loose",'))
+    )
+    return fixture.parsed_documents(spark, d).withColumn(
+        "parsed_content_translated", F.coalesce(damaged, text)
+    )
+
+
+@query
+def unreadable_documents(spark, d):
+    return cases.unreadable_documents(_damaged_documents(spark, d))
+
+
+@query
+def damaged_chunks(spark, d):
+    """Chunks per document where some documents and elements cannot be read."""
+    chunks = cases.document_chunks(_damaged_documents(spark, d))
+    return chunks.groupBy("document_path").agg(F.count(F.lit(1)).alias("chunks"))
+
+
 @query
 def chunks_enriched(spark, d):
     return cases.enriched_chunks(
@@ -329,6 +390,38 @@ def chunks_enriched(spark, d):
     )
 
 
+def _batch_runs(spark: SparkSession, d: str, again: bool) -> DataFrame:
+    """Two runs; in the first, the declarations of every sixth case are still missing."""
+    root = shared_folder(spark, "batch")
+    key = F.regexp_extract("path", "case_([0-9]+)", 1).try_cast("long")
+    late = F.coalesce((key % 6 == 1) & F.col("path").contains("declaration"), F.lit(False))
+    listed = fixture.case_files(spark, d)
+    parsed = fixture.parsed_documents(spark, d).withColumn(
+        "processed", F.when(late, 2).otherwise(1).cast("long")
+    )
+    first = listed.where(~late)
+    batch.run_batch(first, parsed, root, 1)
+    if again:
+        batch.run_batch(first, parsed, root, 1)
+    batch.run_batch(listed.where(late), parsed, root, 2)
+    return spark.read.parquet(f"{root}/{batch.CHUNKS}")
+
+
+_BATCH_COLUMNS = ("id", "case_id", "text", "invoice_total", "declaration_total", "metadata")
+
+
+@query
+def pipeline_run(spark, d):
+    """The batch pipeline over two runs; the late files complete waiting cases."""
+    return _batch_runs(spark, d, again=False).select(*_BATCH_COLUMNS, F.col("processed").cast("long"))
+
+
+@query
+def pipeline_rerun(spark, d):
+    """The same with the first run repeated: nothing is stored twice."""
+    return _batch_runs(spark, d, again=True).select(*_BATCH_COLUMNS, F.col("processed").cast("long"))
+
+
 @query
 def translation_payload(spark, d):
     return _elements(spark, d).select(
@@ -442,6 +535,14 @@ def anomalies_one_rule(spark, d):
     return rules.detect_anomalies(rollup, "DECLARATION_TOTAL_MISMATCH")
 
 
+@query
+def anomalies_sql_fn_one(spark, d):
+    """The SQL function with its argument."""
+    cases.case_rollup(fixture.parsed_documents(spark, d)).createOrReplaceTempView("case_fields_one")
+    rules.register_detect_anomalies(spark, "case_fields_one", "detect_anomalies")
+    return spark.sql("SELECT * FROM detect_anomalies('ROYALTY_MISMATCH')")
+
+
 @query
 def anomalies_sql_fn(spark, d):
     """The SQL table function over the chunk table, default argument."""
@@ -644,6 +745,15 @@ def provisioned_cost(spark, d):
     )
 
 
+@query
+def cost_difference(spark, d):
+    """Paying per token against reserved capacity for the hours used."""
+    paid = usage_cost(spark, d).select("model", "cost")
+    reserved = provisioned_cost(spark, d).select("model", "total_cost")
+    difference = numeric.cost_difference(F.col("cost"), F.col("total_cost"))
+    return paid.join(reserved, "model").select("model", _r(difference).alias("difference"))
+
+
 # --- vector search -----------------------------------------------------------
 
 
@@ -979,6 +1089,11 @@ def text_overlap_metrics(spark, d):
     )
 
 
+@query
+def bleu4(spark, d):
+    return evaluation.bleu(_pairs(spark, d)).select("pair_id", _r("bleu").alias("bleu"))
+
+
 @query
 def bleu(spark, d):
     return evaluation.bleu(_pairs(spark, d), 2).select("pair_id", _r("bleu").alias("bleu"))
@@ -1096,25 +1211,20 @@ def _documents_with_rate(spark: SparkSession, d: str, rate: float) -> DataFrame:
     return ids.join(found, "case_id", "left_semi").select("document_id")
 
 
-def _case_suppliers(spark: SparkSession, d: str) -> DataFrame:
-    """case_id, supplier and number of documents of every complete case."""
-    return (
-        fixture.order_facts(spark, d)
-        .where(F.col("cents").isNotNull())
-        .join(table(spark, d, "supplier"), F.col("suppkey") == F.col("s_suppkey"))
-        .select(
-            "k",
-            "case_id",
-            F.col("s_name").alias("supplier"),
-            F.when(F.col("k") % 5 == 0, 3).otherwise(2).alias("documents"),
-        )
+def _supplied_documents(spark: SparkSession, d: str) -> DataFrame:
+    """case_id, document_id, role and supplier of every stored document."""
+    path = F.col("path")
+    documents = fixture.parsed_documents(spark, d).select(
+        paths.case_id(path).alias("case_id"),
+        paths.document_id(path).alias("document_id"),
+        paths.role(path).alias("role"),
     )
+    return documents.join(fixture.case_suppliers(spark, d), "case_id")
 
 
 def _by_supplier(spark: SparkSession, d: str, name: str, roles: tuple[str, ...]) -> DataFrame:
-    found = _case_suppliers(spark, d).where(F.lower("supplier") == name.lower())
-    names = F.array(*[F.concat(F.lit(f"{r}_"), F.col("k")) for r in roles])
-    return found.select("supplier", F.explode(names).alias("document_id"))
+    found = _supplied_documents(spark, d).where(F.lower("supplier") == name.lower())
+    return found.where(F.col("role").isin(*roles)).select("supplier", "document_id")
 
 
 @query
@@ -1124,7 +1234,7 @@ def q01(spark, d):
 
 @query
 def q02(spark, d):
-    return _case_suppliers(spark, d).select("supplier").distinct()
+    return _supplied_documents(spark, d).select("supplier").distinct()
 
 
 @query
@@ -1199,7 +1309,9 @@ def q11(spark, d):
 
 @query
 def q12(spark, d):
-    counts = _case_suppliers(spark, d).groupBy("supplier").agg(F.sum("documents").alias("documents"))
+    counts = _supplied_documents(spark, d).groupBy("supplier").agg(
+        F.count(F.lit(1)).alias("documents")
+    )
     return counts.orderBy(F.desc("documents"), "supplier").limit(1)
 
 

@@ -156,6 +156,13 @@ _CASE_PATHS = """'/cases/case_' || k || '/invoice_' || k || '.pdf' AS invoice_pa
   '/cases/case_' || k || '/declaration_' || k || '.pdf' AS declaration_path,
   CASE WHEN k % 5 = 0 THEN '/cases/case_' || k || '/royalty_' || k || '.pdf' END AS royalty_path"""
 
+_BATCH = f"""WITH {CHUNKS} SELECT id, case_id, text, invoice_total, declaration_total, metadata, processed
+  FROM (SELECT {_CHUNK_COLUMNS}, {FIELD_COLUMNS}, concat_ws(' | ',
+      '/cases/case_' || k || '/invoice_' || k || '.pdf',
+      '/cases/case_' || k || '/declaration_' || k || '.pdf',
+      CASE WHEN k % 5 = 0 THEN '/cases/case_' || k || '/royalty_' || k || '.PDF' END) AS metadata,
+    CASE WHEN k % 6 = 1 THEN 2::BIGINT ELSE 1::BIGINT END AS processed FROM chunks)"""
+
 _INVENTORY = """SELECT 'case_' || k AS id,
   '/cases/case_' || k || '/invoice_' || k || '.pdf' AS invoice_path,
   CASE WHEN c IS NOT NULL THEN '/cases/case_' || k || '/declaration_' || k || '.pdf' END
@@ -573,6 +580,14 @@ ORACLES: dict[str, str] = {
     "completeness": f"""WITH {FACTS} SELECT TRUE AS has_invoice, declaration_path IS NOT NULL
         AS has_declaration, royalty_path IS NOT NULL AS has_royalty, count(*) AS count
         FROM ({_INVENTORY}) GROUP BY ALL""",
+    "scan_binary": """SELECT 'case_' || o_orderkey AS "case",
+        'order ' || o_orderkey || ' of ' || o_custkey || chr(10) AS content
+        FROM orders WHERE o_orderkey % 500 < 2""",
+    "scan_incremental": """SELECT 'case_' || o_orderkey AS "case",
+        length('order ' || o_orderkey || ' of ' || o_custkey) + 1 AS bytes
+        FROM orders WHERE o_orderkey % 500 = 1""",
+    "eval_questions": f"""SELECT question FROM (
+        SELECT {_strip("unnest(string_split(text, chr(10)))")} AS question FROM benchmark) WHERE question <> ''""",
     "ensure_columns": """SELECT o_orderkey, o_orderstatus, CAST(NULL AS BIGINT) AS processed,
         CAST(NULL AS VARCHAR) AS note FROM orders""",
     "latest_run": "SELECT max(strftime(o_orderdate, '%Y%m%d%H%M')::BIGINT) AS latest_run FROM orders",
@@ -634,6 +649,12 @@ ORACLES: dict[str, str] = {
     "structured_metadata": _metadata(),
     "case_rollup": f"WITH {CASES} SELECT case_id, {FIELD_COLUMNS} FROM cases",
     "extract_chunks": f"WITH {CHUNKS} SELECT {_CHUNK_COLUMNS} FROM chunks",
+    "unreadable_documents": f"""WITH {CASES} SELECT path,
+        CASE WHEN k % 13 = 1 THEN 1::INTEGER END AS bad_elements FROM docs WHERE k % 13 IN (0, 1)""",
+    "damaged_chunks": f"""WITH {CHUNKS} SELECT path AS document_path, count(*) AS chunks FROM chunks
+        WHERE k % 13 <> 0 GROUP BY path""",
+    "pipeline_run": _BATCH,
+    "pipeline_rerun": _BATCH,
     "chunks_enriched": f"""WITH {CHUNKS} SELECT {_CHUNK_COLUMNS}, {FIELD_COLUMNS}, {_CASE_PATHS},
         concat_ws(' | ', invoice_path, declaration_path, royalty_path) AS metadata FROM chunks""",
     "apply_translations": f"""WITH {CASES} SELECT path, CAST({_ELEMENT_COUNT} AS INTEGER) AS elements,
@@ -651,6 +672,8 @@ ORACLES: dict[str, str] = {
     "anomalies_one_rule": f"""WITH {ANOMALIES} SELECT * FROM anomalies
         WHERE anomaly_rule = 'DECLARATION_TOTAL_MISMATCH'""",
     "anomalies_sql_fn": f"WITH {ANOMALIES} SELECT * FROM anomalies",
+    "anomalies_sql_fn_one": f"""WITH {ANOMALIES} SELECT * FROM anomalies
+        WHERE anomaly_rule = 'ROYALTY_MISMATCH'""",
     # merges
     "merge_upsert": f"""WITH {_MERGE} SELECT id, coalesce(t.invoice_path, s.invoice_path) AS invoice_path,
         CASE WHEN s.id IS NULL THEN 1 ELSE 2 END::BIGINT AS processed,
@@ -707,6 +730,16 @@ ORACLES: dict[str, str] = {
                hours * 65 * 3600 AS total_tokens,
                round(hours * entry_rate / (hours * 65 * 3600) * 1e6, 6) AS cost_per_million
         FROM used JOIN prices USING (m)""",
+    "cost_difference": f"""WITH {_TOKEN_PRICES}, used AS (
+        SELECT event_id % 6 AS m, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS tokens_in,
+               CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS tokens_out
+        FROM events GROUP BY 1),
+        {_HOUR_PRICES.replace("prices(", "hour_prices(")}, hours AS (
+        SELECT event_id % 5 AS m, count(DISTINCT date_trunc('hour', ts)) AS hours FROM events GROUP BY 1)
+        SELECT p.model, round(round(tokens_in / 1e6 * in_rate + tokens_out / 1e6 * out_rate, 6)
+               - round(hours * entry_rate, 6), 6) AS difference
+        FROM used JOIN prices p USING (m)
+        JOIN (SELECT model, hours, entry_rate FROM hours JOIN hour_prices USING (m)) h ON h.model = p.model""",
     # vectors
     "knn_topk": _knn(),
     "knn_dot": _knn("dot"),
@@ -820,6 +853,13 @@ ORACLES: dict[str, str] = {
           round(coalesce(2 * m / nullif(len(c) + len(r), 0), 0), 6) AS token_f1,
           round(coalesce(m / nullif(len(r), 0), 0), 6) AS rouge1
         FROM toks LEFT JOIN m1 USING (pair_id)""",
+    "bleu4": f"""WITH {_PAIRS}, {_overlap(1)}, {_overlap(2)}, {_overlap(3)}, {_overlap(4)}
+        SELECT pair_id, round(CASE WHEN m1.m > 0 AND m2.m > 0 AND m3.m > 0 AND m4.m > 0 THEN
+            CASE WHEN len(c) > len(r) THEN 1 ELSE exp(1 - len(r) / len(c)) END
+            * pow((m1.m / len(c)) * (m2.m / (len(c) - 1)) * (m3.m / (len(c) - 2)) * (m4.m / (len(c) - 3)), 0.25)
+            ELSE 0 END, 6) AS bleu
+        FROM toks LEFT JOIN m1 USING (pair_id) LEFT JOIN m2 USING (pair_id)
+        LEFT JOIN m3 USING (pair_id) LEFT JOIN m4 USING (pair_id)""",
     "bleu": f"""WITH {_PAIRS}, {_overlap(1)}, {_overlap(2)}
         SELECT pair_id, round(CASE WHEN m1.m > 0 AND m2.m > 0 THEN
             CASE WHEN len(c) > len(r) THEN 1 ELSE exp(1 - len(r) / len(c)) END

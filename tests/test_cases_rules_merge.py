@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from casewright import schemas
 from casewright.functions.fields import FIELD_TYPES
-from casewright.operators import cases, merge, rules
+from casewright.operators import batch, cases, merge, rules
 
 ALL = ", ".join(f"{n} {t}" for n, t in FIELD_TYPES.items())
 
@@ -146,3 +146,43 @@ def test_pending(spark):
     df = spark.createDataFrame(rows, schemas.PARSED)
     assert sorted(r.path for r in cases.pending_documents(df, 1).collect()) == ["a", "c"]
     assert [r.path for r in cases.translated_run(df, 1).collect()] == ["d"]
+
+
+def test_merge_on_two_keys_moves_no_target_row(spark):
+    schema = "path string, processed bigint, note string"
+    target = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), (None, 1, "n")], schema)
+    source = spark.createDataFrame([("a", 2, "z"), ("b", 1, "w"), (None, 1, "m")], schema)
+    got = merge.update_only(target, source, ["path", "processed"], ["note"])
+    assert sorted(map(tuple, got.collect()), key=str) == [("a", 1, "x"), ("a", 2, "z"), (None, 1, "n")]
+    both = merge.upsert(target, source, ["path", "processed"], ["note"])
+    assert len(both.collect()) == 5
+    final = both._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "BroadcastHashJoin" in final and "SortMergeJoin" not in final
+
+
+def test_unreadable_documents(spark):
+    good = '{"document":{"elements":[{"id":"1","type":"text","content":"A"}]}}'
+    mixed = good.replace("[{", '["loose",{')
+    rows = [("p1", "", 1, good, "en", False), ("p2", "", 1, mixed, "en", False),
+            ("p3", "", 1, good[:-4], "en", False), ("p4", "", 1, None, "en", False)]
+    df = spark.createDataFrame(rows, schemas.PARSED)
+    assert sorted(map(tuple, cases.unreadable_documents(df).collect())) == [("p2", 1), ("p3", None)]
+    assert sorted(r.document_path for r in cases.document_chunks(df).collect()) == ["p1", "p2"]
+
+
+def test_batch_takes_up_waiting_cases(spark, tmp_path):
+    root = str(tmp_path / "batch")
+    document = '{"document":{"elements":[{"id":"1","type":"text","content":"A"}]}}'
+    paths = [f"/cases/case_{k}/{r}_{k}.pdf" for k in (1, 2) for r in ("invoice", "declaration")]
+    late = paths[-1]
+    rows = [(p, document, 2 if p == late else 1, document, "en", False) for p in paths]
+    parsed = spark.createDataFrame(rows, schemas.PARSED)
+    files = spark.createDataFrame([(p,) for p in paths], "path string")
+    for _ in range(2):
+        first = batch.run_batch(files.where(F.col("path") != late), parsed.where("processed = 1"), root, 1)
+        assert {r.case_id for r in first.collect()} == {"case_1"} and first.count() == 2
+    second = batch.run_batch(files.where(F.col("path") == late), parsed, root, 2)
+    assert {r.case_id for r in second.collect()} == {"case_2"} and second.count() == 2
+    assert "PartitionFilters: [isnotnull(processed" in second._jdf.queryExecution().executedPlan().toString()
+    assert spark.read.parquet(f"{root}/index").count() == 4
+    assert spark.read.parquet(f"{root}/waiting").where("processed = 2").count() == 0
