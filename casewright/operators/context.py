@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from casewright.functions.text import sentences, strip, token_estimate, tokens
+from casewright.functions.text import excerpt, sentences, strip, token_estimate, tokens
 from casewright.operators.ranking import top_k
 from casewright.operators.search import token_jaccard
 
@@ -112,20 +112,79 @@ def passage_block(rank: Column, id_: Column, case_id: Column, text: Column) -> C
     )
 
 
-def assemble(hits: DataFrame, block: Column, separator: str = BLOCK_SEPARATOR) -> DataFrame:
-    """query_id, context text and the number of sources, blocks in rank order."""
-    ordered = F.array_sort(F.collect_list(F.struct(F.col("rank"), block.alias("b"))))
+def numbered_block(rank: Column, text: Column) -> Column:
+    """One passage under its number."""
+    return F.concat(F.lit("[Document "), rank.cast("string"), F.lit("]\n"), text)
+
+
+def cited_block(id_: Column, case_id: Column, text: Column) -> Column:
+    """One passage behind its ids."""
+    return F.concat(
+        F.lit("[ID: "), id_.cast("string"), F.lit(", Case ID: "), case_id.cast("string"), F.lit("]: "), text
+    )
+
+
+def relevant(hits: DataFrame, least: float) -> DataFrame:
+    """The hits whose score reaches ``least``; ranks keep their gaps."""
+    return hits.where(F.col("score") >= least)
+
+
+def hit_record(case_id: Column, id_: Column, language: Column, text: Column) -> Column:
+    """JSON record of a hit with the beginning of its text."""
+    return F.to_json(
+        F.struct(
+            F.coalesce(case_id.cast("string"), F.lit("N/A")).alias("Case"),
+            F.coalesce(id_.cast("string"), F.lit("N/A")).alias("ID"),
+            F.coalesce(language, F.lit("N/A")).alias("language"),
+            excerpt(F.coalesce(text, F.lit(""))).alias("excerpt"),
+        )
+    )
+
+
+def assemble(
+    hits: DataFrame, block: Column, separator: str = BLOCK_SEPARATOR, source: Column | None = None
+) -> DataFrame:
+    """query_id, context text and the number of sources, blocks in rank order.
+
+    With ``source``, ``sources`` is the list of that value of every block instead.
+    """
+    values = [F.col("rank"), block.alias("b")] + ([] if source is None else [source.alias("s")])
+    ordered = F.array_sort(F.collect_list(F.struct(*values)))
     return (
         hits.groupBy("query_id")
         .agg(ordered.alias("_o"))
         .select(
             "query_id",
             F.array_join(F.col("_o.b"), separator).alias("context"),
-            F.size("_o").alias("sources"),
+            (F.size("_o") if source is None else F.col("_o.s")).alias("sources"),
         )
     )
 
 
+def document_prompt(question: Column, context: Column) -> Column:
+    """Prompt around numbered documents."""
+    return F.concat(
+        F.lit("Answer from these documents only; if they do not tell, say that you lack the information.\n\n"),
+        context,
+        F.lit("\n\nQuestion: "), question,
+        F.lit("\n\nAnswer:"),
+    )
+
+
+def chat_messages(question: Column, context: Column) -> Column:
+    """array<struct<role,content>>: a system message with the context, then the question."""
+    system = F.concat(
+        F.lit("You assist with research on stored cases. Use this context to answer.\nCONTEXT:\n"),
+        context,
+        F.lit("\nSay so if it holds nothing relevant, and cite the Case ID of every claim."),
+    )
+
+    def message(role: str, content: Column) -> Column:
+        return F.struct(F.lit(role).alias("role"), content.alias("content"))
+
+    return F.array(message("system", system), message("user", question))
+
+
 def rag_prompt(question: Column, context: Column) -> Column:
     """Prompt text around a context."""
     return F.concat(

@@ -414,6 +414,23 @@ def fuse_ranks(rankings: list[DataFrame], k: int, rrf_k: int = RRF_K) -> DataFra
     return top_k(fused, ["query_id"], [F.desc("score"), F.col("id")], k)
 
 
+def hybrid_search(
+    corpus: DataFrame,
+    queries: DataFrame,
+    k: int = 5,
+    pool: int = 20,
+    filters: dict[str, Any] | str | Column | None = None,
+) -> DataFrame:
+    """Best ``k`` rows by the fused ranks of vector and keyword search.
+
+    ``corpus`` has id, text, vector and any filter columns, ``queries``
+    query_id, text and vector.  Each search contributes its first ``pool``.
+    """
+    semantic = vector_search(corpus, queries, pool, filters=filters)
+    keyword = keyword_search(corpus, queries, pool, filters=filters)
+    return fuse_ranks([semantic, keyword], k)
+
+
 def fuse_scores(rankings: list[tuple[DataFrame, float]], k: int) -> DataFrame:
     """Weighted sum of scores, each list scaled by its best score per query."""
     parts = []

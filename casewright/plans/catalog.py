@@ -998,6 +998,49 @@ def rag_context(spark, d):
     )
 
 
+def _hybrid_hits(spark: SparkSession, d: str, k: int, filters=None) -> DataFrame:
+    """Hits of hybrid search with the columns of their documents."""
+    vector = embedding.hash_embedding(F.col("text"), EMBED_DIMS)
+    corpus = _documents(spark, d, "lang", "source").withColumn("vector", vector)
+    asked = _questions(spark, d).withColumn("vector", vector)
+    hits = search.hybrid_search(corpus, asked, k, POOL, filters)
+    return search.attach(hits, _documents(spark, d, "lang", "source"), asked.count(), k)
+
+
+@query
+def rag_batch(spark, d):
+    """Every question with numbered passages, a prompt and its list of sources."""
+    block = context.numbered_block(F.col("rank"), F.col("text"))
+    source = F.struct("id", "source")
+    made = context.assemble(_hybrid_hits(spark, d, 5), block, "\n\n", source)
+    return made.join(_questions(spark, d), "query_id").select(
+        "query_id",
+        F.to_json("sources").alias("sources"),
+        context.document_prompt(F.col("text"), F.col("context")).alias("prompt"),
+    )
+
+
+@query
+def rag_chat(spark, d):
+    """The same as chat messages, from passages above a score."""
+    block = context.cited_block(F.col("id"), F.col("source"), F.col("text"))
+    hits = context.relevant(_hybrid_hits(spark, d, 5), 0.02)
+    messages = context.chat_messages(F.col("text"), F.col("context"))
+    return (
+        context.assemble(hits, block, "\n\n")
+        .join(_questions(spark, d), "query_id")
+        .select("query_id", F.posexplode(messages))
+        .select("query_id", "pos", "col.role", "col.content")
+    )
+
+
+@query
+def search_records(spark, d):
+    """JSON records of the hits in one language."""
+    record = context.hit_record(F.col("source"), F.col("id"), F.col("lang"), F.col("text"))
+    return _hybrid_hits(spark, d, 3, {"lang": "es"}).select("query_id", "rank", record.alias("record"))
+
+
 @query
 def extractive_summary(spark, d):
     return context.extractive_summary(_documents(spark, d)).withColumn("score", _r("score"))

@@ -454,6 +454,7 @@ def _rerank(pool: str) -> str:
   FROM {pool} p JOIN documents d ON d.doc_id = p.id JOIN benchmark b ON b.item_id = p.query_id"""
 
 
+_HYBRID = f"{_semantic_cte(20)}, {_bm25_cte(20)}, {_top('fused', _RRF, 5)}"
 _FIRST = "score DESC, first_rank, id"
 _STRATEGIES = f"""WITH {_semantic_cte(20)}, {_bm25_cte(20)}, {_top('pool', _RRF, 20)},
 {_top('reranked', _rerank('pool'), 3, _FIRST)},
@@ -817,6 +818,29 @@ ORACLES: dict[str, str] = {
           || chr(10) || chr(10) || 'Cite the case ID of every passage you use.' || chr(10) || chr(10)
           || 'ANSWER:' AS prompt
         FROM made JOIN benchmark ON item_id = query_id""",
+    "rag_batch": f"""WITH {_HYBRID}, made AS (
+          SELECT query_id, to_json(list({{'id': id, 'source': source}} ORDER BY rank))::VARCHAR AS sources,
+            string_agg('[Document ' || rank || ']' || chr(10) || text, chr(10) || chr(10) ORDER BY rank) AS context
+          FROM fused JOIN documents ON doc_id = id GROUP BY query_id)
+        SELECT query_id, sources,
+          'Answer from these documents only; if they do not tell, say that you lack the information.'
+          || chr(10) || chr(10) || context || chr(10) || chr(10) || 'Question: ' || text
+          || chr(10) || chr(10) || 'Answer:' AS prompt
+        FROM made JOIN benchmark ON item_id = query_id""",
+    "rag_chat": f"""WITH {_HYBRID}, made AS (
+          SELECT query_id, string_agg('[ID: ' || id || ', Case ID: ' || source || ']: ' || text,
+            chr(10) || chr(10) ORDER BY rank) AS context
+          FROM fused JOIN documents ON doc_id = id WHERE score >= 0.02 GROUP BY query_id)
+        SELECT query_id, 0::INTEGER AS pos, 'system' AS role,
+          'You assist with research on stored cases. Use this context to answer.' || chr(10) || 'CONTEXT:'
+          || chr(10) || context || chr(10)
+          || 'Say so if it holds nothing relevant, and cite the Case ID of every claim.' AS content FROM made
+        UNION ALL SELECT query_id, 1::INTEGER, 'user', text FROM made JOIN benchmark ON item_id = query_id""",
+    "search_records": f"""WITH es_documents AS (SELECT * FROM documents WHERE lang = 'es'),
+        {_HYBRID.replace("documents", "es_documents").replace("rank <= 5", "rank <= 3")}
+        SELECT query_id, rank, to_json({{'Case': source, 'ID': id::VARCHAR, 'language': lang,
+          'excerpt': substr(text, 1, 200) || '...'}})::VARCHAR AS record
+        FROM fused JOIN documents ON doc_id = id""",
     "extractive_summary": f"""WITH s AS (
         SELECT doc_id AS id, CAST(n AS INTEGER) AS sentence_no, {_strip('p')} AS sentence
         FROM documents, unnest({_SENTENCES}) WITH ORDINALITY AS u(p, n)),
