@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -104,28 +106,46 @@ def valid_items(items: Column) -> Column:
     return F.filter(parsed, lambda t: t["idx"].isNotNull() & t["content"].isNotNull())
 
 
+def _by_position(items: Column, use: Callable[[Callable[[Column], tuple[Column, Column]]], Column]) -> Column:
+    """Let ``use`` look items up by position: whether there is one, and its content.
+
+    Positions and contents are bound once, the last item first, and a lookup
+    is one pass over an array of numbers.
+    """
+
+    def bound(positions: Column, contents: Column) -> Column:
+        def lookup(i: Column) -> tuple[Column, Column]:
+            at = F.array_position(positions, i).cast("int")
+            return at > 0, F.get(contents, at - 1)
+
+        return use(lookup)
+
+    last_first = F.reverse(valid_items(items))
+    return let(
+        last_first,
+        lambda ts: let(ts["idx"], lambda ps: let(ts["content"], lambda cs: bound(ps, cs))),
+    )
+
+
 def apply_translations(elements: Column, items: Column) -> Column:
     """Replace element contents by position; among equal positions the last wins.
 
     Elements without an item keep everything, and replaced ones keep their id
     and type.
     """
-    return let(
-        valid_items(items),
-        lambda ts: F.transform(
-            elements,
-            lambda e, i: let(
-                F.try_element_at(F.filter(ts, lambda t: t["idx"] == i), F.lit(-1)),
-                lambda hit: F.struct(
-                    e["id"].alias("id"),
-                    e["type"].alias("type"),
-                    F.when(hit.isNotNull(), hit["content"])
-                    .otherwise(e["content"])
-                    .alias("content"),
-                ),
-            ),
-        ),
-    )
+
+    def replaced(lookup: Callable[[Column], tuple[Column, Column]]) -> Column:
+        def element(e: Column, i: Column) -> Column:
+            found, content = lookup(i)
+            return F.struct(
+                e["id"].alias("id"),
+                e["type"].alias("type"),
+                F.when(found, content).otherwise(e["content"]).alias("content"),
+            )
+
+        return F.transform(elements, element)
+
+    return _by_position(items, replaced)
 
 
 def translate_document(parsed: Column, items: Column) -> Column:
@@ -140,24 +160,20 @@ def translate_document(parsed: Column, items: Column) -> Column:
         rest = F.map_filter(m, lambda k, _: k != key)
         return F.map_concat(rest, F.create_map(F.lit(key), value))
 
-    def rewrite(ts: Column, root: Column) -> Column:
+    def rewrite(lookup: Callable[[Column], tuple[Column, Column]], root: Column) -> Column:
         document = root["document"].try_cast(variant_map)
         elements = document["elements"].try_cast(f"array<{variant_map}>")
-        new = F.transform(
-            elements,
-            lambda e, i: let(
-                F.try_element_at(F.filter(ts, lambda t: t["idx"] == i), F.lit(-1)),
-                lambda hit: F.when(
-                    hit.isNotNull(), put(e, "content", hit["content"].cast("variant"))
-                ).otherwise(e),
-            ),
-        )
+
+        def element(e: Column, i: Column) -> Column:
+            found, content = lookup(i)
+            return F.when(found, put(e, "content", content.cast("variant"))).otherwise(e)
+
+        new = F.transform(elements, element)
         new_document = put(document, "elements", F.to_variant_object(new))
         return F.to_json(put(root, "document", F.to_variant_object(new_document)))
 
-    replaced = let(
-        valid_items(items),
-        lambda ts: let(F.from_json(parsed, variant_map), lambda root: rewrite(ts, root)),
+    replaced = _by_position(
+        items, lambda look: let(F.from_json(parsed, variant_map), lambda root: rewrite(look, root))
     )
     return F.coalesce(replaced, parsed)
 

@@ -338,15 +338,17 @@ def keyword_search(
     )
     # The empty term stands for the number of texts and their total length.
     vocabulary = asked.select("term").union(queries.sparkSession.range(1).select(F.lit(""))).distinct()
-    statistics = (
-        rows.select(
-            F.explode(F.array_append(F.array_distinct("terms"), "")).alias("term"),
-            F.size("terms").cast("long").alias("length"),
-        )
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("df"), F.sum("length").alias("length"))
-        .join(vocabulary, "term", "left_semi")
+    met = rows.select(
+        F.explode(F.array_append(F.array_distinct("terms"), "")).alias("term"),
+        F.size("terms").cast("long").alias("length"),
     )
+    # A small vocabulary is sent to the texts; beyond that, all terms are counted where they are first.
+    few = vocabulary.count() * 64 <= HIT_BYTES
+    if few:
+        met = met.join(F.broadcast(vocabulary), "term", "left_semi")
+    statistics = met.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("length").alias("length"))
+    if not few:
+        statistics = statistics.join(vocabulary, "term", "left_semi")
     folder = shared_folder(queries.sparkSession, "terms")
     statistics.write.parquet(folder)
     statistics = queries.sparkSession.read.schema(statistics.schema).parquet(folder)

@@ -133,6 +133,7 @@ def py_bm25(texts, question, k1=1.2, b=0.75):
 @pytest.mark.parametrize("whole", [True, False])
 def test_keyword_search_is_exact(spark, monkeypatch, whole):
     monkeypatch.setattr(search, "SCORED_QUERIES", 2)
+    monkeypatch.setattr(search, "HIT_BYTES", search.HIT_BYTES if whole else 0)
     corpus = spark.createDataFrame(list(enumerate(TEXTS)), "id bigint, text string").repartition(4)
     asked = ["the cat", "dog dog Dog", "unknown words", "", "copy"]
     queries = spark.createDataFrame(list(enumerate(asked)), "query_id bigint, text string")
