@@ -40,7 +40,7 @@ DROPPED = frozenset(
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu form".split())
 DROPPED_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies "
-    "consent gdpr notice notification popup modal overlay newsletter subscribe subscription sidebar aside "
+    "consent gdpr notice notices notification alert alerts toast disclaimer adsbygoogle popup modal overlay newsletter subscribe subscription sidebar aside "
     "menu nav navbar navigation breadcrumb breadcrumbs topbar toolbar masthead footer comment comments "
     "disqus replies respond share sharing social related recommended widget login signup search skip".split()
 )
@@ -89,8 +89,11 @@ class LineParser(HTMLParser):
             self._parts.append(" ")
         elif tag == "a":
             self.links += 1
-        if tag in VOID or (tag in INLINE) or tag in ("p", "li", "html"):
+        if tag in VOID or tag in INLINE or tag == "html":
             return
+        # A paragraph ends where the next block begins, an item where the next item does.
+        if self.open[-1][0] == "p" or tag == "li" == self.open[-1][0]:
+            self.open.pop()
         self.count += 1
         inside = any(name in ROOTS for name, _, _ in self.open)
         self.open.append((tag, self.count, self._drops(tag, dict(attrs), inside)))

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casewright.llm import decontamination, html_text, licenses, packing, pii, repetition, sharding, simhash, substring, token_files
+from casewright.llm import (
+    decontamination,
+    html_text,
+    licenses,
+    packing,
+    pii,
+    repetition,
+    sharding,
+    simhash,
+    substring,
+    token_files,
+)
 from casewright.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -196,6 +196,8 @@ def test_other_layouts():
         "<aside>side</aside><form>Name <input></form><footer>(c)</footer>"
     )
     assert html_text.main_text(page) == f"Title\n{long}& more\nshort\none"
+    page = f"<main><p class=notice>Beware<p>{long}<ul><li class=ad>Buy<li>kept</ul><p>end</main>"
+    assert html_text.main_text(page) == f"{long.strip()}\nkept\nend"
     assert [html_text.main_text(h) for h in (None, "", "plain", "<p>a<p>b", "<<&#x;")] == ["", "", "plain", "a\nb", "<<&#x;"]
 
 
