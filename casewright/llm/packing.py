@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casewright.llm.prefix import PART, partition_bases
-from casewright.llm.tokens import crc32, encoder, tokenizer_path
-from casewright.llm.words import SLICE_BYTES, slices
+from casewright.llm.tokens import SLICE_BYTES, crc32, encoder, tokenizer_path
+from casewright.llm.words import release_memory, slices
 from casewright.session import shared_folder
 
 WINDOW = 1024
@@ -63,6 +63,7 @@ def store_tokens(documents: DataFrame, folder: str, path: str) -> DataFrame:
                     schema=schema,
                 )
                 total = int(ends[-1])
+        release_memory()
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
     rows.mapInArrow(run, TOKEN_ROWS).write.option("compression", "zstd").parquet(folder)

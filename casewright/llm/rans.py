@@ -16,7 +16,7 @@ import numpy as np
 
 SCALE = 20
 LOW = np.uint64(1 << 31)
-LANES = 512
+LANES = 2048
 CHECKPOINT = 128
 
 
@@ -61,14 +61,17 @@ class Coder:
         self.symbols = table.symbols.astype(np.uint32)
         self.share = table.shares.astype(np.uint64)
         self.begin = table.begins.astype(np.uint64)
+        self.index = np.zeros(int(self.symbols.max(initial=0)) + 1, np.int32)
+        self.index[self.symbols] = np.arange(len(self.symbols))
 
     def encode(self, ids: np.ndarray) -> Block:
         n = len(ids)
         lanes = int(min(LANES, max(1, n // 64)))
         steps = -(-n // lanes)
-        index = np.searchsorted(self.symbols, ids)
+        index = self.index[ids]
         share, begin = self.share[index], self.begin[index]
         limit = share << np.uint64(63 - SCALE)
+        shift, scale = np.uint64(32), np.uint64(SCALE)
         state = np.full(lanes, LOW, np.uint64)
         out, states, offsets, written = [], [], [], 0
         for t in range(steps - 1, -1, -1):
@@ -78,9 +81,9 @@ class Coder:
             words = x[full].astype(np.uint32)
             out.append(words)
             written += len(words)
-            x = np.where(full, x >> np.uint64(32), x)
-            whole = x // f
-            state[: len(f)] = (whole << np.uint64(SCALE)) + (x - whole * f) + begin[here]
+            x = np.where(full, x >> shift, x)
+            whole, rest = np.divmod(x, f)
+            state[: len(f)] = (whole << scale) + rest + begin[here]
             if t % CHECKPOINT == 0:
                 states.append(state.copy())
                 offsets.append(written)

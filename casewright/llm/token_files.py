@@ -1,7 +1,7 @@
 """Token-id files: documents in ascending order of their ids, entropy coded in sections.
 
 The files are Parquet, written and committed by Spark.  A row is a section of
-some millions of ids: the documents in it, one frequency table, and blocks
+some two million ids: the documents in it, one frequency table, and blocks
 that are coded independently with that table (see :mod:`casewright.llm.rans`).
 """
 
@@ -17,11 +17,13 @@ from pyspark.sql import functions as F
 
 from casewright.llm.prefix import PART, partition_bases
 from casewright.llm.rans import Block, Coder, Table, table_of
-from casewright.llm.tokens import encoder, tokenizer_path
-from casewright.llm.words import slices
+from casewright.llm.tokens import SLICE_BYTES, encoder, tokenizer_path
+from casewright.llm.words import release_memory, rows_per_batch, slices
 
-BLOCK_IDS = 1 << 18
-SECTION_IDS = 1 << 22
+BLOCK_IDS = 1 << 19
+SECTION_IDS = 1 << 21
+# Documents that pass between Spark and a worker at once; their buffers lie outside the heap.
+BATCH_ROWS = 500
 
 BLOCK = pa.struct(
     [("count", pa.int32()), ("lanes", pa.int32()), ("crc", pa.int64()), ("words", pa.binary()),
@@ -56,7 +58,7 @@ def write_tokens(documents: DataFrame, folder: str, path: str | None = None) ->
         docs: list[int | None] = []
         texts: list[bytes] = []
         for batch in batches:
-            for piece in slices(batch, "text"):
+            for piece in slices(batch, "text", SLICE_BYTES):
                 for doc, ids in zip(piece.column("doc_id").to_pylist(), tokens.encode(piece.column("text"))):
                     if held and held + len(ids) // 4 > SECTION_IDS:
                         yield section_of(part, section, before, docs, texts)
@@ -66,10 +68,14 @@ def write_tokens(documents: DataFrame, folder: str, path: str | None = None) ->
                     held += len(ids) // 4
         if docs:
             yield section_of(part, section, before, docs, texts)
+        del docs, texts
+        release_memory()
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
     ranged = rows.repartitionByRange(F.col("doc_id"), F.xxhash64("text"))
-    ranged.sortWithinPartitions("doc_id", "text").mapInArrow(run, SECTION_DDL).write.parquet(folder)
+    sections = ranged.sortWithinPartitions("doc_id", "text").mapInArrow(run, SECTION_DDL)
+    with rows_per_batch(documents.sparkSession, BATCH_ROWS):
+        sections.write.parquet(folder)
 
 
 def section_of(
@@ -123,6 +129,8 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder.cache_clear()
+        release_memory()
         for batch in batches:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1).to_pylist()[0]
@@ -130,8 +138,8 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
                 counts = np.asarray(row["doc_tokens"], np.int64)
                 ends = np.cumsum(counts)
                 starts = ends - counts
-                for a in range(0, len(counts), 2000):
-                    some = slice(a, a + 2000)
+                for a in range(0, len(counts), BATCH_ROWS):
+                    some = slice(a, a + BATCH_ROWS)
                     yield pa.record_batch(
                         [
                             pa.array(row["doc_ids"][some], pa.int64()),
@@ -144,5 +152,7 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
                         ],
                         schema=schema,
                     )
+                del row, ids
+        release_memory()
 
     return placed.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")

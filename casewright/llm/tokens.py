@@ -9,6 +9,7 @@ bounded store of the worker.  The ids are those of the uncut text.
 
 from __future__ import annotations
 
+import os
 import zlib
 from array import array
 from functools import lru_cache
@@ -22,7 +23,9 @@ from casewright.llm.words import raw, span_hashes
 
 END_ID = 0
 # Chunks kept per generation; two generations live at a time.
-KEPT_CHUNKS = 250_000
+KEPT_CHUNKS = 200_000
+# Text tokenised at once; the arrays over its bytes take some fifty times as much.
+SLICE_BYTES = 1 << 20
 # Longer chunks are not kept, so that the store is bounded in bytes as well.
 KEPT_BYTES = 64
 
@@ -64,6 +67,8 @@ class Encoder:
     """Ids of texts as little-endian unsigned 32-bit integers, with ``END_ID`` appended."""
 
     def __init__(self, path: str):
+        # A task has one core; threads of the library would only take those of other tasks.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.new: dict[bytes, bytes] = {}
@@ -72,14 +77,20 @@ class Encoder:
     def _ids(self, chunks: list[bytes]) -> list[bytes]:
         """Ids of different chunks; unknown ones go through the library."""
         new, old = self.new, self.old
-        out = [new.get(c) or old.get(c) for c in chunks]
-        missing = [k for k, v in enumerate(out) if v is None]
+        out = list(map(new.get, chunks))
+        other = [k for k, v in enumerate(out) if v is None]
+        missing = []
+        for k in other:
+            if (v := old.get(chunks[k])) is None:
+                missing.append(k)
+            else:
+                out[k] = v
         for at in range(0, len(missing), 1024):
             part = missing[at : at + 1024]
             texts = [chunks[k].decode() for k in part]
             for k, e in zip(part, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
                 out[k] = array("I", e.ids).tobytes()
-        new.update((c, v) for c, v in zip(chunks, out) if len(c) <= KEPT_BYTES)
+        new.update((c, out[k]) for k in other if len(c := chunks[k]) <= KEPT_BYTES)
         if len(new) > KEPT_CHUNKS:
             self.old, self.new = new, {}
         return out

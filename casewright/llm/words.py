@@ -6,18 +6,19 @@ character contains these bytes, so words of the bytes are words of the text.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from contextlib import contextmanager, suppress
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 # Text handled at once inside a task; a longer text makes a slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -35,6 +36,25 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         start = stop
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system; a worker outlives its tasks."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+@contextmanager
+def rows_per_batch(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Let jobs that run inside send so many rows at once to Python workers."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def map_slices(
     df: DataFrame,
     function: Callable[[pa.RecordBatch], pa.RecordBatch | None],
@@ -101,21 +121,28 @@ _BYTE_FACTOR = 0x9E3779B97F4A7C15
 _WORD_FACTOR = 0xC2B2AE3D27D4EB4F
 
 
-@lru_cache(maxsize=8)
+_kept_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
 def _powers(factor: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    inverse = pow(factor, -1, 2**64)
-    out = []
-    for f in (factor, inverse):
-        steps = np.full(size, f, np.uint64)
-        steps[0] = 1
-        out.append(np.cumprod(steps, dtype=np.uint64))
-    return out[0], out[1]
+    """Powers of a factor and of its inverse, kept up to the usual size of a slice."""
+    kept = _kept_powers.get(factor)
+    if kept is None or len(kept[0]) < size:
+        size = 1 << max(12, size.bit_length())
+        out = []
+        for f in (factor, pow(factor, -1, 2**64)):
+            steps = np.full(size, f, np.uint64)
+            steps[0] = 1
+            out.append(np.cumprod(steps, dtype=np.uint64))
+        kept = out[0], out[1]
+        if size <= 2 * SLICE_BYTES:
+            _kept_powers[factor] = kept
+    return kept
 
 
 def _sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, factor: int) -> np.ndarray:
     """Position-free polynomial hash of the spans ``[start, end)`` of ``values``."""
-    size = 1 << max(12, int(len(values)).bit_length())
-    power, inverse = _powers(factor, size)
+    power, inverse = _powers(factor, len(values))
     prefix = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values * power[: len(values)], out=prefix[1:])
     return mixed((prefix[ends] - prefix[starts]) * inverse[starts])
