@@ -1,10 +1,11 @@
-"""Passages of test items in documents: rare n-gram seeds, then Smith-Waterman alignment.
-
-Words are compared in lower case without signs.  The n-grams of a test item
-are ranked by the number of documents that have them, and its rarest half are
-its seeds.  A document that holds a seed is aligned with the item around it;
-the alignment score, as a fraction of the score of a verbatim copy, finds
-copies with words changed, left out or put in.
+"""Passages of test items in documents: n-gram seeds, then Smith-Waterman alignment.
+
+Words are compared in lower case without signs.  Every n-gram of a test item
+is a seed: a choice by rarity would prefer those that no document has, which
+are the ones broken in an edited copy.  A document that holds a seed is
+aligned with the item around it; the alignment score, as a fraction of the
+score of a verbatim copy, finds copies with words changed, left out or put in.
+A copy without ``GRAM`` words in a row as in the item has no seed.
 """
 
 from __future__ import annotations
@@ -20,8 +21,6 @@ from pyspark.sql import functions as F
 from casewright.llm.words import gram_hashes, map_slices, raw, word_hashes, words_of
 
 GRAM = 3
-SEED_SHARE = 0.5
-LEAST_SEEDS = 8
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST_SCORE = 0.5
 # Test text that travels to the tasks at once; a larger set goes in blocks of this size.
@@ -80,32 +79,9 @@ def item_blocks(benchmark: DataFrame, size: int = GRAM, limit: int = BLOCK_BYTES
         yield block(rows)
 
 
-def document_frequency(documents: DataFrame, wanted: np.ndarray, size: int = GRAM) -> dict[int, int]:
-    """Number of documents with each of the wanted n-grams (sorted hashes)."""
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        grams, text, _ = _grams(*_codes(batch.column("text")), size)
-        at = np.searchsorted(wanted, grams)
-        hit = np.flatnonzero(wanted[np.minimum(at, len(wanted) - 1)] == grams)
-        pairs = np.unique(np.stack([at[hit], text[hit]]), axis=1)
-        index, count = np.unique(pairs[0], return_counts=True)
-        return pa.record_batch([pa.array(index), pa.array(count)], names=["gram", "n"])
-
-    texts = documents.select(F.col("text").cast("string").alias("text"))
-    counted = map_slices(texts, run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    return {r.gram: r.n for r in counted.collect()}
-
-
-def choose_seeds(items: Items, wanted: np.ndarray, frequency: dict[int, int], share: float = SEED_SHARE) -> np.ndarray:
-    """Rows of ``items.grams`` that are seeds: the rarest share of every item, some at least."""
-    seen = np.array([frequency.get(k, 0) for k in range(len(wanted))], np.int64)
-    often = seen[np.searchsorted(wanted, items.grams)]
-    order = np.lexsort((items.grams, often, items.item))
-    count = np.bincount(items.item, minlength=len(items.ids))
-    begin = np.cumsum(count) - count
-    rank = np.arange(len(order)) - begin[items.item[order]]
-    most = np.maximum(LEAST_SEEDS, np.ceil(share * count).astype(np.int64))
-    return order[rank < most[items.item[order]]]
+def sorted_seeds(items: Items) -> np.ndarray:
+    """Rows of ``items.grams`` in the order of their hashes; all are seeds."""
+    return np.argsort(items.grams, kind="stable")
 
 
 def align(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -204,13 +180,13 @@ def search_batch(batch: pa.RecordBatch, items: Items, seeds: np.ndarray, least:
 
 
 def contaminated_passages(
-    documents: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE, share: float = SEED_SHARE
+    documents: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE
 ) -> DataFrame:
     """doc_id, item_id, score, start, end and n_seeds of every passage that copies a test item.
 
     ``start`` and ``end`` count words of the normalised text.  Items travel to
     the tasks in blocks of bounded size, and every block meets all documents;
-    only counts of item n-grams are shuffled.  Null and empty texts, and
+    nothing is shuffled.  Null and empty texts, and
     items shorter than a seed, match nothing; equal rows give equal matches;
     an empty table on either side gives no rows; other columns are not looked
     at.
@@ -218,11 +194,9 @@ def contaminated_passages(
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
     out = documents.sparkSession.createDataFrame([], MATCHES)
     for items in item_blocks(benchmark):
-        wanted = np.unique(items.grams)
-        if not len(wanted):
+        if not len(items.grams):
             continue
-        seeds = choose_seeds(items, wanted, document_frequency(rows, wanted), share)
-        seeds = seeds[np.argsort(items.grams[seeds], kind="stable")]
+        seeds = sorted_seeds(items)
         out = out.unionByName(
             map_slices(rows, lambda b, i=items, s=seeds: search_batch(b, i, s, least), MATCHES)
         )
@@ -236,10 +210,8 @@ def clean_documents(documents: DataFrame, benchmark: DataFrame, least: float = L
     """
     blocks = []
     for items in item_blocks(benchmark):
-        wanted = np.unique(items.grams)
-        if len(wanted):
-            seeds = choose_seeds(items, wanted, document_frequency(documents, wanted))
-            blocks.append((items, seeds[np.argsort(items.grams[seeds], kind="stable")]))
+        if len(items.grams):
+            blocks.append((items, sorted_seeds(items)))
     kept = documents
     for items, seeds in blocks:
 

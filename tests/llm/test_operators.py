@@ -337,6 +337,26 @@ def test_contamination(spark, documents, odd, none):
     assert decontamination.clean_documents(odd, benchmark).count() == odd.count()
 
 
+@pytest.mark.parametrize("share", [0.1, 0.2, 0.25, 0.3])
+def test_edited_copies_are_found(spark, documents, share):
+    benchmark = spark.read.parquet(f"{SMALL}/benchmark.parquet")
+    rng = np.random.default_rng(7)
+    extra, want = [], set()
+    for r in benchmark.collect():
+        # Lower case holds for ASCII letters only.
+        lower = re.sub("[A-Z]", lambda m: m[0].lower(), r.text)
+        a = re.sub("[^a-z0-9\x80-\U0010ffff]", " ", lower).split()
+        for k, changed in enumerate((np.arange(len(a)) % round(1 / share) == 0, rng.random(len(a)) < share)):
+            b = [f"new{i}" if x else w for i, (w, x) in enumerate(zip(a, changed))]
+            extra.append((10_000 + 2 * r.item_id + k, " ".join(["before"] * 9 + b + ["after"] * 9)))
+            kept = any(b[i : i + 3] == a[i : i + 3] for i in range(len(a) - 2))
+            if kept and score(a, b) >= len(a):
+                want.add((extra[-1][0], r.item_id))
+    df = documents.select("doc_id", "text").union(spark.createDataFrame(extra, "doc_id long, text string"))
+    got = {(r.doc_id, r.item_id) for r in decontamination.contaminated_passages(df, benchmark).collect()}
+    assert want and want <= got
+
+
 def test_items_in_blocks_give_the_same(spark, documents):
     benchmark = spark.read.parquet(f"{SMALL}/benchmark.parquet")
     whole = list(decontamination.item_blocks(benchmark))
