@@ -9,6 +9,7 @@ at most ``(2 - t) / t``, which prunes templates before anything is compared.
 from __future__ import annotations
 
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -118,13 +119,26 @@ def bigrams(text: str) -> frozenset[tuple[str, str]]:
     return frozenset(zip(words, words[1:]))
 
 
+class Prepared(NamedTuple):
+    """Bigrams of templates: sets, hashes of all, which template has which, how many with repeats."""
+
+    sets: list[frozenset]
+    known: np.ndarray
+    member: np.ndarray
+    sizes: np.ndarray
+
+
 @lru_cache(maxsize=4)
-def _prepared(templates: tuple[tuple[str, str], ...]):
+def _prepared(templates: tuple[tuple[str, str], ...]) -> Prepared:
     sets = [bigrams(text) for _, text in templates]
     joined = pa.array([" ".join(normalised(text).split()) for _, text in templates], pa.string())
     data, offsets = raw(joined)
     w = words_of(data, offsets)
-    return sets, np.unique(_line_bigrams(word_hashes(w), w.first)[0])
+    grams, template = _line_bigrams(word_hashes(w), w.first)
+    known = np.unique(grams)
+    member = np.zeros((len(sets), len(known)), bool)
+    member[template, np.searchsorted(known, grams)] = True
+    return Prepared(sets, known, member, np.bincount(template, minlength=len(sets)))
 
 
 def _line_bigrams(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -149,8 +163,57 @@ def best_template(
     return best
 
 
+def best_windows(
+    grams: np.ndarray, code: np.ndarray, stop: np.ndarray, prepared: Prepared, least: float
+) -> list[tuple[int, int, int, float]]:
+    """First and last bigram, template and Dice coefficient of the best disjoint windows.
+
+    ``code`` is the row of a bigram in ``prepared.known`` or -1, ``stop`` the
+    end of its text.  ``n`` template bigrams need at least ``n * least / (2 - least)``
+    common ones.  A window starts at a bigram of the template that does not
+    come again before so many bigrams could follow.  Of overlapping windows
+    the one with most common bigrams stays.
+    """
+    hits = np.flatnonzero(code >= 0)
+    found: list[tuple[int, float, int, int, int]] = []
+    for k, has in enumerate(prepared.member):
+        at = hits[has[code[hits]]]
+        n = int(has.sum())
+        need = max(1, int(np.ceil(n * least / (2 - least) - 1e-9)))
+        if len(at) < need or not n:
+            continue
+        longest = int(prepared.sizes[k] * (2 - least) / least) + 1
+        begin, end = at[: len(at) - need + 1], at[need - 1 :]
+        near = (end - begin < longest) & (end < stop[begin])
+        if not near.any():
+            continue
+        order = np.lexsort((at, code[at]))
+        again = np.full(len(at), len(grams))
+        same = np.flatnonzero(code[at[order[1:]]] == code[at[order[:-1]]])
+        again[order[same]] = at[order[same + 1]]
+        for a in begin[near & (again[: len(begin)] - begin >= need)].tolist():
+            b = min(a + longest, int(stop[a]))
+            new = np.zeros(b - a, bool)
+            new[np.unique(grams[a:b], return_index=True)[1]] = True
+            common = np.cumsum(new & (code[a:b] >= 0) & has[code[a:b]])
+            both = np.cumsum(new) + n
+            dice = 2 * common / both
+            best = int(dice.argmax())
+            if dice[best] >= least:
+                found.append((int(3 * common[best] - both[best]), float(dice[best]), k, a, a + best))
+    found.sort(key=lambda f: (-f[0], -f[1], f[2], f[3]))
+    taken = np.zeros(len(grams) + 1, bool)
+    out = []
+    for _, dice, k, a, b in found:
+        if not taken[a : b + 2].any():
+            taken[a : b + 2] = True
+            out.append((a, b, k, dice))
+    return sorted(out)
+
+
 def scan_batch(batch: pa.RecordBatch, templates, least: float) -> pa.RecordBatch:
-    sets, known = _prepared(templates)
+    prepared = _prepared(templates)
+    sets, known = prepared.sets, prepared.known
     data, offsets = raw(batch.column("text"))
     data = _NORMAL[data]
     newline = np.flatnonzero(data == 10)
@@ -158,7 +221,8 @@ def scan_batch(batch: pa.RecordBatch, templates, least: float) -> pa.RecordBatch
     starts = starts[starts < len(data)]
     text = np.searchsorted(offsets, starts, side="right") - 1
     w = words_of(data, np.append(starts, len(data)))
-    grams, line = _line_bigrams(word_hashes(w), w.first)
+    hashes = word_hashes(w)
+    grams, line = _line_bigrams(hashes, w.first)
     at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
     lines = np.unique(line[known[at] == grams])
     # The number of a line inside its text.
@@ -170,12 +234,17 @@ def scan_batch(batch: pa.RecordBatch, templates, least: float) -> pa.RecordBatch
     def piece(a: int, b: int) -> str:
         return plain[starts[a] : ends[b]].decode().replace("\n", " ")
 
+    reported: dict[str, list[tuple[int, int]]] = {}
+
+    def report(scope: str, a: int, b: int, k: int, score: float) -> None:
+        doc = batch.column("doc_id")[int(text[a])].as_py()
+        out.append((doc, scope, int(number[a]), int(number[b]), templates[k][0], k, score))
+
     def match(scope: str, a: int, b: int) -> None:
         found = best_template(bigrams(piece(a, b)), sets, least)
         if found:
-            k, score = found
-            doc = batch.column("doc_id")[int(text[a])].as_py()
-            out.append((doc, scope, int(number[a]), int(number[b]), templates[k][0], k, score))
+            report(scope, a, b, *found)
+            reported.setdefault(templates[found[0]][0], []).append((a, b))
 
     for a in lines.tolist():
         match("line", a, a)
@@ -185,6 +254,17 @@ def scan_batch(batch: pa.RecordBatch, templates, least: float) -> pa.RecordBatch
         for a, b in zip(lines[begins].tolist(), lines[np.append(begins[1:], len(lines)) - 1].tolist()):
             if b > a:
                 match("run", a, b)
+    # Words of a text follow each other across its lines.
+    line_of = np.repeat(np.arange(len(starts)), np.diff(w.first))
+    text_of = text[line_of]
+    across = gram_hashes(hashes, 2)
+    at = np.minimum(np.searchsorted(known, across), len(known) - 1)
+    code = np.where((known[at] == across) & (text_of[1:] == text_of[:-1]), at, -1)
+    stop = np.searchsorted(text_of, text_of[: len(across)], side="right") - 1
+    for a, b, k, score in best_windows(across, code, stop, prepared, least):
+        a, b = int(line_of[a]), int(line_of[b + 1])
+        if not any(x <= a and b <= y for x, y in reported.get(templates[k][0], ())):
+            report("window", a, b, k, score)
     columns = list(zip(*out)) or [[]] * len(MATCH_TYPES)
     names = [c.split()[0] for c in MATCHES.split(", ")]
     return pa.record_batch([pa.array(c, t) for c, t in zip(columns, MATCH_TYPES)], names=names)
@@ -199,7 +279,9 @@ def scan_licences(
 
     Compared are single lines, and runs of lines that each have a bigram of
     some template, for texts broken over lines.  Each piece gets its best
-    template if that reaches ``least``.  Lines are numbered from 0.  Null and
+    template if that reaches ``least``.  Windows of words find the notices
+    inside longer lines, across blank lines and between prose; a window is
+    left out if a line or run over its lines has the same licence.  Lines are numbered from 0.  Null and
     empty texts and lines of one word match nothing; equal rows give equal
     matches; an empty table gives no rows; other columns are not looked at.
     Nothing is shuffled.

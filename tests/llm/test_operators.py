@@ -502,6 +502,24 @@ def test_licences(spark, odd, none):
     assert licenses.scan_licences(odd).count() == 0 and licenses.scan_licences(none).count() == 0
 
 
+def licences_in(spark, text):
+    rows = licenses.scan_licences(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    return sorted((r.scope, r.first_line, r.last_line, r.licence) for r in rows)
+
+
+def test_notices_inside_and_across_lines(spark):
+    mit = licenses.TEXTS["MIT"].replace("conditions: The", "conditions:\n\nThe").replace("Software. THE", "Software.\n\nTHE")
+    assert licences_in(spark, mit) == [("window", 0, 4, "MIT")]
+    inside = "It was a fine day. Licensed under the Apache License, Version 2.0."
+    assert licences_in(spark, inside) == [("window", 0, 0, "Apache-2.0")]
+    prose = "They went out of the house in the morning and came to the end of the road. " * 3
+    assert licences_in(spark, f"{prose}\n{prose} {inside} {prose}") == [("window", 1, 1, "Apache-2.0")]
+    assert licences_in(spark, f"{prose}\n{mit}\n{prose}\nAll rights reserved. {prose}") == [
+        ("window", 1, 5, "MIT"), ("window", 7, 7, "All-Rights-Reserved")
+    ]
+    assert licences_in(spark, "of the " * 3000 + prose) == []
+
+
 def test_size_bounds_prune_nothing_that_matches():
     sets = [licenses.bigrams(t) for _, t in licenses.TEMPLATES]
     for _, text in licenses.TEMPLATES:
