@@ -100,6 +100,114 @@ TEMPLATES = tuple(
     ]
 )
 
+# Complete texts and standard headers beyond the statements above.
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+    "that the following conditions are met: 1. Redistributions of source code must retain the above copyright "
+    "notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must "
+    "reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+    "documentation and/or other materials provided with the distribution. "
+)
+_BSD_NAMES = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+    "promote products derived from this software without specific prior written permission. "
+)
+_BSD_DISCLAIMER = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED '
+    "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+    "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY "
+    "DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+    "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER "
+    "CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE "
+    "OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH "
+    "DAMAGE."
+)
+
+
+def _gnu(work: str, kind: str, version: str, later: str, received: str) -> str:
+    return (
+        f"{work} is free software: you can redistribute it and/or modify it under the terms of the GNU {kind} "
+        f"General Public License as published by the Free Software Foundation, either version {version} of the "
+        f"License, or (at your option) any later version. {work} is distributed in the hope that it will be "
+        "useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A "
+        f"PARTICULAR PURPOSE. See the GNU {kind} General Public License for more details. You should have "
+        f"received a copy of the GNU {kind} General Public License along with {received} {later}"
+    )
+
+
+_SEE = "If not, see <https://www.gnu.org/licenses/>."
+_WRITE = (
+    "if not, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA "
+    "02110-1301 USA."
+)
+
+
+def _creative(name: str, path: str) -> str:
+    return (
+        f"This work is licensed under the Creative Commons {name} 4.0 International License. To view a copy of "
+        f"this license, visit http://creativecommons.org/licenses/{path}/4.0/ or send a letter to Creative "
+        "Commons, PO Box 1866, Mountain View, CA 94042, USA."
+    )
+
+
+STANDARD_TEXTS = (
+    (
+        "ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+        "hereby granted, provided that the above copyright notice and this permission notice appear in all copies. "
+        'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE '
+        "INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR "
+        "ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF "
+        "USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF "
+        "OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    ),
+    ("BSD-2-Clause", _BSD + _BSD_DISCLAIMER),
+    ("BSD-3-Clause", _BSD + _BSD_NAMES + _BSD_DISCLAIMER),
+    ("BSD-3-Clause", _BSD + _BSD_NAMES),
+    ("GPL-2.0", _gnu("This program", "", "2", _WRITE, "this program;")),
+    ("GPL-2.0", _gnu("This program", "", "2", "", "")),
+    ("GPL-3.0", _gnu("This program", "", "3", _SEE, "this program.")),
+    ("LGPL-2.1", _gnu("This library", "Lesser", "2.1", _WRITE, "this library;")),
+    ("LGPL-2.1", _gnu("This library", "Lesser", "2.1", "", "")),
+    ("LGPL-3.0", _gnu("This library", "Lesser", "3", _SEE, "this library.")),
+    ("LGPL-3.0", _gnu("This program", "Lesser", "3", _SEE, "this program.")),
+    ("AGPL-3.0", _gnu("This program", "Affero", "3", _SEE, "this program.")),
+    (
+        "MPL-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
+        "was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    ),
+    (
+        "Unlicense",
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+        "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled "
+        "binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize "
+        "copyright laws, the author or authors of this software dedicate any and all copyright interest in the "
+        "software to the public domain. We make this dedication for the benefit of the public at large and to the "
+        "detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in "
+        "perpetuity of all present and future rights to this software under copyright law. THE SOFTWARE IS PROVIDED "
+        '"AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF '
+        "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE "
+        "LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, "
+        "ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE. For "
+        "more information, please refer to <https://unlicense.org>",
+    ),
+    (
+        "CC0-1.0",
+        "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring "
+        "rights to this software to the public domain worldwide. This software is distributed without any warranty. "
+        "You should have received a copy of the CC0 Public Domain Dedication along with this software. If not, see "
+        "<http://creativecommons.org/publicdomain/zero/1.0/>.",
+    ),
+    ("CC-BY-4.0", _creative("Attribution", "by")),
+    ("CC-BY-SA-4.0", _creative("Attribution-ShareAlike", "by-sa")),
+    ("CC-BY-NC-4.0", _creative("Attribution-NonCommercial", "by-nc")),
+    ("CC-BY-ND-4.0", _creative("Attribution-NoDerivatives", "by-nd")),
+    ("CC-BY-NC-SA-4.0", _creative("Attribution-NonCommercial-ShareAlike", "by-nc-sa")),
+)
+# The SQL statement knows TEMPLATES alone.
+SCANNED = (*TEMPLATES, *STANDARD_TEXTS)
+
 # Signs and white space part words; lines stay apart.
 _NORMAL = np.arange(256, dtype=np.uint8)
 _NORMAL[:128] = [
@@ -272,7 +380,7 @@ def scan_batch(batch: pa.RecordBatch, templates, least: float) -> pa.RecordBatch
 
 def scan_licences(
     documents: DataFrame,
-    templates: tuple[tuple[str, str], ...] = TEMPLATES,
+    templates: tuple[tuple[str, str], ...] = SCANNED,
     least: float = LEAST_DICE,
 ) -> DataFrame:
     """Licence notices in whole texts: doc_id, scope, lines, licence, template and Dice coefficient.

@@ -520,6 +520,25 @@ def test_notices_inside_and_across_lines(spark):
     assert licences_in(spark, "of the " * 3000 + prose) == []
 
 
+def test_standard_texts_are_found_as_themselves(spark):
+    texts = [*licenses.TEXTS.items(), *licenses.STANDARD_TEXTS]
+    assert set(licenses.LICENCES) <= {licence for licence, _ in texts}
+    rows = []
+    for k, (_, text) in enumerate(texts):
+        words = text.split()
+        wrapped = "\n".join(" ".join(words[i : i + 11]) for i in range(0, len(words), 11))
+        rows += [(3 * k, text), (3 * k + 1, wrapped), (3 * k + 2, f"First prose. {text} The end of the text.")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {}
+    for r in licenses.scan_licences(df).collect():
+        got.setdefault(r.doc_id, []).append((r.last_line - r.first_line, r.dice, r.licence))
+    for doc, text in rows:
+        assert max(got[doc])[2] == texts[doc // 3][0], text
+    # The disclaimers and the version of the GNU licences count.
+    gpl = dict(licenses.STANDARD_TEXTS[::-1])["GPL-2.0"]
+    assert [x[-1] for x in licences_in(spark, gpl)] == ["GPL-2.0"]
+
+
 def test_size_bounds_prune_nothing_that_matches():
     sets = [licenses.bigrams(t) for _, t in licenses.TEMPLATES]
     for _, text in licenses.TEMPLATES:
