@@ -44,15 +44,39 @@ DROPPED_NAMES = frozenset(
     "menu nav navbar navigation breadcrumb breadcrumbs topbar toolbar masthead footer comment comments "
     "disqus replies respond share sharing social related recommended widget login signup search skip".split()
 )
+# Parts of a name that say nothing about what the element holds, and parts that only modify it.
+GENERIC_PARTS = frozenset(
+    "area bar block body bottom box button buttons container content element form group heading inner item items "
+    "left link links list main outer panel posts primary right secondary section slot text thread title top "
+    "unit wrap wrapper".split()
+)
+MODIFIERS = frozenset("has hide is no non not show with without".split())
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
+def boilerplate_name(token: str) -> bool:
+    """Whether the head of a class or id names boilerplate.
+
+    The head is the last part before generic ones: menu in ``main-menu`` and
+    ``menu-list``, policy in ``social-policy``; what follows ``has`` or ``no``
+    only modifies.
+    """
+    parts = [p.lower() for p in _NAME.findall(token)]
+    parts = parts[: next((k for k, p in enumerate(parts) if p in MODIFIERS), len(parts))]
+    while parts and parts[-1] in GENERIC_PARTS:
+        parts.pop()
+    return bool(parts) and parts[-1] in DROPPED_NAMES
+
+
 class Line(NamedTuple):
     text: str
     tags: int
     linked: int
     home: int
     dropped: bool
+    # Numbers of the open elements whose names alone say boilerplate.
+    named: tuple[int, ...]
+    rooted: bool
 
 
 class LineParser(HTMLParser):
@@ -63,6 +87,10 @@ class LineParser(HTMLParser):
         self.lines: list[Line] = []
         self.open: list[tuple[str, int, bool]] = [("", 0, False)]
         self.count = 0
+        # Elements with a name of boilerplate; those of a compound name may be wrappers.
+        self.named: dict[int, bool] = {}
+        self.freed: set[int] = set()
+        self.articles = 0
         self.links = 0
         self._parts: list[str] = []
         self._tags = 0
@@ -77,7 +105,9 @@ class LineParser(HTMLParser):
         text = " ".join("".join(self._parts).split())
         if text:
             dropped = any(d for _, _, d in self.open)
-            self.lines.append(Line(text, max(1, self._tags), self._linked, self._home(), dropped))
+            named = tuple(n for _, n, _ in self.open if n in self.named)
+            rooted = any(name in ROOTS for name, _, _ in self.open)
+            self.lines.append(Line(text, max(1, self._tags), self._linked, self._home(), dropped, named, rooted))
             self._tags = 0
         self._parts, self._linked = [], 0
 
@@ -96,7 +126,24 @@ class LineParser(HTMLParser):
             self.open.pop()
         self.count += 1
         inside = any(name in ROOTS for name, _, _ in self.open)
-        self.open.append((tag, self.count, self._drops(tag, dict(attrs), inside)))
+        attributes = dict(attrs)
+        dropped = self._drops(tag, attributes, inside)
+        self.open.append((tag, self.count, dropped))
+        if dropped or any(d for _, _, d in self.open):
+            return
+        names = f"{attributes.get('class') or ''} {attributes.get('id') or ''}".split()
+        found = [n for n in names if boilerplate_name(n)]
+        within = [n for _, n, _ in self.open if n in self.named and n not in self.freed]
+        if tag in ROOTS:
+            # The first article or main frees the elements around it; later ones with such a name are comments.
+            if not self.articles:
+                self.freed.update(within)
+            elif tag == "article" and found and (inside or within):
+                self.named[self.count] = False
+            if tag == "article" and not (self.articles and within):
+                self.articles += 1
+        elif found and tag != "body":
+            self.named[self.count] = all(len(_NAME.findall(n)) > 1 for n in found)
 
     def _drops(self, tag: str, attrs: dict[str, str | None], inside: bool) -> bool:
         if tag in DROPPED or (tag == "header" and not inside):
@@ -105,12 +152,7 @@ class LineParser(HTMLParser):
             return True
         if (attrs.get("role") or "").lower() in DROPPED_ROLES:
             return True
-        if re.search(r"display\s*:\s*none", attrs.get("style") or ""):
-            return True
-        if tag in ("body", "main"):
-            return False
-        names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}"
-        return any(n.lower() in DROPPED_NAMES for n in _NAME.findall(names))
+        return bool(re.search(r"display\s*:\s*none", attrs.get("style") or ""))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -137,6 +179,18 @@ class LineParser(HTMLParser):
     def close(self) -> None:
         super().close()
         self.end_line()
+        shown = [x for x in self.lines if not x.dropped]
+        if not any(x.rooted for x in shown):
+            # Without article or main, a compound name around most of the text is that of a wrapper.
+            size: dict[int, int] = {}
+            for x in shown:
+                for n in x.named:
+                    size[n] = size.get(n, 0) + len(x.text)
+            total = sum(len(x.text) for x in shown)
+            best = max((len(x.text) / x.tags for x in shown), default=0)
+            rich = {n for x in shown if len(x.text) / x.tags == best for n in x.named}
+            self.freed.update(n for n in rich if self.named[n] and 2 * size[n] > total)
+        self.lines = [x._replace(dropped=x.dropped or not self.freed.issuperset(x.named)) for x in self.lines]
 
 
 def smoothed(values: np.ndarray, sigma: float = SIGMA, radius: int = RADIUS) -> np.ndarray:

@@ -201,6 +201,21 @@ def test_other_layouts():
     assert [html_text.main_text(h) for h in (None, "", "plain", "<p>a<p>b", "<<&#x;")] == ["", "", "plain", "a\nb", "<<&#x;"]
 
 
+def test_names_of_wrappers_drop_no_article():
+    long = "word " * 60
+    for wrapper in ("has-sidebar", "no-sidebar", "content with-menu", "layout-sidebar", "pageMenu", "sidebar"):
+        page = f"<body><div class='{wrapper}'><article class='post has-comments'><h1>T</h1><p>{long}</article></div>"
+        assert html_text.main_text(page) == f"T\n{long.strip()}", wrapper
+    for section in ("id='social-policy'", "class='related-work'", "class='no-ads'"):
+        page = f"<main><p>{long}<section {section}><p>{long}more</section></main>"
+        assert html_text.main_text(page) == f"{long.strip()}\n{long}more", section
+    page = f"<body><div class='layout-sidebar'><p>{long}</div><div class='sidebar'><p>side</div>"
+    assert html_text.main_text(page) == long.strip()
+    for name in ("comments", "comment-list", "relatedPosts", "share-buttons", "main-menu", "google-ad"):
+        page = f"<body><article><p>{long}</article><div class={name}><article class=comment><p>{long}</article></div>"
+        assert html_text.main_text(page) == long.strip(), name
+
+
 def test_pages_without_rows(spark):
     df = spark.createDataFrame([(1, None, None), (1, None, None)], "page_id long, url string, html string")
     assert [tuple(r) for r in html_text.extract(df).collect()] == [(1, None, "", 0)] * 2
