@@ -24,6 +24,8 @@ from casewright.llm.words import map_slices
 SIGMA = 1.0
 RADIUS = 2
 MAX_LINK_SHARE = 0.5
+# So many linked lines one after the other are a menu.
+MENU_LINES = 2
 
 # Element names of HTML and naming habits of page templates.
 INLINE = frozenset(
@@ -77,6 +79,8 @@ class Line(NamedTuple):
     # Numbers of the open elements whose names alone say boilerplate.
     named: tuple[int, ...]
     rooted: bool
+    # An item of a list in main, outside an article.
+    listed: bool
 
 
 class LineParser(HTMLParser):
@@ -91,7 +95,7 @@ class LineParser(HTMLParser):
         self.named: dict[int, bool] = {}
         self.freed: set[int] = set()
         self.articles = 0
-        self.links = 0
+        self.linked = False
         self._parts: list[str] = []
         self._tags = 0
         self._linked = 0
@@ -106,10 +110,16 @@ class LineParser(HTMLParser):
         if text:
             dropped = any(d for _, _, d in self.open)
             named = tuple(n for _, n, _ in self.open if n in self.named)
-            rooted = any(name in ROOTS for name, _, _ in self.open)
-            self.lines.append(Line(text, max(1, self._tags), self._linked, self._home(), dropped, named, rooted))
+            names = {name for name, _, _ in self.open}
+            rooted = not ROOTS.isdisjoint(names)
+            listed = rooted and "article" not in names and self.open[-1][0] == "li"
+            self.lines.append(
+                Line(text, max(1, self._tags), self._linked, self._home(), dropped, named, rooted, listed)
+            )
             self._tags = 0
         self._parts, self._linked = [], 0
+        # No link goes over the border of a block.
+        self.linked = False
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag not in INLINE:
@@ -118,7 +128,8 @@ class LineParser(HTMLParser):
         if tag == "br":
             self._parts.append(" ")
         elif tag == "a":
-            self.links += 1
+            # An anchor without a target links nothing; a second one ends the first.
+            self.linked = any(name == "href" for name, _ in attrs)
         if tag in VOID or tag in INLINE or tag == "html":
             return
         # A paragraph ends where the next block begins, an item where the next item does.
@@ -164,7 +175,7 @@ class LineParser(HTMLParser):
             self.end_line()
         self._tags += 1
         if tag == "a":
-            self.links = max(0, self.links - 1)
+            self.linked = False
         for k in range(len(self.open) - 1, 0, -1):
             if self.open[k][0] == tag:
                 del self.open[k:]
@@ -173,8 +184,8 @@ class LineParser(HTMLParser):
     def handle_data(self, data: str) -> None:
         if self.open[-1][0] not in ("script", "style"):
             self._parts.append(data)
-            if self.links:
-                self._linked += len(data.strip())
+            if self.linked:
+                self._linked += len("".join(data.split()))
 
     def close(self) -> None:
         super().close()
@@ -199,10 +210,27 @@ def smoothed(values: np.ndarray, sigma: float = SIGMA, radius: int = RADIUS) ->
     return np.convolve(np.pad(values, radius, mode="edge"), kernel / kernel.sum(), mode="valid")
 
 
+def without_menus(lines: list[Line]) -> list[Line]:
+    """The lines without runs of linked ones outside article and main.
+
+    In main, an item of a list that is a link and nothing else is left out too.
+    """
+    out: list[Line] = []
+    run: list[Line] = []
+    for x in lines:
+        letters = len(x.text.replace(" ", ""))
+        if not x.rooted and x.linked > MAX_LINK_SHARE * letters:
+            run.append(x)
+            continue
+        out += run if len(run) < MENU_LINES else []
+        run = []
+        if not (x.listed and x.linked >= letters):
+            out.append(x)
+    return out + (run if len(run) < MENU_LINES else [])
+
+
 def content_lines(lines: list[Line]) -> list[str]:
-    kept = [
-        x for x in lines if not x.dropped and x.linked <= MAX_LINK_SHARE * len(x.text.replace(" ", ""))
-    ]
+    kept = without_menus([x for x in lines if not x.dropped])
     if not kept:
         return []
     ratio = np.array([len(x.text) / x.tags for x in kept])

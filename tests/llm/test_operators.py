@@ -216,6 +216,21 @@ def test_names_of_wrappers_drop_no_article():
         assert html_text.main_text(page) == long.strip(), name
 
 
+def test_links_inside_the_main_text_stay():
+    long = "word " * 60
+    inner = f"<h1><a href=t>Title</a></h1><p>{long}<p><a href=x>A linked paragraph</a>.<ul><li><a href=y>link</a> one</ul>"
+    want = f"Title\n{long.strip()}\nA linked paragraph.\nlink one"
+    for root in ("article", "main"):
+        assert html_text.main_text(f"<body><{root}>{inner}</{root}>") == want
+    assert html_text.main_text(f"<article><p>{long}<ul><li><a href=y>link</a></ul></article>") == f"{long.strip()}\nlink"
+    for anchor in ("<a name='top'>", "<a href='x'>", "<a name=a><a name=b>"):
+        assert html_text.main_text(f"<body>{anchor}<p>{long}<p>{long}end") == f"{long.strip()}\n{long}end", anchor
+    menu = "<div><a href=1>Home</a></div><div><a href=2>News</a></div><div><a href=3>More</a></div>"
+    assert html_text.main_text(f"<body>{menu}<p>{long}<p><a href=z>single</a><p>{long}") == "\n".join(
+        [long.strip(), "single", long.strip()]
+    )
+
+
 def test_pages_without_rows(spark):
     df = spark.createDataFrame([(1, None, None), (1, None, None)], "page_id long, url string, html string")
     assert [tuple(r) for r in html_text.extract(df).collect()] == [(1, None, "", 0)] * 2
