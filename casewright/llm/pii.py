@@ -83,7 +83,7 @@ _LOOSE_PHONE = re.compile(r"(?<![0-9+])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 _AT = re.compile(r" ?[\[(]at[\])] ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|[\[(]dot[\])]) ?[A-Za-z0-9-]{1,63}){1,8}")
-_ASSIGNED = re.compile(r"[=:] ?[\"']?([A-Za-z0-9+/_.-]{8,256})")
+_ASSIGNED = re.compile(r"[=:] ?[\"']?([A-Za-z0-9+/_.-]{8,}+)")
 _KEY = re.compile(r"([A-Za-z_-]{2,24}) ?\Z")
 _ACCESS = re.compile(r"(?<![A-Z0-9])AKIA[A-Z0-9]{16}(?![A-Z0-9])")
 
@@ -171,7 +171,8 @@ def candidates(text: str) -> list[Candidate]:
     if "at)" in text or "at]" in text:
         for m in _AT.finditer(text):
             start = m.start()
-            while start > max(0, m.start() - 64) and text[start - 1] in _LOCAL:
+            # The bracket of the address before is a border, so no character is read twice.
+            while start and text[start - 1] in _LOCAL:
                 start -= 1
             if start < m.start():
                 add("email", start, m.end(), False, False)

@@ -167,6 +167,15 @@ def test_added_spans_and_masks(spark, odd, none):
     assert pii.mask(odd).columns == odd.columns
 
 
+def test_long_secrets_and_local_parts_are_whole(spark):
+    secret = "".join("ab7Kx9_-.Q"[k * k % 10] for k in range(3000))
+    rows = [(k, f"token={secret} end of secret") for k in range(20)]
+    df = spark.createDataFrame([*rows, (99, f"write to {'joe.x' * 60} (at) mail (dot) com now")], "doc_id long, text string")
+    masked = {r.doc_id: r.text for r in pii.mask(df).collect()}
+    assert masked[0] == "token=<SECRET> end of secret"
+    assert masked[99] == "write to <EMAIL> now"
+
+
 def test_masks_join_overlapping_spans():
     spans = [{"kind": "ip", "start": 2, "end": 6}, {"kind": "card", "start": 4, "end": 9}]
     assert pii.masked("0123456789", spans) == "01<IP>9"
