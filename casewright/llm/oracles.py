@@ -136,8 +136,39 @@ QUALIFY row_number() OVER (
   PARTITION BY doc_id, scope, first_line, last_line ORDER BY dice DESC, template) = 1
 """
 
+OP12 = """
+WITH scaled AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, x -> 256 * x::DOUBLE) AS v
+  FROM embeddings
+),
+vectors AS (
+  SELECT row_number() OVER () AS uid, vec_id, label, list_transform(v, x -> floor(x)::BIGINT) AS v
+  FROM scaled
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND v IS NOT NULL
+    AND len(list_filter(v, x -> coalesce(isfinite(x), false))) = len(v)
+),
+scored AS (
+  SELECT a.uid AS anchor, a.vec_id AS anchor_id, a.label = b.label AS same, b.uid, b.vec_id,
+    coalesce(list_sum(list_transform(range(1, least(len(a.v), len(b.v)) + 1), i -> a.v[i] * b.v[i])), 0)::BIGINT
+      AS score
+  FROM vectors a JOIN vectors b ON a.vec_id % 100 = 0 AND a.uid <> b.uid
+),
+positives AS (
+  SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id, uid) <= 5
+)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+  row_number() OVER (PARTITION BY p.anchor, p.uid ORDER BY n.score DESC, n.vec_id, n.uid)::INTEGER AS rank,
+  n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor = p.anchor AND NOT n.same
+  AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.anchor, p.uid ORDER BY n.score DESC, n.vec_id, n.uid) <= 10
+"""
+
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": OP1,
     "op9_license_scan": OP9,
     "op10_quality_rules": OP10,
+    "op12_hard_negatives": OP12,
 }

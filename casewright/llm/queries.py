@@ -8,14 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casewright.llm import (
+    bpe,
     decontamination,
     html_text,
     licenses,
+    negatives,
     packing,
     pii,
     repetition,
     sharding,
     simhash,
+    spelling,
     substring,
     token_files,
 )
@@ -119,3 +122,29 @@ def op9_license_scan(spark, d):
 @query
 def op10_quality_rules(spark, d):
     return repetition.judged(_table(spark, d, "documents")).drop("longest_repeat")
+
+
+@query
+def op11_spelling_variants(spark, d):
+    words = spelling.stored_words(spelling.observed_words(_table(spark, d, "documents")))
+    return spelling.spelling_variants(words)
+
+
+@query
+def op12_hard_negatives(spark, d):
+    vectors = _table(spark, d, "embeddings")
+    other = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = negatives.stored_rows(negatives.scaled_rows(vectors.withColumn("label", other)))
+    found = negatives.hard_negatives(rows, rows.where(F.col("vec_id") % 100 == 0))
+    return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+@query
+def op13_pair_index_bpe(spark, d):
+    texts = bpe.decode_ids(bpe.encode_texts(_table(spark, d, "documents")))
+    return texts.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )

@@ -4,15 +4,19 @@ The library encodes a text piece by piece, and a piece never crosses a single
 white-space byte between two visible ASCII neighbours, nor the border between
 an ASCII letter or digit and a following sign.  Texts are cut there, every
 different chunk is encoded once by the library, and its ids are kept in a
-bounded store of the worker.  The ids are those of the uncut text.
+bounded store of the worker.  The ids are those of the uncut text, special
+strings included: an added token's string stands for itself, as the library
+does by default, so texts are cut at its borders and never inside it.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import public_tokenizers
@@ -63,19 +67,69 @@ def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
+def special_pattern(tokenizer: Tokenizer) -> re.Pattern[bytes] | None:
+    """Matches the strings of added tokens, the longest first where several begin."""
+    added = tokenizer.get_added_tokens_decoder().values()
+    if any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added):
+        raise ValueError("added tokens that depend on their neighbours are not supported")
+    strings = sorted({t.content.encode() for t in added}, key=len, reverse=True)
+    return re.compile(b"|".join(map(re.escape, strings))) if strings else None
+
+
+def special_spans(data: np.ndarray, offsets: np.ndarray, pattern: re.Pattern[bytes] | None) -> np.ndarray:
+    """Begin and end of every special string inside one text, as rows."""
+    text = data.tobytes()
+    if pattern is None or not pattern.search(text):
+        return np.empty((0, 2), np.int64)
+    bounds = offsets.tolist()
+    found = [m.span() for a, b in zip(bounds, bounds[1:]) for m in pattern.finditer(text, a, b)]
+    return np.asarray(found, np.int64).reshape(-1, 2)
+
+
+def chunk_borders(data: np.ndarray, offsets: np.ndarray, pattern: re.Pattern[bytes] | None) -> np.ndarray:
+    """Borders of the chunks of all texts; a special string is a chunk of its own."""
+    spans = special_spans(data, offsets, pattern)
+    if not len(spans):
+        return chunk_starts(data, offsets)
+    starts = chunk_starts(data, np.union1d(offsets, spans))
+    at = np.searchsorted(spans[:, 0], starts, side="left") - 1
+    inside = (at >= 0) & (starts < spans[at, 1])
+    return starts[~inside]
+
+
+class Chunks(NamedTuple):
+    """Different chunks, the kind of every chunk, and the first chunk of every text."""
+
+    kinds: list[bytes]
+    which: np.ndarray
+    first: np.ndarray
+
+
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit integers, with ``END_ID`` appended."""
+    """Ids of texts as little-endian unsigned 32-bit integers, with ``end`` appended."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, end: bytes = END_ID.to_bytes(4, "little")):
         # A task has one core; threads of the library would only take those of other tasks.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.special = special_pattern(self.tokenizer)
+        self.end = end
         self.new: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
+    def encode_chunks(self, chunks: list[bytes]) -> list[bytes]:
+        """Ids of chunks that are not in the store."""
+        out: list[bytes] = []
+        for at in range(0, len(chunks), 1024):
+            texts = [c.decode() for c in chunks[at : at + 1024]]
+            found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            out.extend(array("I", e.ids).tobytes() for e in found)
+        return out
+
     def _ids(self, chunks: list[bytes]) -> list[bytes]:
-        """Ids of different chunks; unknown ones go through the library."""
+        """Ids of different chunks; unknown ones are encoded."""
         new, old = self.new, self.old
         out = list(map(new.get, chunks))
         other = [k for k, v in enumerate(out) if v is None]
@@ -85,40 +139,45 @@ class Encoder:
                 missing.append(k)
             else:
                 out[k] = v
-        for at in range(0, len(missing), 1024):
-            part = missing[at : at + 1024]
-            texts = [chunks[k].decode() for k in part]
-            for k, e in zip(part, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-                out[k] = array("I", e.ids).tobytes()
+        for k, ids in zip(missing, self.encode_chunks([chunks[k] for k in missing])):
+            out[k] = ids
         new.update((c, out[k]) for k in other if len(c := chunks[k]) <= KEPT_BYTES)
         if len(new) > KEPT_CHUNKS:
             self.old, self.new = new, {}
         return out
 
-    def encode(self, column: pa.Array) -> list[bytes]:
-        """Ids of every text of a column; null is empty.
+    def cut(self, column: pa.Array) -> Chunks:
+        """The different chunks of a column and where they stand; null is empty.
 
-        Equal chunks of the column are recognised by a 64-bit hash, so that
-        the library and the store see each of them once.
+        Equal chunks are recognised by a 64-bit hash, so that the library and
+        the store see each of them once.
         """
         data, offsets = raw(column)
-        starts = chunk_starts(data, offsets)
+        starts = chunk_borders(data, offsets, self.special)
         begin, stop = starts[:-1], starts[1:]
         _, some, which = np.unique(
             span_hashes(data, begin, stop), return_index=True, return_inverse=True
         )
         text = data.tobytes()
         kinds = [text[a:b] for a, b in zip(begin[some].tolist(), stop[some].tolist())]
-        ids = self._ids(kinds)
+        return Chunks(kinds, which, np.searchsorted(starts, offsets))
+
+    def join(self, chunks: Chunks, ids: list[bytes]) -> list[bytes]:
+        """Ids of every text, from the ids of its chunks."""
         flat = np.frombuffer(b"".join(ids), "<u4")
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         where = np.cumsum(size) - size
-        sizes = size[which]
+        sizes = size[chunks.which]
         ends = np.cumsum(sizes)
-        tokens = flat[np.repeat(where[which] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
-        bounds = np.concatenate([[0], ends])[np.searchsorted(starts, offsets)].tolist()
-        packed, end = tokens.tobytes(), np.asarray([END_ID], "<u4").tobytes()
-        return [packed[4 * a : 4 * b] + end for a, b in zip(bounds, bounds[1:])]
+        places = np.repeat(where[chunks.which] - ends + sizes, sizes)
+        packed = flat[places + np.arange(ends[-1] if len(ends) else 0)].tobytes()
+        bounds = np.concatenate([[0], ends])[chunks.first].tolist()
+        return [packed[4 * a : 4 * b] + self.end for a, b in zip(bounds, bounds[1:])]
+
+    def encode(self, column: pa.Array) -> list[bytes]:
+        """Ids of every text of a column; null is empty."""
+        chunks = self.cut(column)
+        return self.join(chunks, self._ids(chunks.kinds))
 
 
 @lru_cache(maxsize=2)

@@ -252,7 +252,6 @@ def test_pages_without_rows(spark):
 @pytest.fixture(scope="module")
 def ids():
     tokenizer = Tokenizer.from_file(tokenizer_path())
-    tokenizer.encode_special_tokens = True
 
     def encode(text):
         return np.asarray([*tokenizer.encode(text or "", add_special_tokens=False).ids, 0], "<u4").tobytes()
