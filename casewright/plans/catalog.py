@@ -12,10 +12,22 @@ from pyspark.sql import functions as F
 from casewright import schemas
 from casewright.functions import elements as el
 from casewright.functions import embedding, fields, html, language, numeric, paths, text
-from casewright.operators import batch, cases, context, evaluation, logs, merge, ranking, rules, search, sessions
+from casewright.operators import (
+    batch,
+    cases,
+    context,
+    evaluation,
+    logs,
+    merge,
+    ranking,
+    rules,
+    search,
+    sessions,
+    vector_index,
+)
 from casewright.plans import cases as fixture
 from casewright.plans.cases import table
-from casewright.plans.settings import EMBED_DIMS, LSH_BITS, LSH_TABLES
+from casewright.plans.settings import ASKED_EVERY, EMBED_DIMS, LSH_BITS, LSH_TABLES
 from casewright.session import shared_folder
 from casewright.sources import files, tables
 from casewright.streaming import jobs
@@ -24,7 +36,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-
 def query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
     return fn
@@ -797,25 +808,48 @@ def knn_range_filtered(spark, d):
     return _rounded(_knn(spark, d, filters="label >= 5"))
 
 
+def _asked(vectors: DataFrame) -> DataFrame:
+    """The rows that search for their neighbours."""
+    return vectors.where(F.col("id") % ASKED_EVERY == 0).withColumnRenamed("id", "query_id")
+
+
 @query
 def ann_lsh(spark, d):
     """Approximate search through hyperplane buckets."""
-    vectors = _vectors(spark, d)
     codes = embedding.plane_codes(F.col("vector"), 64, LSH_TABLES, LSH_BITS)
-    queries = search.label_centroids(vectors).withColumn("codes", codes)
-    return _rounded(search.approximate_search(vectors.withColumn("codes", codes), queries, 10))
+    vectors = _vectors(spark, d).withColumn("codes", codes)
+    return _rounded(search.approximate_search(vectors, _asked(vectors), 10))
 
 
 @query
 def ann_candidates(spark, d):
     """How many rows of each query's buckets approximate search scores."""
-    vectors = _vectors(spark, d)
     codes = embedding.plane_codes(F.col("vector"), 64, LSH_TABLES, LSH_BITS)
-    queries = search.label_centroids(vectors).withColumn("codes", codes)
-    pairs = search.candidate_pairs(vectors.withColumn("codes", codes), queries)
+    vectors = _vectors(spark, d).withColumn("codes", codes)
+    pairs = search.candidate_pairs(vectors, _asked(vectors))
     return pairs.groupBy("query_id").agg(F.count(F.lit(1)).alias("scored"))
 
 
+def _cells(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, vector_index.Model]:
+    """Stored index of all vectors, the rows that ask, and the fitted model."""
+    vectors = _vectors(spark, d)
+    model = vector_index.fit(vectors)
+    return vector_index.build(vectors, model, shared_folder(spark, "cells")), _asked(vectors), model
+
+
+@query
+def ann_cells(spark, d):
+    """Approximate search through the inverted file, for every row whose id 20 divides."""
+    index, asked, model = _cells(spark, d)
+    return _rounded(vector_index.cell_search(index, asked, model, 10))
+
+
+@query
+def ann_cells_met(spark, d):
+    """How many cells each query looks into, and how many rows it meets there."""
+    return vector_index.rows_met(*_cells(spark, d))
+
+
 @query
 def retrieval_metrics(spark, d):
     vectors = _vectors(spark, d)

@@ -9,7 +9,8 @@ splits go through a marker character.
 from __future__ import annotations
 
 from casewright.functions.embedding import plane_table
-from casewright.plans.settings import LSH_BITS, LSH_TABLES
+from casewright.operators import vector_index
+from casewright.plans.settings import ASKED_EVERY, LSH_BITS, LSH_TABLES
 
 WS = r"[\t\n\x0B\f\r\x1C-\x20\x{85}\p{Z}]"
 TOKENS = r"regexp_extract_all(lower({}), '[\p{{L}}\p{{N}}]+')"
@@ -367,16 +368,72 @@ def _lsh_cte() -> str:
     return f"""{_VECTORS}, planes(dim, plane, w) AS (VALUES {values}),
 sides AS (
   SELECT side, id, plane, sum(v * w) > 0 AS above
-  FROM (SELECT 'd' AS side, id, dim, v FROM dims UNION ALL SELECT 'q', query_id, dim, v FROM centre)
+  FROM (SELECT 'd' AS side, id, dim, v FROM dims UNION ALL
+        SELECT 'q', id, dim, v FROM dims WHERE id % {ASKED_EVERY} = 0)
   JOIN planes USING (dim) GROUP BY side, id, plane),
 codes AS (
   SELECT side, id, plane // {LSH_BITS} AS t, sum(above::INTEGER * (1 << (plane % {LSH_BITS}))) AS code
   FROM sides GROUP BY side, id, t),
 pairs AS (
-  SELECT DISTINCT q.id::INTEGER AS query_id, d.id FROM codes q JOIN codes d USING (t, code)
+  SELECT DISTINCT q.id AS query_id, d.id FROM codes q JOIN codes d USING (t, code)
   WHERE q.side = 'q' AND d.side = 'd')"""
 
 
+def _nearest(rows: str, centres: str) -> str:
+    """id, code and cell of rows; the centre of greatest product, of equals the first."""
+    return f"""SELECT s.id, s.code, c.cell FROM {rows} s CROSS JOIN {centres} c
+      QUALIFY row_number() OVER (PARTITION BY s.id ORDER BY list_dot_product(s.code, c.code) DESC, c.cell) = 1"""
+
+
+def _cells_cte() -> str:
+    """Cells, margin and the rows each query meets, as the inverted file is defined."""
+    vi = vector_index
+
+    def code(v: str) -> str:
+        norm = f"sqrt(list_sum(list_transform({v}, lambda x: x * x)))"
+        return f"list_transform({v}, lambda x: coalesce(floor({vi.UNIT} * x / nullif({norm}, 0) + 0.5), 0))"
+
+    rounds = "".join(
+        f"""
+near{r} AS ({_nearest("sample", f"centres{r}")}),
+means{r} AS (
+  SELECT cell, list(mean ORDER BY dim) AS v FROM (
+    SELECT cell, dim, sum(v) / count(*) AS mean
+    FROM (SELECT cell, unnest(code) AS v, generate_subscripts(code, 1) AS dim FROM near{r}) GROUP BY cell, dim)
+  GROUP BY cell),
+centres{r + 1} AS (
+  SELECT c.cell, CASE WHEN m.cell IS NULL THEN c.code ELSE {code("m.v")} END AS code
+  FROM centres{r} c LEFT JOIN means{r} m USING (cell)),"""
+        for r in range(vi.ROUNDS)
+    )
+    last = f"centres{vi.ROUNDS}"
+    return f"""
+coded AS (
+  SELECT vec_id AS id, {code("embedding::DOUBLE[]")} AS code FROM embeddings WHERE embedding IS NOT NULL),
+sample AS (
+  SELECT *, row_number() OVER (ORDER BY md5(id::VARCHAR), id) AS n FROM coded QUALIFY n <= {vi.SAMPLE_ROWS}),
+centres0 AS (
+  SELECT n AS cell, code FROM sample
+  WHERE n <= greatest(1, least({vi.MOST_CELLS}, (SELECT count(*) // {vi.ROWS_PER_CELL} FROM sample)))),{rounds}
+placed AS ({_nearest("coded", last)}),
+asking AS (SELECT * FROM sample WHERE n > (SELECT count(*) FROM sample) - {vi.CALIBRATION_ROWS}),
+close AS (
+  SELECT a.id AS asked, s.id, s.n FROM asking a JOIN sample s ON a.id <> s.id
+  QUALIFY row_number() OVER (PARTITION BY a.id ORDER BY list_dot_product(a.code, s.code) DESC, s.n) <= {vi.NEIGHBOURS}),
+to_centres AS (
+  SELECT a.id, c.cell, list_dot_product(a.code, c.code) AS product,
+    max(list_dot_product(a.code, c.code)) OVER (PARTITION BY a.id) AS best
+  FROM (SELECT id, code FROM asking UNION SELECT id, code FROM coded WHERE id % {ASKED_EVERY} = 0) a
+  CROSS JOIN {last} c),
+gaps AS (
+  SELECT best - product AS gap, row_number() OVER (ORDER BY best - product) AS n, count(*) OVER () AS total
+  FROM close k JOIN placed p ON p.id = k.id JOIN to_centres t ON t.id = k.asked AND t.cell = p.cell),
+margin AS (SELECT max(gap) AS margin FROM gaps WHERE n = ceil({vi.TARGET} * total)),
+looked AS (
+  SELECT id AS query_id, cell FROM to_centres, margin WHERE product >= best - margin AND id % {ASKED_EVERY} = 0),
+met AS (SELECT query_id, p.id, cell, p.code FROM looked JOIN placed p USING (cell))"""
+
+
 def _bm25_cte(k: int, questions: str = "SELECT item_id AS query_id, text FROM benchmark") -> str:
     return f"""
 questions AS ({questions}),
@@ -748,10 +805,23 @@ ORACLES: dict[str, str] = {
     "knn_filtered": _knn(where="d.label = 3"),
     "knn_range_filtered": _knn(where="d.label >= 5"),
     "ann_lsh": f"""WITH {_lsh_cte()}, scored AS (
-          SELECT query_id, id, round({_METRIC["cosine"]}, 9) AS score
-          FROM pairs JOIN dims d USING (id) JOIN centre q USING (query_id, dim) GROUP BY query_id, id),
+          SELECT query_id, p.id, round({_METRIC["cosine"]}, 9) AS score
+          FROM pairs p JOIN dims d USING (id) JOIN dims q ON q.id = p.query_id AND q.dim = d.dim
+          GROUP BY query_id, p.id),
+        {_top("best", "SELECT * FROM scored", 10)}
+        SELECT query_id, id, rank, round(score, 6) AS score FROM best""",
+    "ann_cells": f"""WITH {_cells_cte()}, {_VECTORS}, short AS (
+          SELECT m.query_id, m.id FROM met m JOIN coded q ON q.id = m.query_id
+          QUALIFY row_number() OVER (
+            PARTITION BY query_id ORDER BY list_dot_product(m.code, q.code) DESC, m.id) <= {10 * vector_index.SHORT}),
+        scored AS (
+          SELECT query_id, p.id, round({_METRIC["cosine"]}, 9) AS score
+          FROM short p JOIN dims d USING (id) JOIN dims q ON q.id = p.query_id AND q.dim = d.dim
+          GROUP BY query_id, p.id),
         {_top("best", "SELECT * FROM scored", 10)}
         SELECT query_id, id, rank, round(score, 6) AS score FROM best""",
+    "ann_cells_met": f"""WITH {_cells_cte()}
+        SELECT query_id, count(DISTINCT cell) AS cells, count(*) AS rows FROM met GROUP BY query_id""",
     "ann_candidates": f"WITH {_lsh_cte()} SELECT query_id, count(*) AS scored FROM pairs GROUP BY query_id",
     "retrieval_metrics": f"""WITH {_knn_cte()}, totals AS (
         SELECT label AS query_id, count(*) AS total FROM embeddings GROUP BY label),

@@ -4,4 +4,6 @@ from __future__ import annotations
 
 EMBED_DIMS = 256
 # Hyperplane buckets: tables of so many planes each.
-LSH_TABLES, LSH_BITS = 24, 6
+LSH_TABLES, LSH_BITS = 64, 6
+# Approximate searches ask for the neighbours of every row whose id this divides.
+ASKED_EVERY = 20

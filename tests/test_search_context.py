@@ -2,13 +2,16 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from casewright.functions import embedding
-from casewright.operators import context, evaluation, ranking, search
+from casewright.operators import context, evaluation, ranking, search, vector_index
+from casewright.plans.settings import LSH_BITS, LSH_TABLES
+from casewright.session import shared_folder
 
 
 def rows(df, *names):
@@ -85,18 +88,72 @@ def test_centroids(vectors):
         assert np.allclose(got[label], base[label::4].mean(0))
 
 
-def test_hyperplane_buckets_recall(spark):
-    v = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").select(
-        F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), "label"
+def embeddings(spark, folder):
+    v = spark.read.parquet(f"/root/testdata/{folder}/embeddings.parquet").select(
+        F.col("vec_id").alias("id"), F.col("embedding").alias("vector")
     )
-    codes = embedding.plane_codes(F.col("vector"), 64, tables=24, bits=6)
-    q = search.label_centroids(v)
+    return v, v.where("id % 20 = 0").withColumnRenamed("id", "query_id")
+
+
+@pytest.mark.parametrize("folder", ["sf0.001", "sf0.01", "sf0.1"])
+def test_hyperplane_buckets_recall(spark, folder):
+    v, q = embeddings(spark, folder)
     exact = set(rows(search.vector_search(v, q, 10), "query_id", "id"))
+    codes = embedding.plane_codes(F.col("vector"), 64, LSH_TABLES, LSH_BITS)
     coded, asked = v.withColumn("codes", codes), q.withColumn("codes", codes)
     near = set(rows(search.approximate_search(coded, asked, 10), "query_id", "id"))
-    assert len(exact & near) / len(exact) > 0.6
-    # It scores far fewer pairs than there are.
-    assert search.candidate_pairs(coded, asked).count() < 0.4 * v.count() * q.count()
+    assert len(exact & near) / len(exact) >= 0.9
+
+
+@pytest.mark.parametrize("folder", ["sf0.001", "sf0.01", "sf0.1"])
+def test_cells_recall(spark, folder):
+    v, q = embeddings(spark, folder)
+    exact = set(rows(search.vector_search(v, q, 10), "query_id", "id"))
+    model = vector_index.fit(v)
+    index = vector_index.build(v, model, shared_folder(spark, "cells"))
+    near = set(rows(vector_index.cell_search(index, q, model, 10), "query_id", "id"))
+    assert len(exact & near) / len(exact) >= 0.9
+    # Vectors are read for a short list, codes for part of the rows.
+    pairs = v.count() * q.count()
+    few = vector_index.short_list(index, q, model, 40)
+    assert few.count() < 0.1 * pairs
+    met = vector_index.rows_met(index, q, model).agg(F.sum("rows")).first()[0]
+    assert few.count() < met < 0.75 * pairs
+    plan = vector_index.short_list(index, q, model, 40)._jdf.queryExecution().toString()
+    scan = next(x for x in plan.splitlines()[::-1] if "FileScan parquet" in x)
+    assert "vector" not in scan.split("ReadSchema")[1]
+
+
+def test_cells_of_clusters(spark):
+    """Clustered rows, one cluster with half of them: a query meets its own cluster alone."""
+    rng = np.random.default_rng(11)
+    centre = np.eye(16)[:8] * 10
+    label = np.where(rng.random(2000) < 0.5, 0, rng.integers(0, 8, 2000))
+    base = centre[label] + rng.standard_normal((2000, 16)) * 0.5
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(base)], "id long, vector array<double>")
+    model = vector_index.fit(df, cells=32)
+    index = vector_index.build(df, model, shared_folder(spark, "cells"))
+    q = df.where("id % 20 = 0").withColumnRenamed("id", "query_id")
+    exact = set(rows(search.vector_search(df, q, 10), "query_id", "id"))
+    near = set(rows(vector_index.cell_search(index, q, model, 10), "query_id", "id"))
+    assert len(exact & near) / len(exact) >= 0.9
+    own = Counter(label.tolist())
+    met = {r.query_id: r.rows for r in vector_index.rows_met(index, q, model).collect()}
+    assert all(met[i] <= 1.05 * own[label[i]] for i in met)
+
+
+def test_cells_of_odd_rows(spark):
+    """Null and zero vectors, copies and an empty table."""
+    data = [(1, [1.0, 0.0]), (2, None), (3, [0.0, 0.0]), (4, [1.0, 0.0]), (5, [0.0, 2.0])]
+    df = spark.createDataFrame(data, "id long, vector array<double>")
+    q = df.withColumnRenamed("id", "query_id")
+    for rows_ in (df, df.where("id < 0")):
+        model = vector_index.fit(rows_, target=1.0)
+        index = vector_index.build(rows_, model, shared_folder(spark, "cells"))
+        got = rows(vector_index.cell_search(index, q, model, 2), "query_id", "id", "rank")
+        want = {(1, 1, 1), (1, 4, 2), (4, 1, 1), (4, 4, 2), (5, 5, 1)} if rows_ is df else set()
+        assert want <= set(got)
+        assert {x[0] for x in got} == ({1, 3, 4, 5} if want else set())
 
 
 @pytest.mark.parametrize("metric", ["cosine", "dot", "l2"])
