@@ -139,18 +139,18 @@ QUALIFY row_number() OVER (
 OP12 = """
 WITH scaled AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-    list_transform(embedding, x -> 256 * x::DOUBLE) AS v
+    list_transform(embedding, lambda x: 256 * x::DOUBLE) AS v
   FROM embeddings
 ),
 vectors AS (
-  SELECT row_number() OVER () AS uid, vec_id, label, list_transform(v, x -> floor(x)::BIGINT) AS v
+  SELECT row_number() OVER () AS uid, vec_id, label, list_transform(v, lambda x: floor(x)::BIGINT) AS v
   FROM scaled
   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND v IS NOT NULL
-    AND len(list_filter(v, x -> coalesce(isfinite(x), false))) = len(v)
+    AND len(list_filter(v, lambda x: coalesce(isfinite(x), false))) = len(v)
 ),
 scored AS (
   SELECT a.uid AS anchor, a.vec_id AS anchor_id, a.label = b.label AS same, b.uid, b.vec_id,
-    coalesce(list_sum(list_transform(range(1, least(len(a.v), len(b.v)) + 1), i -> a.v[i] * b.v[i])), 0)::BIGINT
+    coalesce(list_sum(list_transform(range(1, least(len(a.v), len(b.v)) + 1), lambda i: a.v[i] * b.v[i])), 0)::BIGINT
       AS score
   FROM vectors a JOIN vectors b ON a.vec_id % 100 = 0 AND a.uid <> b.uid
 ),
