@@ -329,10 +329,11 @@ def keyword_search(
     """Best ``k`` corpus rows per query by BM25 (Robertson & Zaragoza 2009).
 
     ``corpus`` has id and text, ``queries`` has query_id and text.  Statistics
-    are those of the filtered corpus.  Only terms of the queries are counted.
-    Rows without any query term are not hits.
+    are those of the filtered corpus, in which a null text is an empty one.
+    Only terms of the queries are counted.  Rows without any query term are not hits.
     """
-    rows = apply_filters(corpus, filters).select("id", tokens(F.col("text")).alias("terms"))
+    found = F.coalesce(tokens(F.col("text")), F.array().cast("array<string>"))
+    rows = apply_filters(corpus, filters).select("id", found.alias("terms"))
     asked = queries.select(
         "query_id", F.explode(F.array_distinct(tokens(F.col("text")))).alias("term")
     )

@@ -17,6 +17,7 @@ from casewright.operators import (
     cases,
     context,
     evaluation,
+    index_store,
     logs,
     merge,
     ranking,
@@ -872,24 +873,48 @@ def _questions(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), "text")
 
 
+def _stored_columns(rows: DataFrame) -> DataFrame:
+    """What the index keeps of a document: its vector and its postings, not its text."""
+    counted = rows.withColumn("words", index_store.term_counts(F.col("text")))
+    length = F.aggregate("words", F.lit(0).cast("long"), lambda n, w: n + w.tf)
+    vector = embedding.hash_embedding(F.col("text"), EMBED_DIMS)
+    return counted.select("id", "text_hash", "lang", vector.alias("vector"), "words", length.alias("length"))
+
+
+_indexes: dict[tuple[str, str], index_store.Snapshot] = {}
+
+
+def _index(spark: SparkSession, d: str) -> index_store.Snapshot:
+    """The stored index of all documents, synchronised and compacted once per session and folder."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _indexes:
+        root = shared_folder(spark, "index")
+        docs = jobs.read_stream(spark, d, schemas.DOCUMENTS, "documents.parquet").select(
+            F.col("doc_id").alias("id"), "text", "lang"
+        )
+        index_store.sync(docs, root, f"{root}-checkpoint", _stored_columns)
+        _indexes[key] = index_store.compact(spark, root)
+    return _indexes[key]
+
+
+def _embedded(spark: SparkSession, d: str) -> DataFrame:
+    return _questions(spark, d).withColumn("vector", embedding.hash_embedding(F.col("text"), EMBED_DIMS))
+
+
 def _keyword(spark: SparkSession, d: str, k: int) -> DataFrame:
-    return search.keyword_search(_documents(spark, d), _questions(spark, d), k)
+    return index_store.keyword_search(spark, _index(spark, d), _questions(spark, d), k)
 
 
 def _semantic(spark: SparkSession, d: str, k: int) -> DataFrame:
-    vector = embedding.hash_embedding(F.col("text"), EMBED_DIMS)
-    return search.vector_search(
-        _documents(spark, d).withColumn("vector", vector),
-        _questions(spark, d).withColumn("vector", vector),
-        k,
-    )
+    stored = index_store.live_rows(spark, _index(spark, d)).select("id", "vector")
+    return search.vector_search(stored, _embedded(spark, d), k)
 
 
 POOL = 20
 
 
 def _hybrid(spark: SparkSession, d: str, k: int) -> DataFrame:
-    return search.fuse_ranks([_semantic(spark, d, POOL), _keyword(spark, d, POOL)], k)
+    return index_store.hybrid_search(spark, _index(spark, d), _embedded(spark, d), k, POOL)
 
 
 @query
@@ -1230,47 +1255,76 @@ def stream_elements(spark, d):
     return spark.read.parquet(path).select("page_id", "idx", "type", "content")
 
 
-@query
-def stream_index_sync(spark, d):
-    """The stored vectors after two runs, the first of them over a part of the documents."""
-    return _stored_index(spark, d).select(
+def _partly_stored(spark: SparkSession, d: str) -> index_store.Snapshot:
+    """The index after two runs and compactions, the first over a part of the documents."""
+    root = shared_folder(spark, "stream-index")
+    docs = jobs.read_stream(spark, d, schemas.DOCUMENTS, "documents.parquet").select(
+        F.col("doc_id").alias("id"), "text", "lang"
+    )
+    index_store.sync(docs.where(F.col("lang") != "en"), root, f"{root}-part", _stored_columns)
+    index_store.compact(spark, root)
+    index_store.sync(docs, root, f"{root}-all", _stored_columns)
+    return index_store.compact(spark, root)
+
+
+def _contents(rows: DataFrame) -> DataFrame:
+    return rows.select(
         "id",
         F.size(F.filter("vector", lambda x: x > 0)).alias("filled"),
         _r(F.array_max("vector")).alias("greatest"),
     )
 
 
-def _stored_index(spark: SparkSession, d: str) -> DataFrame:
-    path = shared_folder(spark, "stream-index")
-    docs = jobs.read_stream(spark, d, schemas.DOCUMENTS, "documents.parquet").select(
-        F.col("doc_id").alias("id"), "text", "lang"
-    )
+@query
+def stream_index_sync(spark, d):
+    """The stored vectors after two runs, the first of them over a part of the documents."""
+    return _contents(index_store.live_rows(spark, _partly_stored(spark, d)))
 
-    def embed(rows: DataFrame) -> DataFrame:
-        vector = embedding.hash_embedding(F.col("text"), EMBED_DIMS)
-        return rows.select("id", "text_hash", "lang", vector.alias("vector"))
 
-    jobs.sync_index(docs.where(F.col("lang") != "en"), path, f"{path}-part", embed)
-    jobs.sync_index(docs, path, f"{path}-all", embed)
-    return jobs.current_index(spark, path)
+def _changed(spark: SparkSession, d: str) -> index_store.Snapshot:
+    """The index after the source changed: some documents are gone, some changed, some new."""
+    root = shared_folder(spark, "changed-index")
+    before = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text", "lang")
+    old = before.where(F.col("lang") != "fr")
+    more = F.when(F.col("id") % 3 == 0, F.concat("text", F.lit(" and once more"))).otherwise(F.col("text"))
+    twice = old.where(F.col("id") % 10 == 0).withColumn("id", -1 - F.col("id"))
+    after = old.withColumn("text", more).unionByName(twice)
+    for number, source in enumerate((before, after)):
+        folder = shared_folder(spark, "snapshot")
+        source.write.parquet(folder)
+        docs = jobs.read_stream(spark, folder, "id long, text string, lang string")
+        index_store.sync(docs, root, f"{root}-{number}", _stored_columns)
+        snapshot = index_store.compact(spark, root)
+    live = index_store.live_rows(spark, snapshot)
+    jobs.delete_missing(spark.read.parquet(folder), f"{root}/{index_store.LOG}", live)
+    return index_store.compact(spark, root)
+
+
+@query
+def index_delete(spark, d):
+    """What the index holds after insertions, changes and deletions."""
+    rows = index_store.live_rows(spark, _changed(spark, d))
+    return rows.select("id", "lang", "length", F.size("words").alias("terms"))
+
+
+@query
+def index_delete_search(spark, d):
+    """Keyword search on that index."""
+    return _rounded(index_store.keyword_search(spark, _changed(spark, d), _questions(spark, d), 10))
 
 
 @query
 def index_search(spark, d):
     """Semantic search on the stored vectors."""
-    asked = _questions(spark, d).withColumn(
-        "vector", embedding.hash_embedding(F.col("text"), EMBED_DIMS)
-    )
-    return _rounded(search.vector_search(_stored_index(spark, d), asked, 10))
+    rows = index_store.live_rows(spark, _partly_stored(spark, d)).select("id", "vector")
+    return _rounded(search.vector_search(rows, _embedded(spark, d), 10))
 
 
 @query
 def index_search_filtered(spark, d):
     """The same among the documents of one language."""
-    asked = _questions(spark, d).withColumn(
-        "vector", embedding.hash_embedding(F.col("text"), EMBED_DIMS)
-    )
-    return _rounded(search.vector_search(_stored_index(spark, d), asked, 10, filters={"lang": "fr"}))
+    rows = index_store.live_rows(spark, _partly_stored(spark, d))
+    return _rounded(search.vector_search(rows, _embedded(spark, d), 10, filters={"lang": "fr"}))
 
 
 # --- the question set ---------------------------------------------------------

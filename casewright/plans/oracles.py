@@ -434,10 +434,14 @@ looked AS (
 met AS (SELECT query_id, p.id, cell, p.code FROM looked JOIN placed p USING (cell))"""
 
 
-def _bm25_cte(k: int, questions: str = "SELECT item_id AS query_id, text FROM benchmark") -> str:
+def _bm25_cte(
+    k: int,
+    questions: str = "SELECT item_id AS query_id, text FROM benchmark",
+    documents: str = "documents",
+) -> str:
     return f"""
 questions AS ({questions}),
-lists AS (SELECT doc_id AS id, {_tokens('text')} AS ts FROM documents),
+lists AS (SELECT doc_id AS id, {_tokens('text')} AS ts FROM {documents}),
 totals AS (SELECT count(*) AS n, avg(len(ts)) AS mean_length FROM lists),
 words AS (SELECT id, len(ts) AS dl, unnest(ts) AS term FROM lists),
 asked AS (SELECT DISTINCT query_id, unnest({_tokens('text')}) AS term FROM questions),
@@ -455,6 +459,13 @@ bm25 AS (
 """
 
 
+_CHANGED = """
+changed AS (
+  SELECT doc_id, lang, CASE WHEN doc_id % 3 = 0 THEN text || ' and once more' ELSE text END AS text
+  FROM documents WHERE lang <> 'fr'
+  UNION ALL SELECT -1 - doc_id, lang, text FROM documents WHERE lang <> 'fr' AND doc_id % 10 = 0)
+"""
+
 _EMBED = f"""
 hashed AS (
   SELECT 'd' AS side, doc_id AS id, unnest({_tokens('text')}) AS term FROM documents
@@ -968,6 +979,11 @@ ORACLES: dict[str, str] = {
     "stream_index_sync": f"""WITH {_EMBED} SELECT doc_id AS id, count(v)::INTEGER AS filled,
         round(coalesce(max(v), 0), 6) AS greatest
         FROM documents LEFT JOIN unit ON id = doc_id AND side = 'd' GROUP BY doc_id""",
+    "index_delete": f"""WITH {_CHANGED}, lists AS (SELECT doc_id AS id, lang, {_tokens('text')} AS ts FROM changed)
+        SELECT id, lang, coalesce(len(ts), 0)::BIGINT AS length,
+          coalesce(len(list_distinct(ts)), 0)::INTEGER AS terms FROM lists""",
+    "index_delete_search": f"""WITH {_CHANGED}, {_bm25_cte(10, documents="changed")}
+        SELECT query_id, id, rank, round(score, 6) AS score FROM bm25""",
     "index_search": f"""WITH {_semantic_cte(10)}
         SELECT query_id, id, rank, round(score, 6) AS score FROM semantic""",
     "index_search_filtered": f"""WITH {_semantic_cte(10, "lang = 'fr'")}

@@ -145,42 +145,78 @@ def sync_index(
     checkpoint: str,
     embed: Callable[[DataFrame], DataFrame],
     order: str | None = None,
+    known: Callable[[SparkSession], DataFrame | None] | None = None,
 ) -> StreamingQuery:
     """Embed new and changed chunks only.
 
     Of several versions of an id in a batch the last in the column ``order``
     counts.  Only key, text hash and version of the stored rows are read, and
-    only for the ids of the batch.  A row with a higher version replaces the
-    older ones of its id, see :func:`current_index`.
+    only for the ids of the batch; ``known`` may give current keys and hashes
+    from elsewhere.  A row with a higher version replaces the older ones of
+    its id, see :func:`current_index`.
     """
 
     def sink(df: DataFrame, step: Step) -> None:
+        spark = df.sparkSession
         latest = newest_per_id(df.withColumn("text_hash", text_hash(F.col("text"))), order)
-        stored = stored_rows(df.sparkSession, path, step)
-        version = 0
+        stored = stored_rows(spark, path, step)
         if stored is not None:
-            version = (stored.agg(F.max(VERSION)).first()[0] or 0) + 1
-            known = (
-                stored.select("id", "text_hash", VERSION)
-                .join(df.select("id").distinct(), "id", "left_semi")
-                .groupBy("id")
-                .agg(F.max_by("text_hash", VERSION).alias("text_hash"))
-            )
-            latest = latest.join(known, ["id", "text_hash"], "left_anti")
-        write_batch(embed(latest).withColumn(VERSION, F.lit(version).cast("long")), step, path)
+            current = known(spark) if known else None
+            if current is None:
+                mine = stored.select("id", "text_hash", VERSION).join(
+                    df.select("id").distinct(), "id", "left_semi"
+                )
+                current = newest_versions(mine)
+            latest = latest.join(current.select("id", "text_hash"), ["id", "text_hash"], "left_anti")
+        write_batch(embed(latest).withColumn(VERSION, F.lit(_next(stored)).cast("long")), step, path)
 
     return run_available(chunks, checkpoint, sink)
 
 
+def _next(stored: DataFrame | None) -> int:
+    """The version of the next step."""
+    last = None if stored is None else stored.agg(F.max(VERSION)).first()[0]
+    return 0 if last is None else last + 1
+
+
+def newest_versions(rows: DataFrame) -> DataFrame:
+    """The row of the highest version of every id; a deletion is a row without a text hash."""
+    values = [c for c in rows.columns if c not in ("id", STREAM, BATCH)]
+    return rows.groupBy("id").agg(F.max_by(F.struct(*values), VERSION).alias("_v")).select("id", "_v.*")
+
+
+def delete_missing(source: DataFrame, path: str, live: DataFrame | None = None) -> int:
+    """Delete the ids of the index that the ``source``, a whole snapshot, lacks.
+
+    A deletion is a row with the id alone, of a new version.  ``live`` may
+    give the current ids from elsewhere.  Returns the version, or -1 if there
+    was nothing to delete: a second call deletes nothing more.
+    """
+    spark = source.sparkSession
+    stored = stored_rows(spark, path)
+    if stored is None:
+        return -1
+    ids = (live if live is not None else current_index(spark, path)).select("id")
+    gone = ids.join(source.select("id"), "id", "left_anti")
+    version = _next(stored)
+    step = Step("deletions", version)
+    rest = [f for f in stored.schema if f.name not in ("id", VERSION, STREAM, BATCH)]
+    rows = gone.select(
+        "id",
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in rest],
+        F.lit(version).cast("long").alias(VERSION),
+    )
+    write_batch(rows, step, path)
+    written = stored_rows(spark, path).where(step.mine())
+    return -1 if written.isEmpty() else version
+
+
 def current_index(spark: SparkSession, path: str) -> DataFrame | None:
-    """The newest row per id; None while nothing has been written."""
+    """The newest row per id that is not deleted; None while nothing has been written."""
     rows = stored_rows(spark, path)
     if rows is None:
         return None
-    values = [c for c in rows.columns if c not in ("id", STREAM, BATCH, VERSION)]
-    return rows.groupBy("id").agg(F.max_by(F.struct(*values), VERSION).alias("_v")).select(
-        "id", "_v.*"
-    )
+    return newest_versions(rows).where(F.col("text_hash").isNotNull()).drop(VERSION)
 
 
 def monitor(
