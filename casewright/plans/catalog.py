@@ -31,7 +31,7 @@ from casewright.plans.cases import table
 from casewright.plans.settings import ASKED_EVERY, EMBED_DIMS, LSH_BITS, LSH_TABLES
 from casewright.session import shared_folder
 from casewright.sources import files, tables
-from casewright.streaming import jobs
+from casewright.streaming import case_stream, jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1255,6 +1255,45 @@ def stream_elements(spark, d):
     return spark.read.parquet(path).select("page_id", "idx", "type", "content")
 
 
+def _streamed_cases(spark: SparkSession, d: str) -> str:
+    """Three runs: every sixth case gets its declaration in the second, every tenth its royalty in the third."""
+    root, listing = shared_folder(spark, "stream-cases"), shared_folder(spark, "listing")
+    key = F.regexp_extract("path", "case_([0-9]+)", 1).try_cast("long")
+    late = F.when((key % 6 == 1) & F.col("path").contains("declaration"), 2).when(
+        (key % 10 == 0) & F.col("path").contains("royalty"), 3
+    )
+    files = fixture.case_files(spark, d).withColumn("arrival", F.coalesce(late, F.lit(1)))
+    arriving, documents = shared_folder(spark, "arriving"), shared_folder(spark, "parsed")
+    files.write.partitionBy("arrival").parquet(arriving)
+    fixture.parsed_documents(spark, d).write.parquet(documents)
+    for number in (1, 2, 3):
+        spark.read.parquet(f"{arriving}/arrival={number}").write.mode("append").parquet(listing)
+        listed = jobs.read_stream(spark, listing, "path string")
+        # Only documents whose files have arrived are parsed by then.
+        seen = spark.read.parquet(arriving).where(F.col("arrival") <= number)
+        seen = seen.select(F.regexp_replace("path", "PDF$", "pdf").alias("path"))
+        case_stream.stream_cases(
+            listed,
+            lambda s, seen=seen: s.read.parquet(documents).join(seen, "path", "left_semi"),
+            root,
+            f"{root}-checkpoint",
+        )
+    return root
+
+
+@query
+def stream_cases(spark, d):
+    """The chunk table of the streamed case pipeline after three runs with late files."""
+    return case_stream.current_chunks(spark, _streamed_cases(spark, d)).select(*_BATCH_COLUMNS)
+
+
+@query
+def stream_waiting(spark, d):
+    """Cases that still wait for a document after the three runs."""
+    waiting = case_stream.waiting_cases(spark, _streamed_cases(spark, d))
+    return waiting.select("id", F.col("invoice_path").isNotNull().alias("has_invoice"))
+
+
 def _partly_stored(spark: SparkSession, d: str) -> index_store.Snapshot:
     """The index after two runs and compactions, the first over a part of the documents."""
     root = shared_folder(spark, "stream-index")

@@ -724,6 +724,9 @@ ORACLES: dict[str, str] = {
         WHERE k % 13 <> 0 GROUP BY path""",
     "pipeline_run": _BATCH,
     "pipeline_rerun": _BATCH,
+    "stream_cases": f"SELECT * EXCLUDE (processed) FROM ({_BATCH})",
+    "stream_waiting": f"""WITH {FACTS} SELECT id, invoice_path IS NOT NULL AS has_invoice
+        FROM ({_INVENTORY}) WHERE declaration_path IS NULL""",
     "chunks_enriched": f"""WITH {CHUNKS} SELECT {_CHUNK_COLUMNS}, {FIELD_COLUMNS}, {_CASE_PATHS},
         concat_ws(' | ', invoice_path, declaration_path, royalty_path) AS metadata FROM chunks""",
     "apply_translations": f"""WITH {CASES} SELECT path, CAST({_ELEMENT_COUNT} AS INTEGER) AS elements,

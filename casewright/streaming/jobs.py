@@ -168,12 +168,12 @@ def sync_index(
                 )
                 current = newest_versions(mine)
             latest = latest.join(current.select("id", "text_hash"), ["id", "text_hash"], "left_anti")
-        write_batch(embed(latest).withColumn(VERSION, F.lit(_next(stored)).cast("long")), step, path)
+        write_batch(embed(latest).withColumn(VERSION, F.lit(next_version(stored)).cast("long")), step, path)
 
     return run_available(chunks, checkpoint, sink)
 
 
-def _next(stored: DataFrame | None) -> int:
+def next_version(stored: DataFrame | None) -> int:
     """The version of the next step."""
     last = None if stored is None else stored.agg(F.max(VERSION)).first()[0]
     return 0 if last is None else last + 1
@@ -198,7 +198,7 @@ def delete_missing(source: DataFrame, path: str, live: DataFrame | None = None)
         return -1
     ids = (live if live is not None else current_index(spark, path)).select("id")
     gone = ids.join(source.select("id"), "id", "left_anti")
-    version = _next(stored)
+    version = next_version(stored)
     step = Step("deletions", version)
     rest = [f for f in stored.schema if f.name not in ("id", VERSION, STREAM, BATCH)]
     rows = gone.select(

@@ -11,7 +11,7 @@ from casewright import schemas
 from casewright.functions import numeric, scoring
 from casewright.operators import logs, sessions
 from casewright.sources import files, tables
-from casewright.streaming import jobs
+from casewright.streaming import case_stream, jobs
 
 
 def rows(df):
@@ -263,3 +263,48 @@ def test_message_json(spark):
     df = spark.createDataFrame([("user", 'a"b')], "role string, text string")
     got = df.select(sessions.message_json(F.col("role"), F.col("text"))).first()[0]
     assert json.loads(got) == {"role": "user", "content": 'a"b'}
+
+
+def test_cases_are_held_until_complete(spark, tmp_path):
+    """Files over four runs: out of order, twice, of a role again, and after the case was complete."""
+    root, src, ck = (str(tmp_path / n) for n in ("root", "src", "ck"))
+
+    def path(case, name):
+        return f"/cases/case_{case}/{name}.pdf"
+
+    element = '{"document": {"elements": [{"id": "x", "type": "text", "content": "of %s"}]}}'
+    names = [path(c, n) for c in (1, 2, 3) for n in ("invoice_a", "invoice_b", "declaration_a", "royalty_a")]
+    parsed = spark.createDataFrame(
+        [(p, element % p, element % p, "en", False, 7) for p in names],
+        "path string, parsed_content string, parsed_content_translated string, source_language string, "
+        "translation_applied boolean, processed bigint",
+    )
+    seen: list[str] = []
+
+    def known(session):
+        return parsed.where(F.col("path").isin(seen))
+
+    def run(number, *files):
+        seen.extend(files)
+        write_part(spark, [(f,) for f in files], "path string", src, number)
+        case_stream.stream_cases(stream(spark, src, "path string"), known, root, ck)
+        waiting = {r.id for r in case_stream.waiting_cases(spark, root).collect()}
+        chunks = case_stream.current_chunks(spark, root).collect()
+        return waiting, {(r.case_id, r.document_path, r.processed) for r in chunks}, {r.metadata for r in chunks}
+
+    waiting, chunks, _ = run(1, path(1, "declaration_a"), path(2, "invoice_a"), path(3, "royalty_a"), "/x/notes.pdf")
+    assert (waiting, chunks) == ({"case_1", "case_2", "case_3"}, set())
+    waiting, chunks, _ = run(2, path(1, "invoice_a"), path(2, "scan"), path(3, "invoice_a"))
+    assert waiting == {"case_2", "case_3"}
+    assert chunks == {("case_1", path(1, n), 1) for n in ("declaration_a", "invoice_a")}
+    # A file seen before and a smaller one of its role are no news; a greater one is.
+    waiting, chunks, paths = run(3, path(1, "invoice_a"), path(1, "royalty_a"), path(3, "invoice_b"))
+    assert waiting == {"case_2", "case_3"}
+    assert {c[2] for c in chunks} == {2} and any("royalty_a" in p for p in paths)
+    waiting, chunks, paths = run(4, path(3, "declaration_a"))
+    assert waiting == {"case_2"}
+    assert {(c, n) for c, _, n in chunks} == {("case_1", 2), ("case_3", 3)}
+    assert any("case_3/invoice_b" in p for p in paths)
+    # A run without files changes nothing.
+    case_stream.stream_cases(stream(spark, src, "path string"), known, root, ck)
+    assert {r.id for r in case_stream.waiting_cases(spark, root).collect()} == {"case_2"}
