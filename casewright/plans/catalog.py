@@ -24,6 +24,7 @@ from casewright.operators import (
     rules,
     search,
     sessions,
+    similarity_join,
     vector_index,
 )
 from casewright.plans import cases as fixture
@@ -1047,6 +1048,12 @@ def dedup_near(spark, d):
     )
 
 
+@query
+def near_join(spark, d):
+    """Copies and near-duplicates of every document, by shingles of five words."""
+    return similarity_join.near_duplicates(_documents(spark, d))
+
+
 @query
 def rag_context(spark, d):
     block = context.passage_block(F.col("rank"), F.col("id"), F.col("source"), F.col("text"))

@@ -9,6 +9,7 @@ splits go through a marker character.
 from __future__ import annotations
 
 from casewright.functions.embedding import plane_table
+from casewright.operators import similarity_join as _NEAR
 from casewright.operators import vector_index
 from casewright.plans.settings import ASKED_EVERY, LSH_BITS, LSH_TABLES
 
@@ -982,6 +983,18 @@ ORACLES: dict[str, str] = {
     "stream_index_sync": f"""WITH {_EMBED} SELECT doc_id AS id, count(v)::INTEGER AS filled,
         round(coalesce(max(v), 0), 6) AS greatest
         FROM documents LEFT JOIN unit ON id = doc_id AND side = 'd' GROUP BY doc_id""",
+    "near_join": f"""WITH words AS (SELECT doc_id AS id, coalesce({_tokens('text')}, []) AS ts FROM documents),
+        sets AS (SELECT id, CASE WHEN len(ts) = 0 THEN [] ELSE list_sort(list_distinct(list_transform(
+          range(1, greatest(len(ts) - {_NEAR.SHINGLE - 1}, 1) + 1),
+          lambda i: array_to_string(ts[i:i + {_NEAR.SHINGLE - 1}], ' ')))) END AS s FROM words),
+        classes AS (SELECT s, min(id) AS class_id, count(*) AS members FROM sets GROUP BY s),
+        grams AS (SELECT class_id, members, len(s) AS n, unnest(s) AS g FROM classes),
+        near AS (SELECT a.class_id, b.class_id AS other, any_value(b.members) AS others
+          FROM grams a JOIN grams b ON a.g = b.g AND a.class_id <> b.class_id GROUP BY a.class_id, b.class_id
+          HAVING count(*)::DOUBLE / (any_value(a.n) + any_value(b.n) - count(*)) >= {_NEAR.THRESHOLD}::DOUBLE),
+        links AS (SELECT class_id, sum(others) AS others FROM near GROUP BY class_id)
+        SELECT id, class_id, members, (members - 1 + coalesce(others, 0))::BIGINT AS links
+        FROM sets JOIN classes USING (s) LEFT JOIN links USING (class_id)""",
     "index_delete": f"""WITH {_CHANGED}, lists AS (SELECT doc_id AS id, lang, {_tokens('text')} AS ts FROM changed)
         SELECT id, lang, coalesce(len(ts), 0)::BIGINT AS length,
           coalesce(len(list_distinct(ts)), 0)::INTEGER AS terms FROM lists""",
