@@ -26,6 +26,8 @@ LEAST_COUNT = 5
 FACTOR = 5
 DAMAGE = 199
 LETTERS = "A-Za-zÀ-ÿ"
+# Words per task on the first level, where each meets the most edges.
+TASK_WORDS = 20_000
 # Nodes of the first two levels have at most 90 letters each: 8,100 edges.
 BROADCAST_LEVELS = 2
 
@@ -179,9 +181,10 @@ def near_pairs(words: DataFrame) -> DataFrame:
         df.write.parquet(f"{folder}/{name}")
         return spark.read.parquet(f"{folder}/{name}")
 
-    together = words.select(
+    start = words.select(
         "word", "n", F.length("word").alias("size"), F.lit("").alias("node"), F.lit(0).alias("depth")
     )
+    together = stored(start.repartition(1 + words.count() // TASK_WORDS, "word"), "words-start")
     states, levels = None, 0
     while levels == 0 or not together.isEmpty():
         edges = stored(edges_of(together), f"edges-{levels}")
