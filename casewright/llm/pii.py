@@ -10,6 +10,8 @@ and the training of the classifier work on a table of constant size.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections.abc import Iterable
 from typing import NamedTuple
 
 import numpy as np
@@ -303,15 +305,37 @@ def train(documents: DataFrame) -> Model:
     return fit(sorted((r.kind, tuple(r.votes), r.length, r["count"]) for r in rows))
 
 
+class Cover:
+    """Spans joined to disjoint ones, in order: a new one is compared with its neighbours alone."""
+
+    def __init__(self, spans: Iterable[tuple[int, int]]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for start, end in sorted(spans):
+            if self.ends and start < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def add(self, start: int, end: int) -> bool:
+        """Add a span unless it touches one; whether it was added."""
+        k = bisect_right(self.starts, start)
+        if (k and self.ends[k - 1] > start) or (k < len(self.starts) and self.starts[k] < end):
+            return False
+        self.starts.insert(k, start)
+        self.ends.insert(k, end)
+        return True
+
+
 def decide(text: str | None, model: Model) -> list[dict]:
     """Base spans and the accepted candidates that touch none of them, by start and kind."""
     found = candidates(text) if text else []
-    base = [c for c in found if c.base]
-    taken = list(base)
+    taken = [c for c in found if c.base]
+    cover = Cover((c.start, c.end) for c in taken)
     for c in found:
-        if not c.base and model.accept(c.kind, c.votes, c.length):
-            if all(c.end <= t.start or c.start >= t.end for t in taken):
-                taken.append(c)
+        if not c.base and model.accept(c.kind, c.votes, c.length) and cover.add(c.start, c.end):
+            taken.append(c)
     taken.sort(key=lambda c: (c.start, c.kind, c.end))
     return [{"kind": KINDS[c.kind], "start": c.start, "end": c.end, "base": c.base} for c in taken]
 
@@ -344,7 +368,9 @@ def mask(documents: DataFrame, model: Model | None = None) -> DataFrame:
     """The documents with every span replaced by its kind in angle brackets.
 
     Overlapping spans are replaced as one, under the kind that starts first.
-    A ``n_chars`` column follows the new text; all other columns stay.
+    A ``n_chars`` column follows the new text; all other columns stay.  A null
+    or empty text stays as it is, equal rows give equal rows, and an empty
+    table gives no rows.
     """
     model = model or train(documents)
     columns = documents.columns
