@@ -4,13 +4,15 @@ The standard library's parser streams the events of a page.  A line is the
 text between two block borders; its ratio is its length over the tags met with
 it.  Ratios are smoothed by a Gaussian, and lines above a threshold make the
 clusters of content.  A cluster brings in the other lines of the element it
-lies in, so that short paragraphs and headings of an article are not lost, and
-lines inside menus, adverts and the like never count.
+lies in and of that element's like siblings, and the headings above it, so
+that short paragraphs, sections and headings of an article are not lost; lines
+inside menus, adverts and the like never count.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 from typing import NamedTuple
 
@@ -34,6 +36,9 @@ INLINE = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SECTIONS = frozenset("body article main section div td center".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# An article cannot lie in these: one of them that never ends ends before it.
+NEVER_AROUND = frozenset("nav menu header".split())
 ROOTS = frozenset(("article", "main"))
 DROPPED = frozenset(
     "nav aside footer form script style noscript template iframe svg canvas object select button "
@@ -44,12 +49,12 @@ DROPPED_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies "
     "consent gdpr notice notices notification alert alerts toast disclaimer adsbygoogle popup modal overlay newsletter subscribe subscription sidebar aside "
     "menu nav navbar navigation breadcrumb breadcrumbs topbar toolbar masthead footer comment comments "
-    "disqus replies respond share sharing social related recommended widget login signup search skip".split()
+    "disqus feedback replies respond share sharing social related recommended widget login signup search skip".split()
 )
 # Parts of a name that say nothing about what the element holds, and parts that only modify it.
 GENERIC_PARTS = frozenset(
     "area bar block body bottom box button buttons container content element form group heading inner item items "
-    "left link links list main outer panel posts primary right secondary section slot text thread title top "
+    "label left link links list main outer panel posts primary right secondary section slot text thread title top "
     "unit wrap wrapper".split()
 )
 MODIFIERS = frozenset("has hide is no non not show with without".split())
@@ -67,7 +72,16 @@ def boilerplate_name(token: str) -> bool:
     parts = parts[: next((k for k, p in enumerate(parts) if p in MODIFIERS), len(parts))]
     while parts and parts[-1] in GENERIC_PARTS:
         parts.pop()
-    return bool(parts) and parts[-1] in DROPPED_NAMES
+    return bool(parts) and (parts[-1] in DROPPED_NAMES or _written_together(parts[-1]))
+
+
+def _written_together(part: str) -> bool:
+    """A name of boilerplate and a generic part in one word, such as ``commentlist``."""
+    return any(
+        (part[:k] in DROPPED_NAMES and part[k:] in GENERIC_PARTS)
+        or (part[:k] in GENERIC_PARTS and part[k:] in DROPPED_NAMES)
+        for k in range(2, len(part) - 1)
+    )
 
 
 class Line(NamedTuple):
@@ -75,46 +89,77 @@ class Line(NamedTuple):
     tags: int
     linked: int
     home: int
-    dropped: bool
-    # Numbers of the open elements whose names alone say boilerplate.
-    named: tuple[int, ...]
+    # How many open elements drop the line, and the number of the outermost one.
+    drops: int
+    dropper: int
+    # The innermost open element with a name of boilerplate, as an index of ``LineParser.chain``.
+    named: int
     rooted: bool
     # An item of a list in main, outside an article.
     listed: bool
+    heading: bool
+
+
+class Open(NamedTuple):
+    """An open element."""
+
+    tag: str
+    number: int
+    dropped: bool
+    named: bool
 
 
 class LineParser(HTMLParser):
-    """Collects the lines of a page while its events stream by."""
+    """Collects the lines of a page while its events stream by.
+
+    What is open is kept in stacks and counters, so the work is linear in the
+    page however deep its elements nest.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        self.open: list[tuple[str, int, bool]] = [("", 0, False)]
+        self.open: list[Open] = [Open("", 0, False, False)]
+        self.tags: Counter[str] = Counter()
         self.count = 0
+        self.droppers: list[int] = []
+        self.sections: list[int] = [0]
+        self.roots: list[int] = []
+        # Parent section and kind of every section: siblings of one kind belong together.
+        self.above: dict[int, int] = {}
+        self.kind: dict[int, tuple] = {0: (0, "", "")}
+        # Droppers that cannot hold an article and have not ended, and roots that began inside of them.
+        self.unended: set[int] = set()
+        self.inside: dict[int, bool] = {}
         # Elements with a name of boilerplate; those of a compound name may be wrappers.
         self.named: dict[int, bool] = {}
-        self.freed: set[int] = set()
+        self.chain: list[tuple[int, int]] = [(0, 0)]
+        self.innermost: list[int] = [0]
+        self.bound: list[int] = []
+        self.freed: set[int] = {0}
         self.articles = 0
         self.linked = False
         self._parts: list[str] = []
         self._tags = 0
         self._linked = 0
 
-    def _home(self) -> int:
-        sections = [(name, number) for name, number, _ in self.open if name in SECTIONS or not name]
-        roots = [number for name, number in sections if name in ROOTS]
-        return roots[-1] if roots else sections[-1][1]
-
     def end_line(self) -> None:
         text = " ".join("".join(self._parts).split())
         if text:
-            dropped = any(d for _, _, d in self.open)
-            named = tuple(n for _, n, _ in self.open if n in self.named)
-            names = {name for name, _, _ in self.open}
-            rooted = not ROOTS.isdisjoint(names)
-            listed = rooted and "article" not in names and self.open[-1][0] == "li"
+            last = self.open[-1].tag
             self.lines.append(
-                Line(text, max(1, self._tags), self._linked, self._home(), dropped, named, rooted, listed)
+                Line(
+                    text,
+                    max(1, self._tags),
+                    self._linked,
+                    self.roots[-1] if self.roots else self.sections[-1],
+                    len(self.droppers),
+                    self.droppers[0] if self.droppers else 0,
+                    self.innermost[-1],
+                    bool(self.roots),
+                    bool(self.roots) and not self.tags["article"] and last == "li",
+                    last in HEADINGS,
+                )
             )
             self._tags = 0
         self._parts, self._linked = [], 0
@@ -133,28 +178,69 @@ class LineParser(HTMLParser):
         if tag in VOID or tag in INLINE or tag == "html":
             return
         # A paragraph ends where the next block begins, an item where the next item does.
-        if self.open[-1][0] == "p" or tag == "li" == self.open[-1][0]:
-            self.open.pop()
-        self.count += 1
-        inside = any(name in ROOTS for name, _, _ in self.open)
+        if self.open[-1].tag == "p" or tag == "li" == self.open[-1].tag:
+            self.pop()
         attributes = dict(attrs)
-        dropped = self._drops(tag, attributes, inside)
-        self.open.append((tag, self.count, dropped))
-        if dropped or any(d for _, _, d in self.open):
-            return
+        within = bool(self.roots)
+        self.push(tag, attributes, self._drops(tag, attributes, within))
+        if not self.droppers:
+            self._judge_names(tag, attributes, within)
+
+    def push(self, tag: str, attributes: dict[str, str | None], dropped: bool) -> None:
+        self.count += 1
+        self.tags[tag] += 1
+        if dropped:
+            self.droppers.append(self.count)
+            if tag in NEVER_AROUND:
+                self.unended.add(self.count)
+        if tag in SECTIONS:
+            self.above[self.count] = self.sections[-1]
+            self.kind[self.count] = (self.sections[-1], tag, attributes.get("class") or "", attributes.get("id") or "")
+            self.sections.append(self.count)
+        if tag in ROOTS:
+            self.roots.append(self.count)
+            self.inside[self.count] = bool(self.droppers)
+        self.open.append(Open(tag, self.count, dropped, False))
+
+    def pop(self, ended: bool = False) -> None:
+        tag, number, dropped, named = self.open.pop()
+        self.tags[tag] -= 1
+        if dropped:
+            self.droppers.pop()
+            if ended:
+                self.unended.discard(number)
+        if tag in SECTIONS:
+            self.sections.pop()
+        if tag in ROOTS:
+            self.roots.pop()
+        if named:
+            self.innermost.pop()
+            if self.bound and self.bound[-1] == number:
+                self.bound.pop()
+
+    def _name(self, wrapper: bool) -> None:
+        """The element just opened has a name of boilerplate."""
+        self.named[self.count] = wrapper
+        self.chain.append((self.count, self.innermost[-1]))
+        self.innermost.append(len(self.chain) - 1)
+        self.bound.append(self.count)
+        self.open[-1] = self.open[-1]._replace(named=True)
+
+    def _judge_names(self, tag: str, attributes: dict[str, str | None], within: bool) -> None:
         names = f"{attributes.get('class') or ''} {attributes.get('id') or ''}".split()
         found = [n for n in names if boilerplate_name(n)]
-        within = [n for _, n, _ in self.open if n in self.named and n not in self.freed]
         if tag in ROOTS:
+            named = bool(self.bound)
             # The first article or main frees the elements around it; later ones with such a name are comments.
             if not self.articles:
-                self.freed.update(within)
-            elif tag == "article" and found and (inside or within):
-                self.named[self.count] = False
-            if tag == "article" and not (self.articles and within):
+                self.freed.update(self.bound)
+                self.bound.clear()
+            elif tag == "article" and found and (within or named):
+                self._name(False)
+            if tag == "article" and not (self.articles and named):
                 self.articles += 1
         elif found and tag != "body":
-            self.named[self.count] = all(len(_NAME.findall(n)) > 1 for n in found)
+            self._name(all(len(_NAME.findall(n)) > 1 for n in found))
 
     def _drops(self, tag: str, attrs: dict[str, str | None], inside: bool) -> bool:
         if tag in DROPPED or (tag == "header" and not inside):
@@ -176,32 +262,61 @@ class LineParser(HTMLParser):
         self._tags += 1
         if tag == "a":
             self.linked = False
-        for k in range(len(self.open) - 1, 0, -1):
-            if self.open[k][0] == tag:
-                del self.open[k:]
-                break
+        if tag and self.tags[tag] > 0:
+            while self.open[-1].tag != tag:
+                self.pop()
+            self.pop(ended=True)
 
     def handle_data(self, data: str) -> None:
-        if self.open[-1][0] not in ("script", "style"):
+        if self.open[-1].tag not in ("script", "style"):
             self._parts.append(data)
             if self.linked:
                 self._linked += len("".join(data.split()))
 
     def close(self) -> None:
+        # A comment or declaration that never ends is no text.
+        if self.rawdata.startswith("<!"):
+            self.rawdata = ""
         super().close()
         self.end_line()
-        shown = [x for x in self.lines if not x.dropped]
-        if not any(x.rooted for x in shown):
-            # Without article or main, a compound name around most of the text is that of a wrapper.
-            size: dict[int, int] = {}
-            for x in shown:
-                for n in x.named:
-                    size[n] = size.get(n, 0) + len(x.text)
-            total = sum(len(x.text) for x in shown)
-            best = max((len(x.text) / x.tags for x in shown), default=0)
-            rich = {n for x in shown if len(x.text) / x.tags == best for n in x.named}
-            self.freed.update(n for n in rich if self.named[n] and 2 * size[n] > total)
-        self.lines = [x._replace(dropped=x.dropped or not self.freed.issuperset(x.named)) for x in self.lines]
+        lines = [x for x in self.lines if not x.drops or self._strayed(x)]
+        if not any(x.rooted for x in lines):
+            self._free_wrappers(lines)
+        free = [True]
+        for number, parent in self.chain[1:]:
+            free.append(free[parent] and number in self.freed)
+        self.lines = [x for x in lines if free[x.named]]
+
+    def _strayed(self, line: Line) -> bool:
+        """Whether an article's line is dropped by one element alone that cannot hold it and never ended."""
+        return line.drops == 1 and line.dropper in self.unended and self.inside.get(line.home, False)
+
+    def _free_wrappers(self, lines: list[Line]) -> None:
+        """Without article or main, a compound name around most of the text is that of a wrapper."""
+        size = [0] * len(self.chain)
+        rich = [False] * len(self.chain)
+        best = max((len(x.text) / x.tags for x in lines), default=0)
+        for x in lines:
+            size[x.named] += len(x.text)
+            rich[x.named] |= len(x.text) / x.tags == best
+        # Elements come before those inside of them.
+        for k in range(len(self.chain) - 1, 0, -1):
+            parent = self.chain[k][1]
+            size[parent] += size[k]
+            rich[parent] |= rich[k]
+        for k, (number, _) in enumerate(self.chain):
+            if k and rich[k] and self.named[number] and 2 * size[k] > size[0]:
+                self.freed.add(number)
+
+    def chosen(self, homes: set[int]) -> tuple[set[tuple], set[int]]:
+        """Kinds of the homes of content, and all sections around them."""
+        around: set[int] = set()
+        for home in homes:
+            at = self.above.get(home, 0)
+            while at and at not in around:
+                around.add(at)
+                at = self.above[at]
+        return {self.kind[h] for h in homes}, around | {0}
 
 
 def smoothed(values: np.ndarray, sigma: float = SIGMA, radius: int = RADIUS) -> np.ndarray:
@@ -229,8 +344,8 @@ def without_menus(lines: list[Line]) -> list[Line]:
     return out + (run if len(run) < MENU_LINES else [])
 
 
-def content_lines(lines: list[Line]) -> list[str]:
-    kept = without_menus([x for x in lines if not x.dropped])
+def content_lines(parser: LineParser) -> list[str]:
+    kept = without_menus(parser.lines)
     if not kept:
         return []
     ratio = np.array([len(x.text) / x.tags for x in kept])
@@ -238,7 +353,10 @@ def content_lines(lines: list[Line]) -> list[str]:
     threshold = min(float(smooth.std()), float(ratio.max()))
     # Smoothing lifts the neighbours of long lines; the line itself must reach the threshold too.
     homes = {x.home for x, s, r in zip(kept, smooth, ratio) if s >= threshold and r >= threshold}
-    return [x.text for x in kept if x.home in homes]
+    kinds, around = parser.chosen(homes)
+    return [
+        x.text for x in kept if parser.kind[x.home] in kinds or (x.heading and x.home in around)
+    ]
 
 
 def main_text(html: str | None) -> str:
@@ -248,7 +366,7 @@ def main_text(html: str | None) -> str:
     parser = LineParser()
     parser.feed(html)
     parser.close()
-    return "\n".join(content_lines(parser.lines))
+    return "\n".join(content_lines(parser))
 
 
 def extract(pages: DataFrame) -> DataFrame:
