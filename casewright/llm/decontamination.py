@@ -1,11 +1,14 @@
-"""Passages of test items in documents: n-gram seeds, then Smith-Waterman alignment.
-
-Words are compared in lower case without signs.  Every n-gram of a test item
-is a seed: a choice by rarity would prefer those that no document has, which
-are the ones broken in an edited copy.  A document that holds a seed is
-aligned with the item around it; the alignment score, as a fraction of the
-score of a verbatim copy, finds copies with words changed, left out or put in.
-A copy without ``GRAM`` words in a row as in the item has no seed.
+"""Passages of test items in documents: rare word pairs as seeds, then Smith-Waterman alignment.
+
+Words are compared in lower case without signs.  A seed is a two-word gram of
+a test item, of neighbours or with one word between them; in a document up to
+two words may stand between the two, so copies with words changed, left out or
+put in at every second or third place still hold seeds.  Seeds are chosen rare
+first: their document frequencies are counted over all documents, and grams
+that no document has, which are those broken in a copy, are none.  Where two
+seeds of an item meet near one diagonal, the document is aligned with the item
+around them; the alignment score, as a fraction of the score of a verbatim
+copy, finds edited copies.
 """
 
 from __future__ import annotations
@@ -18,9 +21,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casewright.llm.words import gram_hashes, map_slices, raw, word_hashes, words_of
+from casewright.llm.words import map_slices, mixed, raw, text_of_words, word_hashes, words_of
 
-GRAM = 3
+# Distances between the two words of a gram, in an item and in a document.
+ITEM_STEPS = (1, 2)
+DOCUMENT_STEPS = (1, 2, 3)
+# Grams that at most this share of the documents has are seeds, and of each item so many of the rarest.
+RARE_SHARE = 0.001
+LEAST_SEEDS = 24
+# Seeds near one diagonal before an alignment.
+TOGETHER = 2
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST_SCORE = 0.5
 # Test text that travels to the tasks at once; a larger set goes in blocks of this size.
@@ -35,7 +45,7 @@ MATCHES = "doc_id long, item_id long, score double, start long, end long, n_seed
 
 
 class Items(NamedTuple):
-    """Test items of a block: ids, word codes of all, where each begins, their n-grams."""
+    """Test items of a block: ids, word codes of all, where each begins, their grams."""
 
     ids: np.ndarray
     words: np.ndarray
@@ -48,24 +58,28 @@ class Items(NamedTuple):
 def _codes(column: pa.Array):
     data, offsets = raw(column)
     w = words_of(_NORMAL[data], offsets)
-    return word_hashes(w), w.first
+    return word_hashes(w), w
 
 
-def _grams(hashes: np.ndarray, first: np.ndarray, size: int):
-    """Hash, text and position in the text of every n-gram inside a text."""
-    grams = gram_hashes(hashes, size)
-    text = np.repeat(np.arange(len(first) - 1), np.diff(first))[: len(grams)]
-    inside = np.flatnonzero(np.arange(len(grams)) + size <= first[1:][text])
-    return grams[inside], text[inside], inside - first[text[inside]]
+def _grams(hashes: np.ndarray, text: np.ndarray, steps: tuple[int, ...]):
+    """Hash and first word of every two words of one text that lie one of ``steps`` apart."""
+    grams, places = [], []
+    for step in steps:
+        at = np.flatnonzero(text[:-step] == text[step:]) if len(text) > step else np.empty(0, np.int64)
+        grams.append(mixed(hashes[at] * np.uint64(0x9E3779B97F4A7C15) + hashes[at + step]))
+        places.append(at)
+    return np.concatenate(grams), np.concatenate(places)
 
 
-def item_blocks(benchmark: DataFrame, size: int = GRAM, limit: int = BLOCK_BYTES) -> Iterator[Items]:
+def item_blocks(benchmark: DataFrame, limit: int = BLOCK_BYTES) -> Iterator[Items]:
     """Test items in blocks of at most ``limit`` bytes of text, or one item."""
 
     def block(rows: list) -> Items:
-        hashes, first = _codes(pa.array([r[1] for r in rows], pa.string()))
-        grams, item, position = _grams(hashes, first, size)
-        return Items(np.array([r[0] for r in rows], np.int64), hashes, first, grams, item, position)
+        hashes, w = _codes(pa.array([r[1] for r in rows], pa.string()))
+        text = text_of_words(w)
+        grams, place = _grams(hashes, text, ITEM_STEPS)
+        item = text[place]
+        return Items(np.array([r[0] for r in rows], np.int64), hashes, w.first, grams, item, place - w.first[item])
 
     rows, held = [], 0
     chosen = benchmark.select(F.col("item_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")))
@@ -79,9 +93,65 @@ def item_blocks(benchmark: DataFrame, size: int = GRAM, limit: int = BLOCK_BYTES
         yield block(rows)
 
 
-def sorted_seeds(items: Items) -> np.ndarray:
-    """Rows of ``items.grams`` in the order of their hashes; all are seeds."""
-    return np.argsort(items.grams, kind="stable")
+class Lookup:
+    """Finds grams among sorted keys; most others are ruled out by a table of their first bits."""
+
+    BITS = 20
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        self.first = np.zeros(1 << self.BITS, bool)
+        self.first[(keys >> np.uint64(64 - self.BITS)).astype(np.int64)] = True
+
+    def find(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Grams that are keys, and the range of keys that equal each."""
+        some = np.flatnonzero(self.first[(grams >> np.uint64(64 - self.BITS)).astype(np.int64)])
+        low = np.searchsorted(self.keys, grams[some], "left")
+        high = np.searchsorted(self.keys, grams[some], "right")
+        hit = high > low
+        return some[hit], low[hit], high[hit]
+
+
+def document_frequencies(documents: DataFrame, items: Items) -> tuple[np.ndarray, int]:
+    """For every gram of the block the number of documents that have it, and the number of documents.
+
+    Counted in one pass: tasks send sums for the grams of the block alone.
+    """
+    keys, which = np.unique(items.grams, return_inverse=True)
+    lookup = Lookup(keys)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        hashes, w = _codes(batch.column("text"))
+        text = text_of_words(w)
+        grams, place = _grams(hashes, text, DOCUMENT_STEPS)
+        hit, key, _ = lookup.find(grams)
+        pairs = np.unique(key * batch.num_rows + text[place[hit]])
+        counts = np.bincount(pairs // max(1, batch.num_rows), minlength=len(keys))
+        at = np.flatnonzero(counts)
+        return pa.record_batch(
+            [pa.array(np.append(at, -1)), pa.array(np.append(counts[at], batch.num_rows))], names=["key", "n"]
+        )
+
+    texts = documents.select(F.col("text").cast("string").alias("text"))
+    # At most one row per gram of the block.
+    rows = map_slices(texts, run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).collect()
+    counts = {r.key: r.n for r in rows}
+    found = np.array([counts.get(k, 0) for k in range(len(keys))], np.int64)
+    return (found[which] if len(which) else found), counts.get(-1, 0)
+
+
+def chosen_seeds(items: Items, frequency: np.ndarray, documents: int) -> np.ndarray:
+    """Rows of ``items.grams`` that are seeds, in the order of their hashes.
+
+    Those that some document has and few have, and of every item the
+    ``LEAST_SEEDS`` rarest that some document has.
+    """
+    there = np.flatnonzero(frequency > 0)
+    order = there[np.lexsort((items.position[there], frequency[there], items.item[there]))]
+    item = items.item[order]
+    number = np.arange(len(order)) - np.searchsorted(item, item, "left")
+    kept = order[(number < LEAST_SEEDS) | (frequency[order] <= RARE_SHARE * documents)]
+    return kept[np.argsort(items.grams[kept], kind="stable")]
 
 
 def align(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -121,19 +191,23 @@ def _regions(text: np.ndarray, item: np.ndarray, begin: np.ndarray, length: np.n
     return text[at], item[at], begin[at], begin[stop], np.diff(np.append(at, len(text)))
 
 
-def search_batch(batch: pa.RecordBatch, items: Items, seeds: np.ndarray, least: float, size: int = GRAM) -> pa.RecordBatch:
-    hashes, first = _codes(batch.column("text"))
-    grams, text, position = _grams(hashes, first, size)
-    keys = items.grams[seeds]
-    low, high = np.searchsorted(keys, grams, "left"), np.searchsorted(keys, grams, "right")
-    hit = np.flatnonzero(high > low)
-    count = (high - low)[hit]
-    row = np.repeat(hit, count)
-    seed = seeds[np.repeat(low[hit] - np.cumsum(count) + count, count) + np.arange(len(row))]
+def search_batch(batch: pa.RecordBatch, items: Items, seeds: np.ndarray, lookup: Lookup, least: float) -> pa.RecordBatch:
+    """Passages of the batch's documents; ``lookup`` finds the grams of ``seeds``."""
+    hashes, w = _codes(batch.column("text"))
+    first = w.first
+    text_of = text_of_words(w)
+    grams, place = _grams(hashes, text_of, DOCUMENT_STEPS)
+    hit, low, high = lookup.find(grams)
+    count = high - low
+    row = np.repeat(place[hit], count)
+    seed = seeds[np.repeat(low - np.cumsum(count) + count, count) + np.arange(len(row))]
     length = np.diff(items.first)
     text, item, begin, last, n_seeds = _regions(
-        text[row], items.item[seed], position[row] - items.position[seed], length
+        text_of[row], items.item[seed], row - first[text_of[row]] - items.position[seed], length
     )
+    # Items with one seed alone have to do with it.
+    enough = n_seeds >= np.minimum(TOGETHER, np.bincount(items.item[seeds], minlength=len(items.ids)))[item]
+    text, item, begin, last, n_seeds = (x[enough] for x in (text, item, begin, last, n_seeds))
     slack = length[item] // 3 + 2
     size_of = np.diff(first)
     start = np.maximum(0, begin - slack)
@@ -179,47 +253,49 @@ def search_batch(batch: pa.RecordBatch, items: Items, seeds: np.ndarray, least:
     )
 
 
+def _searches(documents: DataFrame, benchmark: DataFrame) -> Iterator[tuple[Items, np.ndarray, Lookup]]:
+    """Blocks of items with their seeds, each after a count over all documents."""
+    for items in item_blocks(benchmark):
+        frequency, n = document_frequencies(documents, items)
+        seeds = chosen_seeds(items, frequency, n)
+        if len(seeds):
+            yield items, seeds, Lookup(items.grams[seeds])
+
+
 def contaminated_passages(
     documents: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE
 ) -> DataFrame:
     """doc_id, item_id, score, start, end and n_seeds of every passage that copies a test item.
 
     ``start`` and ``end`` count words of the normalised text.  Items travel to
-    the tasks in blocks of bounded size, and every block meets all documents;
-    nothing is shuffled.  Null and empty texts, and
-    items shorter than a seed, match nothing; equal rows give equal matches;
-    an empty table on either side gives no rows; other columns are not looked
-    at.
+    the tasks in blocks of bounded size, and every block meets all documents
+    twice, for the frequencies and for the search; no text is shuffled.  Null
+    and empty texts, and items of one word, match nothing; equal rows give
+    equal matches; an empty table on either side gives no rows; other columns
+    are not looked at.
     """
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
     out = documents.sparkSession.createDataFrame([], MATCHES)
-    for items in item_blocks(benchmark):
-        if not len(items.grams):
-            continue
-        seeds = sorted_seeds(items)
-        out = out.unionByName(
-            map_slices(rows, lambda b, i=items, s=seeds: search_batch(b, i, s, least), MATCHES)
-        )
+    for search in _searches(documents, benchmark):
+        out = out.unionByName(map_slices(rows, lambda b, s=search: search_batch(b, *s, least), MATCHES))
     return out
 
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
     """The documents without a passage of a test item, with all their columns.
 
-    The rows are judged where they are, so no text is shuffled.
+    The rows are judged where they are, so no text is shuffled.  Null and
+    empty texts stay, equal rows have equal fates, and an empty table gives no
+    rows.
     """
-    blocks = []
-    for items in item_blocks(benchmark):
-        if len(items.grams):
-            blocks.append((items, sorted_seeds(items)))
     kept = documents
-    for items, seeds in blocks:
+    for search in _searches(documents, benchmark):
 
-        def keep(batch: pa.RecordBatch, items=items, seeds=seeds) -> pa.RecordBatch:
+        def keep(batch: pa.RecordBatch, search=search) -> pa.RecordBatch:
             rows = pa.record_batch(
                 [pa.array(np.arange(batch.num_rows)), batch.column("text")], names=["doc_id", "text"]
             )
-            found = search_batch(rows, items, seeds, least).column("doc_id").to_numpy()
+            found = search_batch(rows, *search, least).column("doc_id").to_numpy()
             clean = np.ones(batch.num_rows, bool)
             clean[found] = False
             return batch.filter(pa.array(clean))
