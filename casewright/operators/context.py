@@ -6,12 +6,17 @@ so gathering the rows of a query gathers ``k`` rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casewright.functions.text import excerpt, sentences, strip, token_estimate, tokens
 from casewright.operators.ranking import top_k
 from casewright.operators.search import token_jaccard
+from casewright.session import shared_folder
 
 
 def order_for_attention(hits: DataFrame, keep_all: bool = False) -> DataFrame:
@@ -252,6 +257,87 @@ def extractive_summary(corpus: DataFrame, keep: int = 2) -> DataFrame:
     return best.join(split, ["id", "sentence_no"]).select("id", "sentence_no", "sentence", "score")
 
 
+# Terms are weighed by buckets of their digests, so that the weights are a table of fixed size.
+TERM_BUCKETS = 1 << 16
+# Sentences with fewer words count less.
+FULL_SENTENCE = 8
+# What a sentence's own score counts beside its likeness to those chosen.
+OWN_SHARE = 0.7
+
+
+def term_bucket(term: Column, buckets: int = TERM_BUCKETS) -> Column:
+    return (F.conv(F.substring(F.md5(term), 1, 8), 16, 10).cast("long") % buckets).cast("int")
+
+
+def diverse_summary(corpus: DataFrame, keep: int = 2, own: float = OWN_SHARE) -> DataFrame:
+    """``keep`` sentences per text that say much and differ from each other, in text order.
+
+    A sentence scores the mean IDF of its words, more at the beginning of a
+    text (by 1 + 1 / its number) and less below ``FULL_SENTENCE`` words.
+    Sentences are chosen by maximal marginal relevance: ``own`` times the
+    score, less the rest times the likeness (Jaccard of the words) to a chosen
+    sentence, in parts of the best score.  Texts are split and tokenised once
+    and stored as numbers; document frequencies combine in the tasks, and
+    sentences are chosen where they are, so no word is shuffled.
+
+    ``corpus`` has id and text.  Returns id, sentence_no (from 1), sentence and
+    score.  Sentences without a word are never chosen; a null text has none.
+    """
+    spark = corpus.sparkSession
+    folder = shared_folder(spark, "sentences")
+    split = corpus.select("id", F.transform(sentences(F.col("text")), strip).alias("sentences"))
+    coded = split.withColumn(
+        "words", F.transform("sentences", lambda s: F.transform(tokens(s), lambda t: term_bucket(t)))
+    )
+    coded.write.parquet(folder)
+    stored = spark.read.schema(coded.schema).parquet(folder)
+    found = stored.select(F.explode(F.array_distinct(F.flatten("words"))).alias("bucket"))
+    # At most TERM_BUCKETS rows.
+    counts = found.groupBy("bucket").agg(F.count(F.lit(1)).alias("df")).collect()
+    idf = np.zeros(TERM_BUCKETS)
+    n = stored.count()
+    for r in counts:
+        idf[r.bucket] = np.log(n / r.df)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, numbers, texts, scores = [], [], [], []
+            columns = (batch.column(c).to_pylist() for c in ("id", "sentences", "words"))
+            for id_, said, words in zip(*columns):
+                for p, score in chosen_sentences(words or [], idf, keep, own):
+                    ids.append(id_)
+                    numbers.append(p + 1)
+                    texts.append(said[p])
+                    scores.append(score)
+            yield pa.record_batch(
+                [pa.array(ids, batch.schema.field("id").type), pa.array(numbers, pa.int32()),
+                 pa.array(texts, pa.string()), pa.array(scores, pa.float64())],
+                names=["id", "sentence_no", "sentence", "score"],
+            )
+
+    kind = stored.schema["id"].dataType.simpleString()
+    return stored.mapInArrow(run, f"id {kind}, sentence_no int, sentence string, score double")
+
+
+def chosen_sentences(words: list, idf: np.ndarray, keep: int, own: float) -> list[tuple[int, float]]:
+    """Places and scores of the sentences chosen, in text order."""
+    sets = {p: frozenset(w) for p, w in enumerate(words) if w}
+    score = {
+        p: round(float(idf[words[p]].mean()) * (1 + 1 / (p + 1)) * min(1, len(words[p]) / FULL_SENTENCE), 9)
+        for p in sets
+    }
+    best = max(score.values(), default=0.0)
+    like = dict.fromkeys(sets, 0.0)
+    taken: list[int] = []
+    while len(taken) < keep and len(taken) < len(sets):
+        left = [p for p in sets if p not in taken]
+        pick = max(left, key=lambda p: (round(own * score[p] - (1 - own) * like[p] * best, 9), -p))
+        taken.append(pick)
+        for p in left:
+            like[p] = max(like[p], len(sets[p] & sets[pick]) / len(sets[p] | sets[pick]))
+    return [(p, score[p]) for p in sorted(taken)]
+
+
 def drop_exact_duplicates(corpus: DataFrame) -> DataFrame:
     """One row per distinct text: the lowest id and the number of copies.
 

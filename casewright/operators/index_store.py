@@ -40,7 +40,16 @@ from casewright.operators.search import (
     fuse_ranks,
     vector_search,
 )
-from casewright.streaming.jobs import BATCH, STREAM, VERSION, newest_versions, stored_rows, sync_index
+from casewright.streaming.jobs import (
+    BATCH,
+    STREAM,
+    VERSION,
+    Step,
+    index_batch,
+    newest_versions,
+    stored_rows,
+    sync_index,
+)
 
 LOG, ROWS, POSTINGS, MANIFEST = "log", "rows", "postings", "manifest"
 # A bucket is rewritten and searched by one task: some 100,000 rows are a good size.
@@ -99,6 +108,14 @@ def term_counts(text: Column) -> Column:
     return counted(tokens(text))
 
 
+def text_columns(rows: DataFrame, vector: Column | None = None, *more: str) -> DataFrame:
+    """What the index keeps of rows (id, text, text_hash): words, and a vector if one is given, not the text."""
+    counted = rows.withColumn("words", term_counts(F.col("text")))
+    length = F.aggregate("words", F.lit(0).cast("long"), lambda n, w: n + w.tf)
+    vectors = [] if vector is None else [vector.alias("vector")]
+    return counted.select("id", "text_hash", *more, *vectors, "words", length.alias("length"))
+
+
 def bucket_of(key: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
@@ -131,9 +148,12 @@ def _read(spark: SparkSession, snapshot: Snapshot, table: str, only: set[int] |
     return spark.read.option("basePath", f"{snapshot.root}/{table}").parquet(*folders).drop("generation")
 
 
-def known_hashes(spark: SparkSession, root: str) -> DataFrame | None:
-    """(id, text_hash) of every current row: buckets as they are, and the log behind them."""
-    log = stored_rows(spark, f"{root}/{LOG}")
+def known_hashes(spark: SparkSession, root: str, without: Step | None = None) -> DataFrame | None:
+    """(id, text_hash) of every current row: buckets as they are, and the log behind them.
+
+    Rows of the step ``without`` do not count while they are in the log.
+    """
+    log = stored_rows(spark, f"{root}/{LOG}", without)
     if log is None:
         return None
     snapshot = open_store(spark, root)
@@ -158,10 +178,16 @@ def sync(
     ``length`` are what postings are made of.
     """
     return sync_index(
-        chunks, f"{root}/{LOG}", checkpoint, embed, order, lambda spark: known_hashes(spark, root)
+        chunks, f"{root}/{LOG}", checkpoint, embed, order, lambda spark, step: known_hashes(spark, root, step)
     )
 
 
+def sync_rows(rows: DataFrame, root: str, step: Step, embed: Callable[[DataFrame], DataFrame]) -> None:
+    """Write the new and changed ones of some rows (id, text) to the log, as one step."""
+    known = lambda spark, mine: known_hashes(spark, root, mine)
+    index_batch(rows, step, f"{root}/{LOG}", embed, known=known)
+
+
 def compact(spark: SparkSession, root: str, buckets: int = BUCKETS) -> Snapshot:
     """Bring rows and postings up to the end of the log; returns the new snapshot.
 

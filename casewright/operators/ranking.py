@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from casewright.session import shared_folder
+
 
 def top_k(df: DataFrame, groups: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
     """The first ``k`` rows per group with their ``rank``.
@@ -19,34 +21,36 @@ def top_k(df: DataFrame, groups: Sequence[str], order: Sequence[Column], k: int)
 
 
 def position_in_group(
-    df: DataFrame,
-    group: str,
-    order: str,
-    tie: str | None = None,
-    page_size: int = 4096,
-    name: str = "position",
+    df: DataFrame, group: str, order: str, tie: str | None = None, name: str = "position"
 ) -> DataFrame:
-    """1-based position by a long ``order`` column within ``group``.
-
-    A plain row_number() would sort a whole group in one task.  Here the order
-    values are cut into pages: rows are numbered within (group, page), and the
-    counts of the earlier pages are added.  The counts are combined before
-    they are shuffled, and there is one per page, not one per row.
+    """1-based position by ``order``, then ``tie``, within ``group``.
+
+    A plain row_number() would sort a whole group in one task.  Here the rows
+    are dealt out by ranges of group, order and tie and stored, so a huge
+    group, or one value of ``order`` on all of its rows, lies in as many
+    partitions as its size asks for.  A first pass counts the rows of each
+    group in each partition; a second numbers them inside, and adds the counts
+    of the earlier partitions.
     """
-    paged = df.withColumn("_page", F.floor(F.col(order) / page_size).cast("long"))
-    within = Window.partitionBy(group, "_page").orderBy(*[c for c in (order, tie) if c])
-    before = (
-        Window.partitionBy(group).orderBy("_page").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = (
-        paged.groupBy(group, "_page")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .drop("_n")
+    spark = df.sparkSession
+    keys = [c for c in (group, order, tie) if c]
+    folder = shared_folder(spark, "positions")
+    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    placed = ranged.withColumn("_part", F.spark_partition_id())
+    placed.write.parquet(folder)
+    rows = spark.read.schema(placed.schema).parquet(folder)
+    counts = rows.groupBy(group, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    # One row per partition of a group, so that many at most in one window.
+    earlier = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        F.col(group).alias("_group"), F.col("_part").alias("_at"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
     )
+    within = Window.partitionBy(group, "_part").orderBy(*keys[1:])
+    mine = F.col(group).eqNullSafe(F.col("_group")) & (F.col("_part") == F.col("_at"))
     return (
-        paged.withColumn("_row", F.row_number().over(within))
-        .join(offsets, [group, "_page"])
+        rows.withColumn("_row", F.row_number().over(within))
+        .join(offsets, mine)
         .withColumn(name, F.col("_before") + F.col("_row"))
-        .drop("_page", "_row", "_before")
+        .drop("_part", "_row", "_before", "_group", "_at")
     )
+

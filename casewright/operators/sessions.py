@@ -41,7 +41,7 @@ def session_history(messages: DataFrame) -> DataFrame:
 
     Rows rather than one array per session: a session may be of any length.
     """
-    return position_in_group(messages, "session_id", "created_at_ms", "id", 3_600_000, "seq")
+    return position_in_group(messages, "session_id", "created_at_ms", "id", "seq")
 
 
 def last_message(messages: DataFrame, group: str = "conv_id", order: str = "turn") -> DataFrame:

@@ -18,6 +18,7 @@ from casewright.operators import (
     context,
     evaluation,
     index_store,
+    language_model,
     logs,
     merge,
     ranking,
@@ -29,7 +30,7 @@ from casewright.operators import (
 )
 from casewright.plans import cases as fixture
 from casewright.plans.cases import table
-from casewright.plans.settings import ASKED_EVERY, EMBED_DIMS, LSH_BITS, LSH_TABLES
+from casewright.plans.settings import ASKED_EVERY, CASE_FOLDERS, EMBED_DIMS, LANGUAGE_SAMPLE, LSH_BITS, LSH_TABLES
 from casewright.session import shared_folder
 from casewright.sources import files, tables
 from casewright.streaming import case_stream, jobs
@@ -50,48 +51,56 @@ def _r(c: Column | str, digits: int = 6) -> Column:
 # --- sources and sinks -------------------------------------------------------
 
 
-def _written_files(spark: SparkSession, d: str) -> tuple[str, str]:
-    """Case files with one order each, in two folders written one after the other.
+def _written_files(spark: SparkSession, d: str) -> tuple[str, str, str]:
+    """All orders as lines of case files, a folder per group of customers, written in three goes.
 
-    Returns the root and the time between the two.
+    Returns the root and a time after the first and after the second.
     """
     root = shared_folder(spark, "files")
-    orders = table(spark, d, "orders").where(F.col("o_orderkey") % 500 < 2)
-    lines = orders.select(
+    lines = table(spark, d, "orders").select(
         F.concat(F.lit("order "), F.col("o_orderkey"), F.lit(" of "), F.col("o_custkey")).alias("value"),
-        (F.col("o_orderkey") % 500).alias("part"),
-        F.concat(F.lit("case_"), F.col("o_orderkey")).alias("case"),
+        (F.col("o_orderkey") % len(_GOES)).alias("part"),
+        (F.col("o_custkey") % CASE_FOLDERS).alias("case_"),
     )
-    first = lines.where("part = 0").select("value", "case")
-    first.repartition("case").write.partitionBy("case").text(f"{root}/early")
-    written = files.list_files(spark, f"{root}/early", "*.txt")
-    newest = written.agg(F.date_format(F.max("modificationTime"), "yyyy-MM-dd'T'HH:mm:ss")).first()[0]
-    time.sleep(1.1)
-    second = lines.where("part = 1").select("value", "case")
-    second.repartition("case").write.partitionBy("case").text(f"{root}/late")
-    return root, newest or "1970-01-01T00:00:00"
+    times = []
+    for part, name in enumerate(_GOES):
+        some = lines.where(F.col("part") == part).select("value", "case_")
+        some.repartition("case_").write.partitionBy("case_").text(f"{root}/{name}")
+        newest = files.list_files(spark, f"{root}/{name}", "*.txt").agg(F.max("modificationTime").alias("t"))
+        # The next full second is after this go, and before the next one.
+        after = F.date_format(F.col("t") + F.expr("INTERVAL 1 SECOND"), "yyyy-MM-dd'T'HH:mm:ss")
+        times.append(newest.select(after).first()[0] or "1970-01-01T00:00:00")
+        if part + 1 < len(_GOES):
+            time.sleep(1.1)
+    return root, times[0], times[1]
+
+
+_GOES = ("early", "middle", "late")
 
 
 def _case_of(path: str) -> Column:
-    return F.regexp_extract(path, "case=(case_[0-9]+)", 1)
+    return F.concat(F.lit("case_"), F.regexp_extract(path, "case_=([0-9]+)", 1))
 
 
 @query
 def scan_binary(spark, d):
-    """Every written file with its content."""
-    root, _ = _written_files(spark, d)
-    return files.read_binary(spark, root, "*.txt").select(
-        _case_of("path").alias("case"), F.decode("content", "UTF-8").alias("content")
+    """Every line of every written file."""
+    root, *_ = _written_files(spark, d)
+    content = F.decode("content", "UTF-8")
+    return (
+        files.read_binary(spark, root, "*.txt")
+        .select(_case_of("path").alias("case"), F.explode(F.split(content, "\n")).alias("line"))
+        .where("line <> ''")
     )
 
 
 @query
 def scan_incremental(spark, d):
-    """The files of the second write alone, by the time of the first."""
-    root, since = _written_files(spark, d)
-    return files.list_files(spark, root, "*.txt", since=since).where(
-        F.col("modificationTime") > F.lit(since).cast("timestamp") + F.expr("INTERVAL 1 SECOND")
-    ).select(_case_of("path").alias("case"), F.col("length").alias("bytes"))
+    """The case files of the second go alone, by the times around it."""
+    root, since, until = _written_files(spark, d)
+    return files.list_case_files(spark, root, since, until, "*.txt").select(
+        _case_of("path").alias("case"), F.col("length").alias("bytes")
+    )
 
 
 @query
@@ -403,9 +412,8 @@ def chunks_enriched(spark, d):
     )
 
 
-def _batch_runs(spark: SparkSession, d: str, again: bool) -> DataFrame:
+def _run_batches(spark: SparkSession, d: str, root: str, again: bool) -> None:
     """Two runs; in the first, the declarations of every sixth case are still missing."""
-    root = shared_folder(spark, "batch")
     key = F.regexp_extract("path", "case_([0-9]+)", 1).try_cast("long")
     late = F.coalesce((key % 6 == 1) & F.col("path").contains("declaration"), F.lit(False))
     listed = fixture.case_files(spark, d)
@@ -417,6 +425,11 @@ def _batch_runs(spark: SparkSession, d: str, again: bool) -> DataFrame:
     if again:
         batch.run_batch(first, parsed, root, 1)
     batch.run_batch(listed.where(late), parsed, root, 2)
+
+
+def _batch_runs(spark: SparkSession, d: str, again: bool) -> DataFrame:
+    root = shared_folder(spark, "batch")
+    _run_batches(spark, d, root, again)
     return spark.read.parquet(f"{root}/{batch.CHUNKS}")
 
 
@@ -435,6 +448,18 @@ def pipeline_rerun(spark, d):
     return _batch_runs(spark, d, again=True).select(*_BATCH_COLUMNS, F.col("processed").cast("long"))
 
 
+@query
+def pipeline_search(spark, d):
+    """Keyword search for some suppliers in the chunks that the two batch runs stored and indexed."""
+    root = shared_folder(spark, "batch")
+    _run_batches(spark, d, root, again=False)
+    asked = table(spark, d, "supplier").where("s_suppkey % 25 = 1").select(
+        F.col("s_suppkey").alias("query_id"), F.concat(F.lit("goods supplied by "), "s_name").alias("text")
+    )
+    snapshot = index_store.compact(spark, f"{root}/{batch.INDEX}")
+    return _rounded(index_store.keyword_search(spark, snapshot, asked, 5))
+
+
 @query
 def translation_payload(spark, d):
     return _elements(spark, d).select(
@@ -677,6 +702,24 @@ def detect_language(spark, d):
     return _documents(spark, d).select("id", language.detect_language(F.col("text")).alias("detected"))
 
 
+def _language_sample(spark: SparkSession, d: str) -> DataFrame:
+    return language_model.sampled(_documents(spark, d, "lang"), LANGUAGE_SAMPLE)
+
+
+@query
+def language_grams(spark, d):
+    """How many sampled texts of each language have each character 3-gram."""
+    return language_model.gram_counts(_language_sample(spark, d))
+
+
+@query
+def detect_language_grams(spark, d):
+    """The language of every document by a model of its sample's 3-grams."""
+    model = language_model.fit(_language_sample(spark, d))
+    found = language_model.detect(_documents(spark, d), model)
+    return found.select("id", F.col("lang").alias("detected"), _r("score", 3).alias("score"))
+
+
 @query
 def dedup_exact(spark, d):
     return context.drop_exact_duplicates(_documents(spark, d))
@@ -875,11 +918,7 @@ def _questions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _stored_columns(rows: DataFrame) -> DataFrame:
-    """What the index keeps of a document: its vector and its postings, not its text."""
-    counted = rows.withColumn("words", index_store.term_counts(F.col("text")))
-    length = F.aggregate("words", F.lit(0).cast("long"), lambda n, w: n + w.tf)
-    vector = embedding.hash_embedding(F.col("text"), EMBED_DIMS)
-    return counted.select("id", "text_hash", "lang", vector.alias("vector"), "words", length.alias("length"))
+    return index_store.text_columns(rows, embedding.hash_embedding(F.col("text"), EMBED_DIMS), "lang")
 
 
 _indexes: dict[tuple[str, str], index_store.Snapshot] = {}
@@ -1112,6 +1151,13 @@ def extractive_summary(spark, d):
     return context.extractive_summary(_documents(spark, d)).withColumn("score", _r("score"))
 
 
+@query
+def diverse_summary(spark, d):
+    """Two sentences of every document that say much and differ."""
+    chosen = context.diverse_summary(_documents(spark, d))
+    return chosen.select("id", "sentence_no", "sentence", _r("score").alias("score"))
+
+
 @query
 def result_rows(spark, d):
     """Search hits as column names plus values, read back as maps."""

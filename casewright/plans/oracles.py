@@ -9,9 +9,10 @@ splits go through a marker character.
 from __future__ import annotations
 
 from casewright.functions.embedding import plane_table
+from casewright.operators import context, language_model
 from casewright.operators import similarity_join as _NEAR
 from casewright.operators import vector_index
-from casewright.plans.settings import ASKED_EVERY, LSH_BITS, LSH_TABLES
+from casewright.plans.settings import ASKED_EVERY, CASE_FOLDERS, LANGUAGE_SAMPLE, LSH_BITS, LSH_TABLES
 
 WS = r"[\t\n\x0B\f\r\x1C-\x20\x{85}\p{Z}]"
 TOKENS = r"regexp_extract_all(lower({}), '[\p{{L}}\p{{N}}]+')"
@@ -158,6 +159,20 @@ _CASE_PATHS = """'/cases/case_' || k || '/invoice_' || k || '.pdf' AS invoice_pa
   '/cases/case_' || k || '/declaration_' || k || '.pdf' AS declaration_path,
   CASE WHEN k % 5 = 0 THEN '/cases/case_' || k || '/royalty_' || k || '.pdf' END AS royalty_path"""
 
+# The words of a text with one blank around each, and its different character 3-grams.
+_PLAIN = "(' ' || trim(regexp_replace(lower(text), '\\P{L}+', ' ', 'g')) || ' ')"
+_GRAMS_OF = """list_distinct(list_transform(range(1, greatest(length(plain) - 1, 1)),
+      lambda i: substr(plain, i, 3)))"""
+_GRAMS = f"""
+plain AS (SELECT doc_id, lang, text, {_PLAIN} AS plain FROM documents),
+sample AS (
+  SELECT * FROM plain WHERE lang IS NOT NULL AND text IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY lang ORDER BY md5(doc_id::VARCHAR), doc_id) <= {LANGUAGE_SAMPLE}),
+counts AS (
+  SELECT gram, lang, count(*) AS texts FROM (SELECT lang, unnest({_GRAMS_OF}) AS gram FROM sample)
+  GROUP BY gram, lang)
+"""
+
 _BATCH = f"""WITH {CHUNKS} SELECT id, case_id, text, invoice_total, declaration_total, metadata, processed
   FROM (SELECT {_CHUNK_COLUMNS}, {FIELD_COLUMNS}, concat_ws(' | ',
       '/cases/case_' || k || '/invoice_' || k || '.pdf',
@@ -460,6 +475,9 @@ bm25 AS (
 """
 
 
+_SUPPLIED = """SELECT s_suppkey AS query_id, 'goods supplied by ' || s_name AS text
+  FROM supplier WHERE s_suppkey % 25 = 1"""
+
 _CHANGED = """
 changed AS (
   SELECT doc_id, lang, CASE WHEN doc_id % 3 = 0 THEN text || ' and once more' ELSE text END AS text
@@ -650,12 +668,11 @@ ORACLES: dict[str, str] = {
     "completeness": f"""WITH {FACTS} SELECT TRUE AS has_invoice, declaration_path IS NOT NULL
         AS has_declaration, royalty_path IS NOT NULL AS has_royalty, count(*) AS count
         FROM ({_INVENTORY}) GROUP BY ALL""",
-    "scan_binary": """SELECT 'case_' || o_orderkey AS "case",
-        'order ' || o_orderkey || ' of ' || o_custkey || chr(10) AS content
-        FROM orders WHERE o_orderkey % 500 < 2""",
-    "scan_incremental": """SELECT 'case_' || o_orderkey AS "case",
-        length('order ' || o_orderkey || ' of ' || o_custkey) + 1 AS bytes
-        FROM orders WHERE o_orderkey % 500 = 1""",
+    "scan_binary": f"""SELECT 'case_' || o_custkey % {CASE_FOLDERS} AS "case",
+        'order ' || o_orderkey || ' of ' || o_custkey AS line FROM orders""",
+    "scan_incremental": f"""SELECT 'case_' || o_custkey % {CASE_FOLDERS} AS "case",
+        sum(length('order ' || o_orderkey || ' of ' || o_custkey) + 1)::BIGINT AS bytes
+        FROM orders WHERE o_orderkey % 3 = 1 GROUP BY 1""",
     "eval_questions": f"""SELECT question FROM (
         SELECT {_strip("unnest(string_split(text, chr(10)))")} AS question FROM benchmark) WHERE question <> ''""",
     "ensure_columns": """SELECT o_orderkey, o_orderstatus, CAST(NULL AS BIGINT) AS processed,
@@ -725,6 +742,8 @@ ORACLES: dict[str, str] = {
         WHERE k % 13 <> 0 GROUP BY path""",
     "pipeline_run": _BATCH,
     "pipeline_rerun": _BATCH,
+    "pipeline_search": f"""WITH {_bm25_cte(5, _SUPPLIED, f"(SELECT id AS doc_id, text FROM ({_BATCH}))")}
+        SELECT query_id, id, rank, round(score, 6) AS score FROM bm25""",
     "stream_cases": f"SELECT * EXCLUDE (processed) FROM ({_BATCH})",
     "stream_waiting": f"""WITH {FACTS} SELECT id, invoice_path IS NOT NULL AS has_invoice
         FROM ({_INVENTORY}) WHERE declaration_path IS NULL""",
@@ -779,6 +798,19 @@ ORACLES: dict[str, str] = {
         FROM t, unnest(range(1, len(s) + 1, 5)) AS u(i)""",
     "chunk_paragraph": _PARAGRAPHS,
     "detect_language": _language(),
+    "language_grams": f"WITH {_GRAMS} SELECT * FROM counts",
+    "detect_language_grams": f"""WITH {_GRAMS},
+        totals AS (SELECT lang, count(*) AS total FROM sample GROUP BY lang),
+        kept AS (SELECT gram FROM counts GROUP BY gram ORDER BY sum(texts) DESC, gram LIMIT {language_model.MOST_GRAMS}),
+        shares AS (SELECT gram, lang, ln((coalesce(texts, 0) + 1) / (total + 2)) AS share
+          FROM kept CROSS JOIN totals LEFT JOIN counts USING (gram, lang)),
+        model AS (SELECT gram, lang, round(share - avg(share) OVER (PARTITION BY gram), 6) AS weight FROM shares),
+        scores AS (SELECT id, lang, round(sum(weight), 6) AS score
+          FROM (SELECT doc_id AS id, unnest({_GRAMS_OF}) AS gram FROM plain) JOIN model USING (gram)
+          GROUP BY id, lang),
+        best AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, lang) = 1)
+        SELECT doc_id AS id, lang AS detected, round(score, 3) AS score
+        FROM (SELECT doc_id FROM documents) LEFT JOIN best ON id = doc_id""",
     "dedup_exact": """SELECT min(doc_id) AS id, count(*) AS copies FROM documents GROUP BY text""",
     # arithmetic and cost
     "arith_functions": """SELECT l_orderkey, l_linenumber, l_partkey,
@@ -938,6 +970,28 @@ ORACLES: dict[str, str] = {
         best AS (SELECT * FROM scored
           QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, sentence_no) <= 2)
         SELECT id, sentence_no, sentence, round(score, 6) AS score FROM best JOIN s USING (id, sentence_no)""",
+    "diverse_summary": f"""WITH s AS (
+        SELECT doc_id AS id, CAST(n AS INTEGER) AS sentence_no, {_strip('p')} AS sentence
+        FROM documents, unnest({_SENTENCES}) WITH ORDINALITY AS u(p, n)),
+        coded AS (SELECT *, list_transform({_tokens('sentence')},
+          lambda t: ('0x' || substr(md5(t), 1, 8))::BIGINT % {context.TERM_BUCKETS}) AS words FROM s),
+        f AS (SELECT bucket, ln((SELECT count(*) FROM documents) / count(DISTINCT id)) AS idf
+          FROM (SELECT id, unnest(words) AS bucket FROM coded) GROUP BY bucket),
+        scored AS (SELECT id, sentence_no, round(avg(idf) * (1 + 1 / sentence_no)
+            * least(1, count(*) / {context.FULL_SENTENCE}), 9) AS score
+          FROM (SELECT id, sentence_no, unnest(words) AS bucket FROM coded) JOIN f USING (bucket)
+          GROUP BY id, sentence_no),
+        all_ AS (SELECT id, sentence_no, sentence, list_distinct(words) AS words, score
+          FROM scored JOIN coded USING (id, sentence_no)),
+        first_ AS (SELECT * FROM all_ QUALIFY row_number() OVER (
+          PARTITION BY id ORDER BY round({context.OWN_SHARE}::DOUBLE * score, 9) DESC, sentence_no) = 1),
+        second_ AS (SELECT a.* FROM all_ a JOIN first_ f ON f.id = a.id AND f.sentence_no <> a.sentence_no
+          QUALIFY row_number() OVER (PARTITION BY a.id ORDER BY round({context.OWN_SHARE}::DOUBLE * a.score
+            - (1 - {context.OWN_SHARE}::DOUBLE) * (len(list_intersect(a.words, f.words))::DOUBLE
+              / len(list_distinct(list_concat(a.words, f.words)))) * f.score, 9) DESC,
+            a.sentence_no) = 1)
+        SELECT id, sentence_no, sentence, round(score, 6) AS score
+        FROM (SELECT * FROM first_ UNION ALL SELECT * FROM second_)""",
     "result_rows": f"""WITH {_bm25_cte(10)} SELECT query_id, 2::INTEGER AS entries, id, rank FROM bm25""",
     # sessions
     "session_history": f"""SELECT conv_id::VARCHAR AS session_id, {_MESSAGE} AS message_data,

@@ -26,10 +26,14 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*", since: str |
 
 
 def list_case_files(
-    spark: SparkSession, root: str, since: str | None = None, until: str | None = None
+    spark: SparkSession,
+    root: str,
+    since: str | None = None,
+    until: str | None = None,
+    pattern: str = "*.[pP][dD][fF]",
 ) -> DataFrame:
-    """PDF files of case folders with ``since < modified <= until``."""
-    files = list_files(spark, root, "*.[pP][dD][fF]", since)
+    """Files of case folders, by default PDFs, with ``since < modified <= until``."""
+    files = list_files(spark, root, pattern, since)
     if until is not None:
         files = files.where(F.col("modificationTime") <= F.lit(until).cast("timestamp"))
     return files.where(paths.case_folder(F.col("path")).isNotNull())

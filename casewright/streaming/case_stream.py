@@ -65,8 +65,9 @@ def stream_cases(
     """Take up the cases that new files of the stream ``files`` (path) complete or add to.
 
     ``parsed`` reads the parsed documents known by then.  Every batch that has
-    news writes its events, and the typed elements, unreadable documents and
-    chunks of its cases, as a run of their tables; a retry replaces it.
+    news writes its events, and the typed elements, unreadable documents,
+    chunks and index entries of its cases, as a run of their tables; a retry
+    replaces it.
     """
 
     def sink(df: DataFrame, step: Step) -> None:
@@ -78,7 +79,8 @@ def stream_cases(
         ready = events.where("complete").select("id", *PATH_COLUMNS)
         known = parsed(spark).withColumn(RUN, F.lit(run).cast("long"))
         documents = batch.take_up_documents(known, ready, root, run)
-        batch.write_chunks(documents, ready, root, run)
+        chunks = batch.write_chunks(documents, ready, root, run)
+        batch.sync_chunk_index(chunks, root, run)
 
     events = (
         role_paths(files)

@@ -40,6 +40,10 @@ class Step(NamedTuple):
         return (F.col(STREAM) == self.stream) & (F.col(BATCH) == self.batch)
 
 
+# Current keys and hashes, without what a step wrote itself.
+Known = Callable[[SparkSession, Step], "DataFrame | None"]
+
+
 def read_stream(spark: SparkSession, folder: str, schema: str, pattern: str = "*.parquet") -> DataFrame:
     """Parquet files of a folder as a stream."""
     return (
@@ -145,32 +149,43 @@ def sync_index(
     checkpoint: str,
     embed: Callable[[DataFrame], DataFrame],
     order: str | None = None,
-    known: Callable[[SparkSession], DataFrame | None] | None = None,
+    known: Known | None = None,
 ) -> StreamingQuery:
-    """Embed new and changed chunks only.
+    """Embed new and changed chunks of a stream only, see :func:`index_batch`."""
+    return run_available(
+        chunks, checkpoint, lambda df, step: index_batch(df, step, path, embed, order, known)
+    )
 
-    Of several versions of an id in a batch the last in the column ``order``
-    counts.  Only key, text hash and version of the stored rows are read, and
-    only for the ids of the batch; ``known`` may give current keys and hashes
-    from elsewhere.  A row with a higher version replaces the older ones of
-    its id, see :func:`current_index`.
-    """
 
-    def sink(df: DataFrame, step: Step) -> None:
-        spark = df.sparkSession
-        latest = newest_per_id(df.withColumn("text_hash", text_hash(F.col("text"))), order)
-        stored = stored_rows(spark, path, step)
-        if stored is not None:
-            current = known(spark) if known else None
-            if current is None:
-                mine = stored.select("id", "text_hash", VERSION).join(
-                    df.select("id").distinct(), "id", "left_semi"
-                )
-                current = newest_versions(mine)
-            latest = latest.join(current.select("id", "text_hash"), ["id", "text_hash"], "left_anti")
-        write_batch(embed(latest).withColumn(VERSION, F.lit(next_version(stored)).cast("long")), step, path)
-
-    return run_available(chunks, checkpoint, sink)
+def index_batch(
+    df: DataFrame,
+    step: Step,
+    path: str,
+    embed: Callable[[DataFrame], DataFrame],
+    order: str | None = None,
+    known: Known | None = None,
+) -> None:
+    """Write the chunks (id, text) that are new or changed as one step of the index.
+
+    Of several versions of an id the last in the column ``order`` counts.
+    Only key, text hash and version of the stored rows are read, and only for
+    the ids at hand; ``known`` may give current keys and hashes from
+    elsewhere.  What an earlier attempt of the same step wrote is replaced and
+    does not count as stored.  A row with a higher version replaces the older
+    ones of its id, see :func:`current_index`.
+    """
+    spark = df.sparkSession
+    latest = newest_per_id(df.withColumn("text_hash", text_hash(F.col("text"))), order)
+    stored = stored_rows(spark, path, step)
+    if stored is not None:
+        current = known(spark, step) if known else None
+        if current is None:
+            mine = stored.select("id", "text_hash", VERSION).join(
+                df.select("id").distinct(), "id", "left_semi"
+            )
+            current = newest_versions(mine)
+        latest = latest.join(current.select("id", "text_hash"), ["id", "text_hash"], "left_anti")
+    write_batch(embed(latest).withColumn(VERSION, F.lit(next_version(stored)).cast("long")), step, path)
 
 
 def next_version(stored: DataFrame | None) -> int:

@@ -184,5 +184,5 @@ def test_batch_takes_up_waiting_cases(spark, tmp_path):
     second = batch.run_batch(files.where(F.col("path") == late), parsed, root, 2)
     assert {r.case_id for r in second.collect()} == {"case_2"} and second.count() == 2
     assert "PartitionFilters: [isnotnull(processed" in second._jdf.queryExecution().executedPlan().toString()
-    assert spark.read.parquet(f"{root}/index").count() == 4
+    assert spark.read.parquet(f"{root}/index/log").count() == 4
     assert spark.read.parquet(f"{root}/waiting").where("processed = 2").count() == 0

@@ -174,3 +174,16 @@ def test_an_interrupted_compaction_changes_nothing(spark, tmp_path, monkeypatch)
     monkeypatch.undo()
     again = index_store.compact(spark, root)
     assert {r.id: r.length for r in index_store.live_rows(spark, again).collect()} == {"a": 2, "d": 1}
+
+
+def test_a_repeated_step_loses_nothing(spark, tmp_path):
+    """A step that is tried again writes what it wrote before, not what is new since itself."""
+    root = str(tmp_path)
+    one = spark.createDataFrame([("a", "x"), ("b", "y")], "id string, text string")
+    two = spark.createDataFrame([("a", "x"), ("b", "z"), ("c", "w")], "id string, text string")
+    for rows, run in ((one, 1), (one, 1), (two, 2), (two, 2)):
+        index_store.sync_rows(rows, root, jobs.Step("runs", run), index_store.text_columns)
+    log = spark.read.parquet(f"{root}/log")
+    assert sorted((r.id, r.version) for r in log.collect()) == [("a", 0), ("b", 0), ("b", 1), ("c", 1)]
+    snapshot = index_store.compact(spark, root)
+    assert {r.id for r in index_store.live_rows(spark, snapshot).collect()} == {"a", "b", "c"}

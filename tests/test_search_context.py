@@ -8,8 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from casewright.functions import embedding
-from casewright.operators import context, evaluation, ranking, search, vector_index
+from casewright.functions import embedding, language
+from casewright.operators import context, evaluation, language_model, ranking, search, vector_index
 from casewright.plans.settings import LSH_BITS, LSH_TABLES
 from casewright.session import shared_folder
 
@@ -271,14 +271,34 @@ def test_hot_keys_join_like_any_other(spark):
 
 
 def test_positions_with_a_hot_group(spark):
-    data = [(0 if i % 3 else i, (i * 37) % 500, i) for i in range(500)]
+    data = [(0 if i % 3 else i, (i * 37) % 500, i) for i in range(500)] + [(None, 5, 900), (None, 5, 901), (1, None, 902)]
     df = spark.createDataFrame(data, "g int, t bigint, tie int")
-    got = rows(ranking.position_in_group(df, "g", "t", "tie", page_size=16), "g", "t", "tie", "position")
+    got = rows(ranking.position_in_group(df, "g", "t", "tie").na.fill(-1), "g", "t", "tie", "position")
     expected, seen = [], {}
-    for g, t, tie in sorted((g, t, tie) for g, t, tie in data):
+    for g, t, tie in sorted((-1 if g is None else g, -1 if t is None else t, tie) for g, t, tie in data):
         seen[g] = seen.get(g, 0) + 1
         expected.append((g, t, tie, seen[g]))
     assert got == expected
+    assert ranking.position_in_group(df.where("tie < 0"), "g", "t", "tie").count() == 0
+
+
+def test_one_value_of_the_order_is_spread(spark):
+    """A third of all rows in one group, all of them with one timestamp: no task has more than its share."""
+    n = 30_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 1000).alias("g"), F.lit(7).alias("t"), F.col("id").alias("tie")
+    )
+    asked = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = ranking.position_in_group(df, "g", "t", "tie")
+        hot = got.where("g = 0").orderBy("tie").collect()
+        folder = next(f for f in got.inputFiles()).rsplit("/", 1)[0]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", asked)
+    assert [r.position for r in hot] == list(range(1, len(hot) + 1))
+    parts = spark.read.parquet(folder).groupBy("_part").count().collect()
+    assert max(r["count"] for r in parts) < 2 * n / 8
 
 
 def test_summary_picks_rare_sentences(spark):
@@ -326,3 +346,60 @@ def test_embeddings(spark):
     assert got[2] == [0.0] * 16
     tfidf = {r.id: r.vector for r in embedding.tfidf_embedding(df, dims=32).collect()}
     assert sum(x * x for x in tfidf[1]) == pytest.approx(1.0) and sum(tfidf[2]) == 0
+
+
+def test_diverse_summary(spark):
+    data = [
+        (1, "Zebra quagga okapi lion tiger bear wolf fox. Zebra quagga okapi lion tiger bear wolf. The sun rises over a green hill today."),
+        (2, "..."),
+        (3, None),
+        (4, "One. One. One."),
+    ] + [(k, f"The the of and to filler{k} a in.") for k in range(10, 30)]
+    df = spark.createDataFrame(data, "id int, text string")
+    got = rows(context.diverse_summary(df, 2), "id", "sentence_no")
+    # The second sentence repeats the first one, so the third is taken.
+    assert [x for x in got if x[0] == 1] == [(1, 1), (1, 3)]
+    assert not [x for x in got if x[0] in (2, 3)]
+    assert [x for x in got if x[0] == 4] == [(4, 1), (4, 2)]
+    assert context.diverse_summary(df.where("id < 0"), 2).count() == 0
+
+
+def test_chosen_sentences_against_brute_force():
+    rng = np.random.default_rng(2)
+    idf = rng.random(50)
+    for _ in range(200):
+        words = [rng.integers(0, 50, rng.integers(0, 12)).tolist() for _ in range(rng.integers(0, 9))]
+        score = {p: round(np.mean(idf[w]) * (1 + 1 / (p + 1)) * min(1, len(w) / 8), 9) for p, w in enumerate(words) if w}
+        taken = []
+        while len(taken) < 3 and len(taken) < len(score):
+            def worth(p):
+                like = max((len(set(words[p]) & set(words[q])) / len(set(words[p]) | set(words[q])) for q in taken), default=0)
+                return round(0.7 * score[p] - (1 - 0.7) * like * max(score.values()), 9)
+            taken.append(min((p for p in score if p not in taken), key=lambda p: (-worth(p), p)))
+        got = context.chosen_sentences(words, idf, 3, 0.7)
+        assert [p for p, _ in got] == sorted(taken)
+
+
+def test_language_of_held_out_texts(spark):
+    """Fitted on fifty texts of each language, the model names the language of the others."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(F.col("doc_id").alias("id"), "text", "lang")
+    sample = language_model.sampled(docs, 50)
+    model = language_model.fit(sample)
+    rest = docs.join(sample.select("id"), "id", "left_anti").where("length(text) >= 40")
+    found = language_model.detect(rest, model).withColumnRenamed("lang", "detected")
+    told = rest.join(found, "id").select("lang", "detected").collect()
+    right = sum(r.lang == r.detected for r in told) / len(told)
+    stop = rest.select("lang", language.detect_language(F.col("text")).alias("detected")).collect()
+    assert len(told) > 400
+    assert right >= 0.95 and right >= sum(r.lang == r.detected for r in stop) / len(stop)
+
+
+def test_language_of_odd_texts(spark):
+    df = spark.createDataFrame(
+        [(1, "the cat and the dog", "en"), (2, "le chat et le chien", "fr"), (3, None, "en"), (4, "123 !!", None), (5, "", "fr")],
+        "id int, text string, lang string",
+    )
+    model = language_model.fit(language_model.sampled(df))
+    got = {r.id: r.lang for r in language_model.detect(df, model).collect()}
+    assert got == {1: "en", 2: "fr", 3: None, 4: None, 5: None}
+    assert language_model.detect(df.where("id < 0"), model).count() == 0
