@@ -15,10 +15,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from casewright.llm.packing import store_tokens, widen
 from casewright.llm.prefix import PART, partition_bases
 from casewright.llm.rans import Block, Coder, Table, table_of
 from casewright.llm.tokens import SLICE_BYTES, encoder, tokenizer_path
 from casewright.llm.words import release_memory, rows_per_batch, slices
+from casewright.session import shared_folder
 
 BLOCK_IDS = 1 << 19
 SECTION_IDS = 1 << 21
@@ -44,37 +46,45 @@ SECTION_DDL = (
 def write_tokens(documents: DataFrame, folder: str, path: str | None = None) -> None:
     """Tokenise all whole texts and write them in ascending order of doc_id.
 
-    Documents are dealt out by ranges of doc_id, so file order is document
-    order; rows with one doc_id are ordered by text.  Null ids come first, a
-    null text counts as empty and has the end id alone, an empty table gives
-    no sections, and other columns are not looked at.  A task holds one
-    section, or one document if that is longer.
+    Two jobs: texts are encoded where they lie, and their ids, two bytes each,
+    are stored; then the ids are dealt out by ranges of doc_id and coded.  So
+    no task holds texts, the encoder's store and a coder's arrays at once.
+
+    File order is document order; rows with one doc_id are ordered by their
+    ids.  Null ids come first, a null text counts as empty and has the end id
+    alone, an empty table gives no sections, and other columns are not looked
+    at.  A task holds one section, or one document if that is longer.
     """
-    path = path or tokenizer_path()
+    spark = documents.sparkSession
+    with rows_per_batch(spark, BATCH_ROWS):
+        stored = store_tokens(documents, shared_folder(spark, "token-ids"), path or tokenizer_path())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, part = encoder(path), TaskContext.get().partitionId()
+        encoder.cache_clear()
+        release_memory()
+        part = TaskContext.get().partitionId()
         section, before, held = 0, 0, 0
         docs: list[int | None] = []
         texts: list[bytes] = []
         for batch in batches:
-            for piece in slices(batch, "text", SLICE_BYTES):
-                for doc, ids in zip(piece.column("doc_id").to_pylist(), tokens.encode(piece.column("text"))):
-                    if held and held + len(ids) // 4 > SECTION_IDS:
+            for piece in slices(batch, "ids", SLICE_BYTES):
+                columns = (piece.column(c).to_pylist() for c in ("doc_id", "n_tokens", "ids"))
+                for doc, count, ids in zip(*columns):
+                    if held and held + count > SECTION_IDS:
                         yield section_of(part, section, before, docs, texts)
                         section, before, held, docs, texts = section + 1, before + held, 0, [], []
                     docs.append(doc)
-                    texts.append(ids)
-                    held += len(ids) // 4
+                    texts.append(widen(ids, count))
+                    held += count
         if docs:
             yield section_of(part, section, before, docs, texts)
         del docs, texts
         release_memory()
 
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
-    ranged = rows.repartitionByRange(F.col("doc_id"), F.xxhash64("text"))
-    sections = ranged.sortWithinPartitions("doc_id", "text").mapInArrow(run, SECTION_DDL)
-    with rows_per_batch(documents.sparkSession, BATCH_ROWS):
+    rows = stored.select("doc_id", "n_tokens", "ids")
+    ranged = rows.repartitionByRange(F.col("doc_id"), F.xxhash64("ids"))
+    sections = ranged.sortWithinPartitions("doc_id", "ids").mapInArrow(run, SECTION_DDL)
+    with rows_per_batch(spark, BATCH_ROWS):
         sections.write.parquet(folder)
 
 
