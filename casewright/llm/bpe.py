@@ -158,8 +158,6 @@ class PairEncoder(Encoder):
     def __init__(self, path: str):
         super().__init__(path, end=b"")
         self.merges = Merges(path)
-        added = self.tokenizer.get_added_tokens_decoder()
-        self.added = {t.content.encode(): i for i, t in added.items()}
 
     def encode_chunks(self, chunks: list[bytes]) -> list[bytes]:
         split = self.tokenizer.pre_tokenizer.pre_tokenize_str

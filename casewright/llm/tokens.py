@@ -14,7 +14,6 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from array import array
 from functools import lru_cache
 from typing import NamedTuple
 
@@ -30,6 +29,8 @@ END_ID = 0
 KEPT_CHUNKS = 200_000
 # Text tokenised at once; the arrays over its bytes take some fifty times as much.
 SLICE_BYTES = 1 << 20
+# Chunks that the library encodes in one call.
+JOINED_CHUNKS = 2048
 # Longer chunks are not kept, so that the store is bounded in bytes as well.
 KEPT_BYTES = 64
 
@@ -115,19 +116,37 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = special_pattern(self.tokenizer)
+        self.added = {t.content.encode(): i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.end = end
         self.new: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
     def encode_chunks(self, chunks: list[bytes]) -> list[bytes]:
-        """Ids of chunks that are not in the store."""
+        """Ids of chunks that are not in the store.
+
+        The library encodes what is between two special strings by itself, so
+        many chunks go through one call, with special strings between them.
+        """
+        if not self.added:
+            return [self._library(c.decode()).tobytes() for c in chunks]
+        string, special = next(iter(self.added.items()))
         out: list[bytes] = []
-        for at in range(0, len(chunks), 1024):
-            texts = [c.decode() for c in chunks[at : at + 1024]]
-            found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-            out.extend(array("I", e.ids).tobytes() for e in found)
+        for at in range(0, len(chunks), JOINED_CHUNKS):
+            some = chunks[at : at + JOINED_CHUNKS]
+            # A chunk that is a special string is none here: it would look like a border.
+            ids = self._library(string.join(b"" if c in self.added else c for c in some).decode())
+            borders = np.flatnonzero(ids == special)
+            begins, ends = np.append(0, borders + 1).tolist(), np.append(borders, len(ids)).tolist()
+            packed = ids.tobytes()
+            out.extend(
+                self.added[c].to_bytes(4, "little") if c in self.added else packed[4 * a : 4 * b]
+                for c, a, b in zip(some, begins, ends)
+            )
         return out
 
+    def _library(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
     def _ids(self, chunks: list[bytes]) -> list[bytes]:
         """Ids of different chunks; unknown ones are encoded."""
         new, old = self.new, self.old
