@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import os
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -308,3 +309,21 @@ def test_cases_are_held_until_complete(spark, tmp_path):
     # A run without files changes nothing.
     case_stream.stream_cases(stream(spark, src, "path string"), known, root, ck)
     assert {r.id for r in case_stream.waiting_cases(spark, root).collect()} == {"case_2"}
+
+
+def test_table_stream_reads_a_file_and_a_folder_of_files(spark, tmp_path):
+    spark.range(5).write.parquet(f"{tmp_path}/whole/a.parquet")
+    spark.range(3).write.parquet(f"{tmp_path}/whole/b.parquet")
+    part = next((tmp_path / "whole" / "b.parquet").glob("part-*.parquet"))
+    (tmp_path / "single").mkdir()
+    shutil.copy(part, tmp_path / "single" / "a.parquet")
+
+    def rows(folder, out):
+        stream = jobs.read_table_stream(spark, f"{tmp_path}/{folder}", "a", "id long")
+        jobs.run_available(
+            stream, f"{tmp_path}/{out}-checkpoint", lambda df, step: jobs.write_batch(df, step, f"{tmp_path}/{out}")
+        )
+        return spark.read.parquet(f"{tmp_path}/{out}").count()
+
+    assert rows("whole", "from_folder") == 5
+    assert rows("single", "from_file") == spark.read.parquet(str(part)).count()
