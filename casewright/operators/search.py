@@ -257,6 +257,74 @@ def candidate_pairs(corpus: DataFrame, queries: DataFrame) -> DataFrame:
     return rows.join(asked, ["table", "code"]).select("query_id", "id").distinct()
 
 
+def candidate_counts(corpus: DataFrame, queries: DataFrame, query_bytes: int = QUERY_BYTES) -> DataFrame:
+    """query_id and scored: how many ids :func:`candidate_pairs` gives a query, without making the pairs.
+
+    The codes of an id are brought together once.  Each task turns its rows
+    into one bit per row for every table and code; a query's candidates are
+    the bits of its codes joined by OR, and only their number is shuffled.
+    """
+    folder = shared_folder(corpus.sparkSession, "codes")
+    for side, name in ((corpus, "id"), (queries, "query_id")):
+        known = side.where(F.col("codes").isNotNull()).select(name, "codes")
+        known.groupBy(name).agg(F.collect_set("codes").alias("codes")).write.parquet(f"{folder}/{name}")
+    read = corpus.sparkSession.read.parquet
+    asked = read(f"{folder}/query_id")
+    kind = queries.schema["query_id"].dataType
+    schema = pa.schema([("query_id", to_arrow_type(kind)), ("scored", pa.int64())])
+
+    def scan(columns: dict[str, list]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            # A row per code list: most queries have one.
+            owner = np.repeat(np.arange(len(columns["codes"])), [len(c) for c in columns["codes"]])
+            wanted = np.array([c for cs in columns["codes"] for c in cs], np.int64)
+            scored = np.zeros(len(columns["query_id"]), np.int64)
+            for batch in batches:
+                for at in range(0, batch.num_rows, _BIT_ROWS):
+                    lists = batch.column("codes").slice(at, _BIT_ROWS)
+                    for a in range(0, len(wanted), SCORED_QUERIES):
+                        b = a + SCORED_QUERIES
+                        bits = _bits_met(lists, wanted[a:b])
+                        mine = owner[a:b]
+                        if a and owner[a - 1] == mine[0]:
+                            # The rest of the query before: what it met already does not count again.
+                            bits[mine == mine[0]] |= rest
+                            scored[mine[0]] -= int(np.bitwise_count(rest).sum(dtype=np.int64))
+                        starts = np.flatnonzero(np.diff(mine, prepend=-1))
+                        met = np.bitwise_or.reduceat(bits, starts, axis=0)
+                        scored[mine[starts]] += np.bitwise_count(met).sum(1, dtype=np.int64)
+                        rest = met[-1]
+            yield pa.record_batch([pa.array(columns["query_id"], schema.field(0).type), pa.array(scored)], schema=schema)
+
+        return run
+
+    partial = corpus.sparkSession.createDataFrame([], f"query_id {kind.simpleString()}, scored long")
+    rows = read(f"{folder}/id").select("codes")
+    for columns in _blocks(asked, lambda r: 64 + sum(64 + 16 * len(c) for c in r["codes"]), query_bytes):
+        partial = partial.unionByName(rows.mapInArrow(scan(columns), partial.schema))
+    return partial.groupBy("query_id").agg(F.sum("scored").alias("scored")).where("scored > 0")
+
+
+# Rows of a bit each that are compared at a time.
+_BIT_ROWS = 8_192
+
+
+def _bits_met(lists: pa.Array, wanted: np.ndarray) -> np.ndarray:
+    """A bit per row of ``lists`` for each row of ``wanted``: whether a code list of it shares a code, table by table."""
+    inner = lists.flatten()
+    row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+    codes = inner.flatten().to_numpy(zero_copy_only=False).reshape(len(inner), -1)
+    bits = np.zeros((len(wanted), -(-len(lists) // 8)), np.uint8)
+    for table in range(min(codes.shape[1], wanted.shape[1])):
+        kinds, mine = np.unique(wanted[:, table], return_inverse=True)
+        place = np.minimum(np.searchsorted(kinds, codes[:, table]), len(kinds) - 1)
+        known = kinds[place] == codes[:, table]
+        has = np.zeros((len(kinds), len(lists)), bool)
+        has[place[known], row[known]] = True
+        bits |= np.packbits(has, axis=1)[mine]
+    return bits
+
+
 def similarity_column(a: Column, b: Column, metric: str) -> Column:
     """Similarity of two vector columns; greater is better for every metric."""
 

@@ -871,8 +871,7 @@ def ann_candidates(spark, d):
     """How many rows of each query's buckets approximate search scores."""
     codes = embedding.plane_codes(F.col("vector"), 64, LSH_TABLES, LSH_BITS)
     vectors = _vectors(spark, d).withColumn("codes", codes)
-    pairs = search.candidate_pairs(vectors, _asked(vectors))
-    return pairs.groupBy("query_id").agg(F.count(F.lit(1)).alias("scored"))
+    return search.candidate_counts(vectors, _asked(vectors))
 
 
 def _cells(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, vector_index.Model]:

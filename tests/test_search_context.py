@@ -403,3 +403,21 @@ def test_language_of_odd_texts(spark):
     got = {r.id: r.lang for r in language_model.detect(df, model).collect()}
     assert got == {1: "en", 2: "fr", 3: None, 4: None, 5: None}
     assert language_model.detect(df.where("id < 0"), model).count() == 0
+
+
+def test_candidate_counts_are_those_of_the_pairs(spark):
+    rng = np.random.default_rng(3)
+    codes = [(i % 700, rng.integers(0, 4, 3).tolist()) for i in range(900)] + [(None, [0, 1, 2]), (5, None)]
+    corpus = spark.createDataFrame(codes, "id long, codes array<int>")
+    queries = corpus.where("id % 3 = 0").union(spark.createDataFrame([(9999, [7, 7, 7])], corpus.schema))
+    queries = queries.withColumnRenamed("id", "query_id")
+    pairs = search.candidate_pairs(corpus, queries).groupBy("query_id").count()
+    for size in (search.QUERY_BYTES, 2_000):
+        got = search.candidate_counts(corpus, queries, size)
+        assert rows(got, "query_id", "scored") == rows(pairs, "query_id", "count")
+    # No pair of a query and a row is shuffled.
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+    many = spark.createDataFrame([(0, [[0, 1, 2]] * 2)], "query_id long, c array<array<int>>")
+    empty = search.candidate_counts(corpus.limit(0), many.select("query_id", F.explode("c").alias("codes")))
+    assert empty.count() == 0
