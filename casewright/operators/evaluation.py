@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,51 +60,76 @@ def retrieval_metrics(hits: DataFrame, relevant_totals: DataFrame, k: int) -> Da
     )
 
 
-def _ngrams(ts: Column, n: int) -> Column:
-    if n == 1:
-        return ts
-    empty = F.array().cast("array<string>")
-    grams = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(ts) - (n - 1), F.lit(1))),
-        lambda i: F.array_join(F.slice(ts, i, F.lit(n)), " "),
-    )
-    return F.when(F.size(ts) >= n, grams).otherwise(empty)
+# Pairs whose n-grams are counted at a time.
+_COUNTED_ROWS = 1_000
+_OVERLAP = "array<struct<n:int,matches:long,candidate_total:long,reference_total:long>>"
+
+
+def _overlap(candidates: Column, references: Column, max_n: int) -> Column:
+    """Matches and totals per n of each row; both sides are array<array<string>>, the tokens of its texts.
+
+    Grams are numbered many rows at a time, those of n from those of n - 1 and the next token.
+    """
+
+    def some(mine: pa.Array, other: pa.Array) -> pa.Array:
+        rows, texts, words = [], [], []
+        for side in (mine, other):
+            inner = side.flatten()
+            rows.append(np.repeat(np.arange(len(side)), side.value_lengths().to_numpy()))
+            texts.append(inner.value_lengths().to_numpy().astype(np.int64))
+            words.append(inner.flatten())
+        lengths = np.concatenate(texts)
+        text = np.repeat(np.arange(len(lengths)), lengths)
+        row = np.concatenate(rows)[text].astype(np.int64)
+        is_mine = text < len(texts[0])
+        left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(text))
+        coded = pa.chunked_array(words, pa.string()).combine_chunks().dictionary_encode()
+        code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        kinds = max(1, len(coded.dictionary))
+        found = []
+        at, gram = np.arange(len(code)), code
+        for n in range(1, max_n + 1):
+            if n > 1:
+                fits = left[at] >= n
+                at = at[fits]
+                gram = np.unique(gram[fits] * kinds + code[at + n - 1], return_inverse=True)[1]
+            if not len(at):
+                break
+            keys, inverse = np.unique(row[at] * (gram.max() + 1) + gram, return_inverse=True)
+            c = np.bincount(inverse, is_mine[at], len(keys)).astype(np.int64)
+            r = np.bincount(inverse, ~is_mine[at], len(keys)).astype(np.int64)
+            owner = keys // (gram.max() + 1)
+            starts = np.flatnonzero(np.diff(owner, prepend=-1))
+            sums = [np.add.reduceat(x, starts) for x in (np.minimum(c, r), c, r)]
+            found.append(np.stack([owner[starts], np.full(len(starts), n), *sums]))
+        table = np.concatenate(found, axis=1) if found else np.zeros((5, 0), np.int64)
+        table = table[:, np.argsort(table[0], kind="stable")]
+        offsets = np.searchsorted(table[0], np.arange(len(mine) + 1)).astype(np.int32)
+        names = ["n", "matches", "candidate_total", "reference_total"]
+        arrays = [pa.array(table[1].astype(np.int32)), *[pa.array(x) for x in table[2:]]]
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(arrays, names))
+
+    @F.arrow_udf(_OVERLAP)
+    def counted(mine: pa.Array, other: pa.Array) -> pa.Array:
+        starts = range(0, max(1, len(mine)), _COUNTED_ROWS)
+        return pa.concat_arrays([some(*(x.slice(a, _COUNTED_ROWS) for x in (mine, other))) for a in starts])
+
+    return counted(candidates, references)
 
 
 def ngram_overlap(pairs: DataFrame, max_n: int = 1) -> DataFrame:
     """Clipped n-gram matches per pair and n.
 
-    ``pairs`` has pair_id, candidate and reference.  Every n-gram becomes a
-    row and is counted on both sides in one aggregation, which combines before
-    the shuffle and costs time linear in the text, however long it is.
+    ``pairs`` has pair_id, candidate and reference.  The texts of a pair meet
+    in one row and its n-grams are counted there, in time linear in the text:
+    what is shuffled are the texts, not their n-grams.
     Returns pair_id, n, matches, candidate_total, reference_total.
     """
-
-    def grams(side: str) -> DataFrame:
-        return pairs.select(
-            "pair_id", tokens(F.col(side)).alias("t"), F.lit(side == "candidate").alias("mine")
-        )
-
-    def numbered(n: int) -> Column:
-        return F.transform(
-            _ngrams(F.col("t"), n),
-            lambda g: F.struct(F.lit(n).alias("n"), g.alias("gram")),
-        )
-
-    orders = F.flatten(F.array(*map(numbered, range(1, max_n + 1))))
-    exploded = (
-        grams("candidate")
-        .unionByName(grams("reference"))
-        .select("pair_id", "mine", F.inline(orders))
-    )
-    counts = exploded.groupBy("pair_id", "n", "gram").agg(
-        F.count_if("mine").alias("c"), F.count_if(~F.col("mine")).alias("r")
-    )
-    return counts.groupBy("pair_id", "n").agg(
-        F.sum(F.least("c", "r")).alias("matches"),
-        F.sum("c").alias("candidate_total"),
-        F.sum("r").alias("reference_total"),
+    texts = pairs.groupBy("pair_id").agg(
+        F.collect_list("candidate").alias("c"), F.collect_list("reference").alias("r")
     )
+    counts = _overlap(F.transform("c", tokens), F.transform("r", tokens), max_n)
+    return texts.select("pair_id", F.inline(counts))
 
 
 def text_overlap_metrics(pairs: DataFrame) -> DataFrame:

@@ -421,3 +421,27 @@ def test_candidate_counts_are_those_of_the_pairs(spark):
     many = spark.createDataFrame([(0, [[0, 1, 2]] * 2)], "query_id long, c array<array<int>>")
     empty = search.candidate_counts(corpus.limit(0), many.select("query_id", F.explode("c").alias("codes")))
     assert empty.count() == 0
+
+
+def test_ngrams_are_counted_where_the_texts_are(spark):
+    rng = np.random.default_rng(4)
+    texts = [" ".join(rng.choice(list("abc"), rng.integers(0, 9))) for _ in range(600)]
+    made = [(i // 2, texts[i], texts[-1 - i]) for i in range(300)] + [(500, None, "a b"), (501, "", None), (None, "a", "a")]
+    pairs = spark.createDataFrame(made, "pair_id long, candidate string, reference string")
+
+    def grams(text, n):
+        words = (text or "").split()
+        return Counter(tuple(words[i : i + n]) for i in range(len(words) - n + 1))
+
+    want = []
+    for pair in {p[0] for p in made}:
+        for n in (1, 2, 3):
+            c, r = (sum((grams(p[side], n) for p in made if p[0] == pair), Counter()) for side in (1, 2))
+            if c or r:
+                want.append((pair, n, (c & r).total(), c.total(), r.total()))
+    got = evaluation.ngram_overlap(pairs, 3)
+    key = lambda x: tuple(-1 if v is None else v for v in x)
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(want, key=key)
+    # One shuffle of the texts by pair; n-grams are not rows that are grouped.
+    final = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("Exchange") == 1
