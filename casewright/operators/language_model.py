@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casewright.functions.text import let
+from casewright.session import shared_folder
 
 GRAM = 3
 # Texts counted per language, chosen by the digest of their id.
@@ -26,13 +27,16 @@ DIGITS = 6
 def grams(text: Column, size: int = GRAM) -> Column:
     """The different character n-grams of a text in lower case; runs of other than letters are one space."""
     plain = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), r"\P{L}+", " ")), F.lit(" "))
+
+    def runs(letters: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.size(letters) - size)
+        return F.transform(starts, lambda i: F.concat(*[F.get(letters, i + j) for j in range(size)]))
+
     return let(
         plain,
         lambda t: F.array_distinct(
-            F.when(
-                F.length(t) >= size,
-                F.transform(F.sequence(F.lit(1), F.length(t) - size + 1), lambda i: F.substr(t, i, F.lit(size))),
-            ).otherwise(F.array().cast("array<string>"))
+            # A substring counts its characters from the start of the text: that is quadratic, an array is not.
+            F.when(F.length(t) >= size, let(F.split(t, ""), runs)).otherwise(F.array().cast("array<string>"))
         ),
     )
 
@@ -82,15 +86,26 @@ def detect(corpus: DataFrame, model: DataFrame, size: int = GRAM) -> DataFrame:
     Ties go to the first code.  A text without a known gram has no language;
     an empty table gives no rows; ids are taken to be unique.  The model's grams are a bounded table that
     every task gets; a text's grams meet it where they are, and only one row
-    per text and language is shuffled.
+    per text is shuffled.
     """
+    folder = shared_folder(corpus.sparkSession, "model")
+    model.write.parquet(folder)
+    known = corpus.sparkSession.read.schema(model.schema).parquet(folder)
+    langs = sorted(r.lang for r in known.select("lang").distinct().collect())
+    # A column per language, so that a gram of a text meets one row.
+    names = {f"_{i}": lang for i, lang in enumerate(langs)}
+    wide = known.groupBy("gram").agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.sum(F.when(F.col("lang") == v, F.col("weight"))).alias(n) for n, v in names.items()]
+    )
     each = corpus.select("id", F.explode(grams(F.col("text"), size)).alias("gram"))
-    scores = (
-        each.join(F.broadcast(model), "gram")
-        .groupBy("id", "lang")
-        .agg(F.sum("weight").alias("score"))
-        .groupBy("id")
-        .agg(F.min(F.struct((-F.round("score", DIGITS)).alias("less"), "lang")).alias("best"))
+    scores = each.join(F.broadcast(wide.drop("_rows")), "gram").groupBy("id").agg(
+        F.count(F.lit(1)).alias("_grams"), *[F.sum(n).alias(n) for n in names]
     )
-    best = scores.select("id", F.col("best.lang").alias("lang"), (-F.col("best.less")).alias("score"))
+    scored = [
+        F.when(F.col(n).isNotNull(), F.struct((-F.round(n, DIGITS)).alias("less"), F.lit(v).alias("lang")))
+        for n, v in names.items()
+    ]
+    kind = f"struct<less:double,lang:{model.schema['lang'].dataType.simpleString()}>"
+    best = scores.select("id", F.array_min(F.array(*scored).cast(f"array<{kind}>")).alias("best"))
+    best = best.select("id", F.col("best.lang").alias("lang"), (-F.col("best.less")).alias("score"))
     return corpus.select("id").join(best, "id", "left")

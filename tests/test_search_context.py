@@ -445,3 +445,29 @@ def test_ngrams_are_counted_where_the_texts_are(spark):
     # One shuffle of the texts by pair; n-grams are not rows that are grouped.
     final = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert final.count("Exchange") == 1
+
+
+def test_grams_of_long_texts_and_of_every_plane(spark):
+    texts = ["a b", "", None, "𝐀𝐁𝐂 \u00e9t\u00e9", "ab " * 3]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    got = {r.id: r.g for r in df.select("id", language_model.grams(F.col("text")).alias("g")).collect()}
+    for i, t in enumerate(texts):
+        plain = None if t is None else " " + re.sub(r"[^\w]+", " ", t.lower()).strip() + " "
+        want = plain and [plain[j : j + 3] for j in range(len(plain) - 2)]
+        assert (got[i] or []) == list(dict.fromkeys(want or []))
+    # No substring, whose time grows with its place in the text.
+    plan = df.select(language_model.grams(F.col("text")))._jdf.queryExecution().analyzed().toString()
+    assert "substr" not in plan
+
+
+def test_a_gram_meets_one_row_of_the_model(spark):
+    model = spark.createDataFrame(
+        [(" ab", "x", 1.0), (" ab", "y", 1.0), ("ab ", "y", -0.5), ("zz ", "z", 2.0)], "gram string, lang string, weight double"
+    )
+    df = spark.createDataFrame([(1, "ab"), (2, "zz"), (3, "q"), (4, None), (1, "ab")], "id long, text string")
+    got = language_model.detect(df, model)
+    assert rows(got.fillna("", ["lang"]).fillna(0.0, ["score"]), "id", "lang", "score") == [
+        (1, "x", 2.0), (1, "x", 2.0), (2, "z", 2.0), (3, "", 0.0), (4, "", 0.0)
+    ]
+    none = language_model.detect(df, model.limit(0))
+    assert rows(none, "id", "lang") == rows(df.selectExpr("id", "cast(null as string) lang"), "id", "lang")
