@@ -47,6 +47,8 @@ ROUNDS = 2
 # Share of the sample's true neighbours whose cells the margin has to reach.
 TARGET = 0.97
 NEIGHBOURS = 10
+# Products of rows and centres held at a time.
+PRODUCTS = 1 << 20
 # Rows scored exactly for each row asked for.
 SHORT = 4
 
@@ -65,9 +67,16 @@ def codes_of(vectors: np.ndarray) -> np.ndarray:
     return np.floor(scaled + 0.5)
 
 
+def _slices(rows: int, centres: np.ndarray) -> list[slice]:
+    """Runs of rows whose products with all centres are at most ``PRODUCTS``."""
+    step = max(1, PRODUCTS // max(1, len(centres)))
+    return [slice(at, at + step) for at in range(0, rows, step)]
+
+
 def nearest(codes: np.ndarray, centres: np.ndarray) -> np.ndarray:
     """The cell of each row: the centre of greatest product, of equals the first."""
-    return (codes @ centres.T).argmax(1)
+    cells = [(codes[s] @ centres.T).argmax(1) for s in _slices(len(codes), centres)]
+    return np.concatenate(cells) if cells else np.zeros(0, np.int64)
 
 
 def _rows(column: pa.Array) -> np.ndarray:
@@ -172,6 +181,13 @@ def probes(codes: np.ndarray, model: Model) -> np.ndarray:
     return products >= products.max(1, keepdims=True) - model.margin
 
 
+def cells_probed(codes: np.ndarray, model: Model) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of queries and the cells they look into, some queries at a time."""
+    for s in _slices(len(codes), model.centres):
+        q, cell = np.nonzero(probes(codes[s], model))
+        yield q + s.start, cell
+
+
 def short_list(index: DataFrame, queries: DataFrame, model: Model, size: int) -> DataFrame:
     """query_id, id, rank of the ``size`` rows in a query's cells whose codes fit best."""
     asked = queries.where(F.col("vector").isNotNull()).select(
@@ -179,8 +195,9 @@ def short_list(index: DataFrame, queries: DataFrame, model: Model, size: int) ->
     )
 
     def prepare(q: dict[str, list]) -> tuple[np.ndarray, np.ndarray]:
+        # All queries of a block are held at once: a bit for each query and cell.
         codes = _unpacked(pa.array(q["code"], pa.binary()))
-        return codes, probes(codes, model)
+        return codes, np.packbits(probes(codes, model), axis=0)
 
     def scorer(part: pa.Table, prepared: Any) -> np.ndarray:
         codes, probed = prepared
@@ -190,7 +207,7 @@ def short_list(index: DataFrame, queries: DataFrame, model: Model, size: int) ->
         # Rows come ordered by cell: each run of a cell meets the queries that look into it.
         starts = np.flatnonzero(np.diff(cell, prepend=-1))
         for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(cell)]):
-            asking = np.flatnonzero(probed[:, cell[a]])
+            asking = np.flatnonzero(np.unpackbits(probed[:, cell[a]], count=len(codes)))
             if len(asking):
                 out[a:b, asking] = _unpacked(rows.slice(a, b - a)) @ codes[asking].T
         return out
@@ -237,11 +254,11 @@ def rows_met(index: DataFrame, queries: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            q, cell = np.nonzero(probes(_unpacked(batch.column("code")), model))
-            yield pa.record_batch(
-                [batch.column("query_id").take(pa.array(q)), pa.array(cell.astype(np.int32))],
-                names=["query_id", "cell"],
-            )
+            for q, cell in cells_probed(_unpacked(batch.column("code")), model):
+                yield pa.record_batch(
+                    [batch.column("query_id").take(pa.array(q)), pa.array(cell.astype(np.int32))],
+                    names=["query_id", "cell"],
+                )
 
     coded = queries.where(F.col("vector").isNotNull()).select(
         "query_id", byte_codes(F.col("vector")).alias("code")

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -471,3 +472,24 @@ def test_a_gram_meets_one_row_of_the_model(spark):
     ]
     none = language_model.detect(df, model.limit(0))
     assert rows(none, "id", "lang") == rows(df.selectExpr("id", "cast(null as string) lang"), "id", "lang")
+
+
+def test_products_with_the_centres_are_held_in_slices():
+    """An Arrow batch of 10,000 rows and the most cells: all products at once would take over 300 MB."""
+    random = np.random.default_rng(3)
+    codes = random.integers(-127, 128, (10_000, 8)).astype(np.float64)
+    centres = random.integers(-127, 128, (vector_index.MOST_CELLS, 8)).astype(np.float64)
+    model = vector_index.Model(centres, 20_000)
+    tracemalloc.start()
+    cells = vector_index.nearest(codes, centres)
+    looked = 0
+    for q, cell in vector_index.cells_probed(codes, model):
+        looked += len(q)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 << 20
+    some = np.r_[0:300, 9_900:10_000]
+    assert (cells[some] == (codes[some] @ centres.T).argmax(1)).all()
+    assert looked == sum(vector_index.probes(codes[a : a + 500], model).sum() for a in range(0, 10_000, 500))
+    pairs = [np.stack(p, 1) for p in vector_index.cells_probed(codes[:600], model)]
+    assert (np.concatenate(pairs) == np.argwhere(vector_index.probes(codes[:600], model))).all()
