@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from casewright import schemas
 from casewright.functions import numeric, scoring
 from casewright.operators import logs, sessions
+from casewright.plans.catalog import QUERIES
 from casewright.sources import files, tables
 from casewright.streaming import case_stream, jobs
 
@@ -327,3 +328,28 @@ def test_table_stream_reads_a_file_and_a_folder_of_files(spark, tmp_path):
 
     assert rows("whole", "from_folder") == 5
     assert rows("single", "from_file") == spark.read.parquet(str(part)).count()
+
+
+def test_streamed_tables_may_be_folders_of_files(spark, tmp_path):
+    """The index of all documents, that of two runs, and the pages, from tables of several files."""
+    text = F.concat(F.lit("blue bolt "), F.col("id"))
+    documents = spark.range(12).select(
+        F.col("id").alias("doc_id"),
+        text.alias("text"),
+        F.when(F.col("id") % 2 == 0, "en").otherwise("fr").alias("lang"),
+        F.lit("web").alias("source"),
+        F.length(text).cast("long").alias("n_chars"),
+    )
+    pages = spark.range(6).select(
+        F.col("id").alias("page_id"), F.lit("u").alias("url"), F.concat(F.lit("<p>page "), F.col("id")).alias("html")
+    )
+    questions = spark.range(2).select(F.col("id").alias("item_id"), F.lit("a bolt").alias("text"))
+    for name, df in (("documents", documents), ("pages", pages), ("benchmark", questions)):
+        df.repartition(3).write.parquet(f"{tmp_path}/{name}.parquet")
+
+    def found(name):
+        return QUERIES[name](spark, str(tmp_path)).collect()
+
+    assert len(found("context_budget")) == 2 * 10
+    assert {r.id for r in found("stream_index_sync")} == set(range(12))
+    assert sorted((r.page_id, r.content) for r in found("stream_elements")) == [(i, f"page {i}") for i in range(6)]
