@@ -431,7 +431,8 @@ def keyword_search(
         .select("query_id", F.col("tw.term").alias("terms"), F.col("tw.w").alias("weights"))
     )
     blocks = _blocks(weighted, lambda r: 64 + sum(90 + len(t) for t in r["terms"]), query_bytes)
-    relative = F.size("terms") * n / max(total, 1)
+    # A long: a text's words times the number of texts soon pass an int.
+    relative = F.size("terms").cast("long") * n / max(total, 1)
     prepared_rows = rows.select(
         "id", "terms", (F.lit(k1 * (1.0 - b)) + F.lit(k1 * b) * relative).alias("norm")
     )

@@ -493,3 +493,16 @@ def test_products_with_the_centres_are_held_in_slices():
     assert looked == sum(vector_index.probes(codes[a : a + 500], model).sum() for a in range(0, 10_000, 500))
     pairs = [np.stack(p, 1) for p in vector_index.cells_probed(codes[:600], model)]
     assert (np.concatenate(pairs) == np.argwhere(vector_index.probes(codes[:600], model))).all()
+
+
+def test_keyword_search_of_a_long_text_among_many(spark):
+    """The words of the long text times the number of texts are more than an int holds."""
+    long, others = 1_100_000, 2_000
+    text = F.when(F.col("id") == 0, F.repeat(F.lit("bolt "), long)).otherwise(F.lit("nut"))
+    corpus = spark.range(others).select("id", text.alias("text"))
+    asked = spark.createDataFrame([(1, "bolt")], "query_id bigint, text string")
+    hit = search.keyword_search(corpus, asked, 3).first()
+    weight = math.log1p((others - 1 + 0.5) / 1.5) * 2.2
+    average = (long + others - 1) / others
+    expected = weight * long / (long + 1.2 * 0.25 + 1.2 * 0.75 * long / average)
+    assert hit.id == 0 and hit.score == pytest.approx(expected)
