@@ -186,3 +186,29 @@ def test_batch_takes_up_waiting_cases(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(processed" in second._jdf.queryExecution().executedPlan().toString()
     assert spark.read.parquet(f"{root}/index/log").count() == 4
     assert spark.read.parquet(f"{root}/waiting").where("processed = 2").count() == 0
+
+
+def test_batch_reads_documents_once(spark, tmp_path):
+    """One pass over the parsed documents gives their elements and what cannot be read of them."""
+    good = '{"document":{"elements":[{"id":"1","type":"text","content":"A"}]}}'
+    rows = [(f"/cases/case_{k}/invoice_{k}.pdf", good if k % 3 else good.replace("[{", '["loose",{')) for k in range(30)]
+    rows = [(p, "", 1, t if k != 7 else t[:-4], "en", False) for k, (p, t) in enumerate(rows)]
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(frames):
+        for frame in frames:
+            read.add(len(frame))
+            yield frame
+
+    parsed = spark.createDataFrame(rows, schemas.PARSED).mapInPandas(counted, schemas.PARSED)
+    ready = spark.createDataFrame([(f"case_{k}",) for k in range(30)], "id string")
+    documents = batch.take_up_documents(parsed, ready, str(tmp_path), 1)
+    assert read.value == len(rows) and documents.count() == 30
+    listed = {(r.path, r.bad_elements) for r in spark.read.parquet(f"{tmp_path}/{batch.UNREADABLE}").collect()}
+    assert listed == {(rows[k][0], None if k == 7 else 1) for k in range(30) if k == 7 or k % 3 == 0}
+    none = spark.createDataFrame([], schemas.CASES)
+    stored = cases.enriched_chunks(documents, none, cases.ELEMENTS)
+    assert "from_json" not in stored._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, stored.collect()), key=str) == sorted(
+        map(tuple, cases.enriched_chunks(parsed, none).collect()), key=str
+    )
