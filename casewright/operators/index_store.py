@@ -18,7 +18,7 @@ that hold an id of theirs.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -49,13 +49,21 @@ from casewright.streaming.jobs import (
     newest_versions,
     stored_rows,
     sync_index,
+    without_ids,
 )
 
 LOG, ROWS, POSTINGS, MANIFEST = "log", "rows", "postings", "manifest"
-# A bucket is rewritten and searched by one task: some 100,000 rows are a good size.
+# A bucket is searched by one task: there are at least so many buckets, and more where the first compaction
+# would put more rows or tokens into one.
 BUCKETS = 16
-# Texts per block of postings.
+BUCKET_ROWS, BUCKET_TOKENS = 100_000, 50_000_000
+# Texts per block of postings, and postings that a task holds at a time to make blocks of.
 BLOCK = 128
+HELD = 4_000_000
+# Words of a text that cross to Python in one row.
+LISTED_WORDS = 1_024
+# The stored tables are compressed more than by default: they are written once and read in parts.
+PACKED = {"compression": "zstd"}
 # Query terms that are pushed into the scan as a list.
 LISTED_TERMS = 5_000
 # Scores closer than this are not told apart when blocks are left out.
@@ -188,13 +196,15 @@ def sync_rows(rows: DataFrame, root: str, step: Step, embed: Callable[[DataFrame
     index_batch(rows, step, f"{root}/{LOG}", embed, known=known)
 
 
-def compact(spark: SparkSession, root: str, buckets: int = BUCKETS) -> Snapshot:
+def compact(spark: SparkSession, root: str, buckets: int | None = None) -> Snapshot:
     """Bring rows and postings up to the end of the log; returns the new snapshot.
 
     Without new versions in the log nothing is written.  ``buckets`` counts
-    only for the first compaction.
+    only for the first compaction, which else takes as many as its rows need.
+    Rows of the log move once, to their buckets; rows that lie in a bucket
+    already are written from where they are read.
     """
-    old = open_store(spark, root, buckets)
+    old = open_store(spark, root, buckets or BUCKETS)
     log = stored_rows(spark, f"{root}/{LOG}")
     if log is None:
         return old
@@ -202,23 +212,27 @@ def compact(spark: SparkSession, root: str, buckets: int = BUCKETS) -> Snapshot:
     through = tail.agg(F.max(VERSION)).first()[0]
     if through is None:
         return old
-    newest = newest_versions(tail).withColumn("bucket", bucket_of(F.col("id"), old.buckets))
-    touched = {r.bucket for r in newest.select("bucket").distinct().collect()}
-    rows = newest.where(F.col("text_hash").isNotNull())
+    if old.number < 0 and buckets is None:
+        old = old._replace(buckets=_wanted_buckets(tail))
+    bucket = bucket_of(F.col("id"), old.buckets)
+    touched = {r.bucket for r in tail.select(bucket.alias("bucket")).distinct().collect()}
+    newest = newest_versions(tail).where(F.col("text_hash").isNotNull()).withColumn("bucket", bucket)
+    moved = _unpacked(_packed(newest).repartition("bucket")).select(*newest.columns)
+    rows = moved
     if old.folders(ROWS, touched):
-        kept = live_rows(spark, old, touched).join(newest.select("id"), "id", "left_anti")
-        rows = kept.unionByName(rows, allowMissingColumns=True)
+        kept = without_ids(live_rows(spark, old, touched), tail.select("id").distinct())
+        rows = kept.unionByName(moved, allowMissingColumns=True)
     number = old.number + 1
     folder = f"{root}/{ROWS}/generation={number}"
-    ordered = rows.repartition("bucket").sortWithinPartitions("bucket", "id")
-    ordered.write.mode("overwrite").partitionBy("bucket").parquet(folder)
+    ordered = rows.sortWithinPartitions("bucket", "id")
+    ordered.write.mode("overwrite").options(**PACKED).partitionBy("bucket").parquet(folder)
     # Reading it back with the log's columns works for a generation without rows, too.
     written = spark.read.schema(rows.schema).parquet(folder)
     length = F.sum("length") if "length" in rows.columns else F.lit(0)
     sizes = written.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"), length.alias("tokens")).collect()
     if "words" in rows.columns:
         target = f"{root}/{POSTINGS}/generation={number}"
-        blocks_of(written).write.mode("overwrite").partitionBy("bucket").parquet(target)
+        blocks_of(written).write.mode("overwrite").options(**PACKED).partitionBy("bucket").parquet(target)
     parts = dict(old.parts) | {b: (number, 0, 0) for b in touched}
     parts |= {s.bucket: (number, s.rows, s.tokens or 0) for s in sizes}
     entries = [(b, *p, through, old.buckets) for b, p in sorted(parts.items())]
@@ -229,27 +243,113 @@ def compact(spark: SparkSession, root: str, buckets: int = BUCKETS) -> Snapshot:
     return Snapshot(root, number, through, old.buckets, parts)
 
 
+def _wanted_buckets(tail: DataFrame) -> int:
+    tokens = F.sum("length") if "length" in tail.columns else F.lit(0)
+    size = tail.agg(F.count(F.lit(1)).alias("rows"), tokens.alias("tokens")).first()
+    return max(BUCKETS, -(-size.rows // BUCKET_ROWS), -(-(size.tokens or 0) // BUCKET_TOKENS))
+
+
+def _packed(rows: DataFrame) -> DataFrame:
+    """Words as two texts, a fifth of what an array of structs takes in a shuffle; tokens have no blanks."""
+    if "words" not in rows.columns:
+        return rows
+    words = F.col("words")
+    return rows.withColumns(
+        {
+            "_terms": F.when(words.isNotNull(), F.concat_ws(" ", words["term"])),
+            "_counts": F.when(words.isNotNull(), F.concat_ws(" ", words["tf"].cast("array<string>"))),
+        }
+    ).drop("words")
+
+
+def _unpacked(rows: DataFrame) -> DataFrame:
+    if "_terms" not in rows.columns:
+        return rows
+    kind = "array<struct<term:string,tf:int>>"
+    pairs = F.arrays_zip(F.split("_terms", " "), F.split("_counts", " ").cast("array<int>")).cast(kind)
+    none = F.array().cast(kind)
+    return rows.withColumn("words", F.when(F.col("_terms") == "", none).otherwise(pairs)).drop("_terms", "_counts")
+
+
 def blocks_of(rows: DataFrame) -> DataFrame:
     """Postings of (bucket, id, length, words) in blocks, ordered by term inside each bucket.
 
-    One shuffle by bucket serves numbering, grouping and order; a term's group
-    is at most its bucket.
+    Every task makes blocks of the rows it reads, so nothing is shuffled: a
+    term of a bucket that several tasks read has blocks of each of them.
     """
-    each = rows.repartition("bucket").select("bucket", "id", "length", F.inline("words"))
-    place = F.row_number().over(Window.partitionBy("bucket", "term").orderBy("id")) - 1
-    blocks = (
-        each.withColumn("block", F.floor(place / BLOCK).cast("int"))
-        .groupBy("bucket", "term", "block")
-        .agg(
-            F.count(F.lit(1)).alias("texts"),
-            F.max("tf").alias("most"),
-            F.min("length").alias("shortest"),
-            F.sort_array(F.collect_list(F.struct("id", "tf", "length"))).alias("postings"),
-        )
+    kind = rows.schema["id"].dataType.simpleString()
+    schema = (
+        "bucket int, term string, block int, texts long, most int, shortest long, "
+        f"postings array<struct<id:{kind},tf:int,length:long>>"
     )
+    # Lists cross to Python at a quarter of what rows of single words cost; a long text's list comes in pieces.
+    words, count = F.col("words"), F.size("words")
+    starts = F.sequence(F.lit(1), count, F.lit(LISTED_WORDS))
+    pieces = F.when(count <= LISTED_WORDS, F.array(words)).otherwise(
+        F.transform(starts, lambda i: F.slice(words, i, F.lit(LISTED_WORDS)))
+    )
+    rows = rows.where(count > 0)
+    listed = rows.select("bucket", "id", F.col("length").cast("long").alias("length"), F.explode(pieces).alias("w"))
+    each = listed.select("bucket", "id", "length", F.col("w.term").alias("terms"), F.col("w.tf").alias("counts"))
+    blocks = each.mapInArrow(_inverter(BLOCK, HELD, schema), schema)
     return blocks.sortWithinPartitions("bucket", "term", "block")
 
 
+def _inverter(
+    block: int, held: int, schema: str
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Groups postings by bucket and term, ``held`` of them at a time, in the order they come."""
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+    entry = arrow.field("postings").type.value_type
+
+    def inverted(table: pa.Table, first: int) -> pa.Table:
+        lists = table.column("terms").combine_chunks()
+        row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+        coded = lists.flatten().dictionary_encode()
+        term = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        bucket = table.column("bucket").to_numpy().astype(np.int64)[row]
+        key = bucket * max(1, len(coded.dictionary)) + term
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        sizes = np.diff(np.r_[starts, len(key)])
+        place = np.arange(len(key)) - np.repeat(starts, sizes)
+        at = np.flatnonzero(place % block == 0)
+        tf = table.column("counts").combine_chunks().flatten().to_numpy()[order]
+        length = table.column("length").to_numpy()[row[order]]
+        ids = table.column("id").combine_chunks().take(pa.array(row[order]))
+        entries = pa.StructArray.from_arrays([ids, pa.array(tf), pa.array(length)], fields=list(entry))
+        ends = np.r_[at, len(key)]
+        return pa.Table.from_arrays(
+            [
+                pa.array(bucket[order[at]].astype(np.int32)),
+                coded.dictionary.take(pa.array(term[order[at]])).cast(arrow.field("term").type),
+                pa.array((first + place[at] // block).astype(np.int32)),
+                pa.array(np.diff(ends)),
+                pa.array(np.maximum.reduceat(tf, at)),
+                pa.array(np.minimum.reduceat(length, at)),
+                pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), entries),
+            ],
+            schema=arrow,
+        )
+
+    def invert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        count = first = 0
+        for batch in batches:
+            waiting.append(batch)
+            count += len(batch.column("terms").flatten())
+            if count >= held:
+                yield from inverted(pa.Table.from_batches(waiting), first).to_batches(2_000)
+                # A term has at most so many blocks of what was held: numbers do not come twice in a task.
+                first += -(-count // block)
+                waiting, count = [], 0
+        if count:
+            yield from inverted(pa.Table.from_batches(waiting), first).to_batches(2_000)
+
+    return invert
+
+
 # --- keyword search ------------------------------------------------------------------
 
 

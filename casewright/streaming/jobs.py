@@ -29,6 +29,8 @@ from casewright.operators.sessions import BUCKETS
 STREAM = "stream"
 BATCH = "batch"
 VERSION = "version"
+# So many ids at most are broadcast; above, rows and ids meet in a shuffle.
+FEW_IDS = 2_000_000
 
 
 class Step(NamedTuple):
@@ -66,6 +68,7 @@ def write_batch(df: DataFrame, step: Step, path: str, by: tuple[str, ...] = ())
         df.withColumns({STREAM: F.lit(step.stream), BATCH: F.lit(step.batch)})
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "zstd")
         .partitionBy(*by, STREAM, BATCH)
         .parquet(path)
     )
@@ -150,11 +153,37 @@ def explode_page_elements(pages: DataFrame) -> DataFrame:
     )
 
 
+def _few(ids: DataFrame) -> tuple[DataFrame, int]:
+    """Different ids as ``_id``, to be broadcast if they are few, and their number (or one more than few)."""
+    n = ids.limit(FEW_IDS + 1).count()
+    named = ids.select(F.col("id").alias("_id"))
+    return (F.broadcast(named) if n <= FEW_IDS else named), n
+
+
+def without_ids(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows whose id is not among different ids; rows without an id stay."""
+    named, n = _few(ids)
+    return rows.join(named, F.col("id") == F.col("_id"), "left_anti") if n else rows
+
+
+def _greatest_per_id(rows: DataFrame, values: list[str], place: Column) -> DataFrame:
+    """One row per id, the greatest by ``place``; only rows of ids that come repeatedly are moved.
+
+    A missing id is an id like any other.
+    """
+    repeated = rows.groupBy("id").count().where(F.col("count") > 1).select("id")
+    named, n = _few(repeated)
+    if not n:
+        return rows.select("id", *values)
+    same = F.col("id").eqNullSafe(F.col("_id"))
+    several = rows.join(named, same, "left_semi").groupBy("id").agg(F.max_by(F.struct(*values), place).alias("_v"))
+    return rows.join(named, same, "left_anti").select("id", *values).unionByName(several.select("id", "_v.*"))
+
+
 def newest_per_id(rows: DataFrame, order: str | None) -> DataFrame:
     """One row per id: the greatest in ``order``, of equals that of the greatest text hash."""
     place = F.struct(*[F.col(c) for c in ([order] if order else [])], "text_hash")
-    values = [c for c in rows.columns if c != "id"]
-    return rows.groupBy("id").agg(F.max_by(F.struct(*values), place).alias("_v")).select("id", "_v.*")
+    return _greatest_per_id(rows, [c for c in rows.columns if c != "id"], place)
 
 
 def sync_index(
@@ -198,7 +227,11 @@ def index_batch(
                 df.select("id").distinct(), "id", "left_semi"
             )
             current = newest_versions(mine)
-        latest = latest.join(current.select("id", "text_hash"), ["id", "text_hash"], "left_anti")
+        # Keys and hashes meet, and the texts of the new and changed are looked up by id.
+        keys = latest.select("id", "text_hash")
+        changed, n = _few(keys.join(current.select("id", "text_hash"), ["id", "text_hash"], "left_anti"))
+        same = F.col("id").eqNullSafe(F.col("_id"))
+        latest = latest.join(changed, same, "left_semi") if n else latest.limit(0)
     write_batch(embed(latest).withColumn(VERSION, F.lit(next_version(stored)).cast("long")), step, path)
 
 
@@ -211,7 +244,7 @@ def next_version(stored: DataFrame | None) -> int:
 def newest_versions(rows: DataFrame) -> DataFrame:
     """The row of the highest version of every id; a deletion is a row without a text hash."""
     values = [c for c in rows.columns if c not in ("id", STREAM, BATCH)]
-    return rows.groupBy("id").agg(F.max_by(F.struct(*values), VERSION).alias("_v")).select("id", "_v.*")
+    return _greatest_per_id(rows, values, F.col(VERSION))
 
 
 def delete_missing(source: DataFrame, path: str, live: DataFrame | None = None) -> int:

@@ -187,3 +187,39 @@ def test_a_repeated_step_loses_nothing(spark, tmp_path):
     assert sorted((r.id, r.version) for r in log.collect()) == [("a", 0), ("b", 0), ("b", 1), ("c", 1)]
     snapshot = index_store.compact(spark, root)
     assert {r.id for r in index_store.live_rows(spark, snapshot).collect()} == {"a", "b", "c"}
+
+
+def test_a_compaction_moves_words_once_and_makes_blocks_where_rows_are(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(index_store, "BUCKET_ROWS", 10)
+    monkeypatch.setattr(index_store, "HELD", 50)
+    monkeypatch.setattr(index_store, "LISTED_WORDS", 3)
+    monkeypatch.setattr(index_store, "BLOCK", 4)
+    root = str(tmp_path)
+    rows = texts(random.Random(3), 300) + [(900, None), (901, ""), (902, "a b c d e f g h i a")]
+    df = put(spark, root, 0, rows)
+    snapshot = index_store.compact(spark, root)
+    # The number of buckets follows the rows.
+    assert snapshot.buckets == 31
+    live = index_store.live_rows(spark, snapshot)
+    assert "Exchange" not in index_store.blocks_of(live)._jdf.queryExecution().executedPlan().toString()
+    got = index_store._read(spark, snapshot, index_store.POSTINGS).select("term", "bucket", "texts", F.inline("postings"))
+    postings = sorted((r.term, r.id, r.tf, r.length) for r in got.collect())
+    lengths = {r.id: re.findall("[a-z0-9]+", (r.text or "").lower()) for r in df.collect()}
+    assert postings == sorted((w, i, ws.count(w), len(ws)) for i, ws in lengths.items() for w in set(ws))
+    queries = spark.createDataFrame([(1, "the m1 r5"), (2, "i a")], "query_id int, text string")
+    assert found(index_store.keyword_search(spark, snapshot, queries, 5)) == found(search.keyword_search(df, queries, 5))
+
+
+@pytest.mark.parametrize("few", [0, 100])
+def test_newest_rows_move_repeated_ids_alone(spark, monkeypatch, few):
+    monkeypatch.setattr(jobs, "FEW_IDS", few)
+    once = spark.createDataFrame([(i, f"t{i}", i, 0) for i in range(9)], "id long, text string, text_hash long, version long")
+    moved = [x for x in jobs.newest_versions(once)._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange" in x]
+    assert not moved
+    more = once.unionByName(once.where("id < 3").withColumns({"version": F.lit(7).cast("long"), "text": F.lit("new")}))
+    more = more.unionByName(spark.createDataFrame([(None, "n", 1, v) for v in (1, 4)], more.schema))
+    got = sorted(((r.id, r.text, r.version) for r in jobs.newest_versions(more).collect()), key=str)
+    want = [(i, "new", 7) if i < 3 else (i, f"t{i}", 0) for i in range(9)] + [(None, "n", 4)]
+    assert got == sorted(want, key=str)
+    kept = jobs.without_ids(more.select("id"), spark.createDataFrame([(1,), (None,)], "id long"))
+    assert sorted((r.id for r in kept.collect()), key=str) == sorted([0, 0, 2, 2, *range(3, 9), None, None], key=str)
