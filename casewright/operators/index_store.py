@@ -59,7 +59,7 @@ BUCKETS = 16
 BUCKET_ROWS, BUCKET_TOKENS = 100_000, 50_000_000
 # Texts per block of postings, and postings that a task holds at a time to make blocks of.
 BLOCK = 128
-HELD = 4_000_000
+HELD = 2_000_000
 # Words of a text that cross to Python in one row.
 LISTED_WORDS = 1_024
 # The stored tables are compressed more than by default: they are written once and read in parts.

@@ -25,6 +25,7 @@ from casewright.functions.text import built_once
 from casewright.operators.logs import windowed_activity
 from casewright.operators.merge import text_hash
 from casewright.operators.sessions import BUCKETS
+from casewright.sources.tables import spread
 
 STREAM = "stream"
 BATCH = "batch"
@@ -194,9 +195,12 @@ def sync_index(
     order: str | None = None,
     known: Known | None = None,
 ) -> StreamingQuery:
-    """Embed new and changed chunks of a stream only, see :func:`index_batch`."""
+    """Embed new and changed chunks of a stream only, see :func:`index_batch`.
+
+    A batch of a few large splits is spread: embedding moves no rows by itself.
+    """
     return run_available(
-        chunks, checkpoint, lambda df, step: index_batch(df, step, path, embed, order, known)
+        chunks, checkpoint, lambda df, step: index_batch(spread(df, "id"), step, path, embed, order, known)
     )
 
 
