@@ -1,16 +1,16 @@
 """The case pipeline on a stream of file listings.
 
-Keyed state remembers the paths of every case, so a case whose files come
-over several runs, in any order and however late, is taken up in the run in
-which it becomes complete; a file that arrives for a complete case, such as a
-royalty agreement, takes the case up again with all its documents.  The state
-holds paths only; documents are read when their case is taken up.
+Keyed state, by buckets of cases, remembers the paths of every case, so a case
+whose files come over several runs, in any order and however late, is taken up
+in the run in which it becomes complete; a file that arrives for a complete
+case, such as a royalty agreement, takes the case up again with all its
+documents.  The state holds paths only; documents are read when their case is
+taken up.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from typing import Any
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -25,8 +25,10 @@ from casewright.sources.tables import RUN
 from casewright.streaming.jobs import VERSION, Step, newest_versions, next_version, run_available, stored_rows, write_batch
 
 EVENTS = "events"
-_PATHS = ", ".join(f"{c} string" for c in PATH_COLUMNS)
-_EVENT = f"id string, {_PATHS}, complete boolean"
+# The state is kept by buckets of cases: a call into Python for each case costs more than all else.
+STATE_BUCKETS = 1_024
+_EVENT = f"id string, {', '.join(f'{c} string' for c in PATH_COLUMNS)}, complete boolean"
+_STATE = ", ".join(f"{c} array<string>" for c in ("id", *PATH_COLUMNS))
 
 
 def role_paths(files: DataFrame) -> DataFrame:
@@ -39,24 +41,31 @@ def role_paths(files: DataFrame) -> DataFrame:
     ).where(F.col("id").isNotNull())
 
 
-def follow_case(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """What a case has after its new files, if that is more than before.
+def follow_cases(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """What the cases of a bucket have after their new files, of those that have more than before.
 
     Of several files of a role the greatest path counts, as in a listing of
     all files at once.
     """
-    before: list[Any] | None = list(state.get) if state.exists else None
-    now = list(before) if before else [None] * len(PATH_COLUMNS)
+    known: dict[str, list[str | None]] = {}
+    if state.exists:
+        known = {id_: list(found) for id_, *found in zip(*state.get)}
+    news: dict[str, list[str | None]] = {}
     for frame in frames:
-        for i, c in enumerate(PATH_COLUMNS):
-            new = frame[c].dropna()
-            if len(new):
-                now[i] = max(x for x in (now[i], new.max()) if x is not None)
-    if now == before:
+        for id_, *found in zip(*(frame[c].tolist() for c in ("id", *PATH_COLUMNS))):
+            now = known.get(id_)
+            if now is None:
+                now = news[id_] = known[id_] = [None] * len(PATH_COLUMNS)
+            for i, path in enumerate(found):
+                if isinstance(path, str) and (now[i] is None or path > now[i]):
+                    now[i] = path
+                    news[id_] = now
+    if not news:
         return
-    state.update(tuple(now))
-    complete = now[0] is not None and now[1] is not None
-    yield pd.DataFrame([[key[0], *now, complete]], columns=["id", *PATH_COLUMNS, "complete"])
+    state.update((list(known), *map(list, zip(*known.values()))))
+    events = pd.DataFrame(list(news.values()), index=list(news), columns=list(PATH_COLUMNS), dtype=object)
+    events.insert(0, "id", list(news))
+    yield events.assign(complete=events[PATH_COLUMNS[0]].notna() & events[PATH_COLUMNS[1]].notna())
 
 
 def stream_cases(
@@ -84,8 +93,9 @@ def stream_cases(
 
     events = (
         role_paths(files)
-        .groupBy("id")
-        .applyInPandasWithState(follow_case, _EVENT, _PATHS, "append", GroupStateTimeout.NoTimeout)
+        .withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(STATE_BUCKETS)))
+        .groupBy("bucket")
+        .applyInPandasWithState(follow_cases, _EVENT, _STATE, "append", GroupStateTimeout.NoTimeout)
     )
     return run_available(events, checkpoint, sink)
 

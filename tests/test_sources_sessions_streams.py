@@ -5,6 +5,7 @@ import json
 import os
 import shutil
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -312,6 +313,33 @@ def test_cases_are_held_until_complete(spark, tmp_path):
     assert {r.id for r in case_stream.waiting_cases(spark, root).collect()} == {"case_2"}
 
 
+def test_one_call_follows_all_cases_of_a_bucket():
+    """News are new cases and greater paths; the state of a bucket is what all its cases have."""
+
+    class State:
+        exists, get = False, None
+
+        def update(self, value):
+            self.exists, self.get = True, value
+
+    def follow(*files):
+        frame = pd.DataFrame(files, columns=["id", *case_stream.PATH_COLUMNS], dtype=object)
+        out = list(case_stream.follow_cases((0,), iter([frame[:2], frame[2:]]), state))
+        return [tuple(r) for f in out for r in f.itertuples(index=False)]
+
+    state = State()
+    assert follow(("a", "i1", None, None), ("b", None, None, None), ("a", None, "d1", None)) == [
+        ("a", "i1", "d1", None, True),
+        ("b", None, None, None, False),
+    ]
+    assert follow(("a", "i0", None, None), ("b", None, None, None), ("a", None, "d1", None)) == []
+    assert follow(("b", "i1", None, None), ("b", "i0", None, None), ("c", None, None, "r1")) == [
+        ("b", "i1", None, None, False),
+        ("c", None, None, "r1", False),
+    ]
+    assert state.get == (["a", "b", "c"], ["i1", "i1", None], ["d1", None, None], [None, None, "r1"])
+
+
 def test_table_stream_reads_a_file_and_a_folder_of_files(spark, tmp_path):
     spark.range(5).write.parquet(f"{tmp_path}/whole/a.parquet")
     spark.range(3).write.parquet(f"{tmp_path}/whole/b.parquet")
