@@ -212,3 +212,20 @@ def test_batch_reads_documents_once(spark, tmp_path):
     assert sorted(map(tuple, stored.collect()), key=str) == sorted(
         map(tuple, cases.enriched_chunks(parsed, none).collect()), key=str
     )
+
+
+def test_a_run_takes_up_every_listed_path_once(spark, tmp_path):
+    """Ready and waiting cases come from one pass over the listing; a path listed twice changes nothing."""
+    names = ["case_1/invoice_1.pdf", "case_1/declaration_1.pdf", "case_2/invoice_2.pdf", "case_2/invoice_2.pdf"]
+    seen = spark.sparkContext.accumulator(0)
+
+    def met(name):
+        seen.add(1)
+        return f"/cases/{name}"
+
+    listed = spark.createDataFrame([(n,) for n in names], "name string")
+    files = listed.select(F.udf(met, "string").asNondeterministic()("name").alias("path"))
+    ready, waiting = batch.take_up_files(files, str(tmp_path), 1)
+    assert [r.id for r in ready.collect()] == ["case_1"]
+    assert [(r.id, r.invoice_path) for r in waiting.collect()] == [("case_2", "/cases/case_2/invoice_2.pdf")]
+    assert seen.value == len(names)

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import html as pyhtml
 import json
+import re
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -206,3 +207,22 @@ def test_translation_outcome(evaluate):
     expected = json.loads(original)
     expected["document"]["elements"][0]["content"] = "hello"
     assert json.loads(got[4]["content"]) == expected  # every other field is untouched
+
+
+def test_rows_and_cells_end_at_the_first_closing_tag(evaluate):
+    texts = [
+        "<TR a='1'><td>x<b>y</b></TD><th >z</th></tR><tr></tr>", "<tr><td>open<tr>more</td></tr> <tr>no end",
+        "<tr>" + "<" * 20_000 + "</tr>", "<track>no</track><tr\n><td>a\n</td>b</tr>", "</tr><tr></td></tr>", "<tr", "",
+    ]
+    for made, name in ((html.raw_rows, "tr"), (html.raw_cells, "t[dh]")):
+        lazy = re.compile(rf"<{name}\b[^>]*>(.*?)</{name}>", re.I | re.S)
+        assert evaluate(made(C), c=texts) == [lazy.findall(t) for t in texts]
+
+
+def test_blanks_around_a_table_do_not_count(evaluate):
+    def read(content):
+        return document({"type": "table", "content": "<table><tr><td>1</td></tr></table>"}, {"type": "table", "content": content})
+
+    cells = html.table_cells(el.last_table(el.document_elements(C)))
+    texts = [read(t) for t in ("\u3000\x1c <tr><td>2</td></tr>\n", " \u2028\x1f\u00a0", "")]
+    assert evaluate(cells, c=texts) == [[["2"]], [["1"]], [["1"]]]

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+from casewright.functions.text import tokens
 from casewright.operators import index_store, search
 from casewright.streaming import jobs
 
@@ -223,3 +225,19 @@ def test_newest_rows_move_repeated_ids_alone(spark, monkeypatch, few):
     assert got == sorted(want, key=str)
     kept = jobs.without_ids(more.select("id"), spark.createDataFrame([(1,), (None,)], "id long"))
     assert sorted((r.id for r in kept.collect()), key=str) == sorted([0, 0, 2, 2, *range(3, 9), None, None], key=str)
+
+
+def test_term_counts_of_plain_and_other_texts(spark):
+    """Texts cut where they are counted have the tokens that the others have."""
+    texts = ["Hello, hello w0rld_x", None, "", "abc", "def GHI abc", "Ünïcode straße A1 İ K", "  ..  ", "x", "É", "a-b\x00c"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string").coalesce(1)
+    got = df.select("id", index_store.term_counts(F.col("text")).alias("w"), tokens(F.col("text")).alias("t")).collect()
+    for r in got:
+        assert sorted((w.term, w.tf) for w in r.w) == sorted(Counter(r.t or []).items())
+
+
+def test_plain_texts_cross_to_python_without_their_tokens(spark):
+    """Only texts with other characters are cut in the JVM, and no list is null, which Arrow is slow to write."""
+    plan = spark.createDataFrame([("a b",)], "text string").select(index_store.term_counts(F.col("text")))
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "octet_length" in text and "ELSE []" in text
