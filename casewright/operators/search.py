@@ -5,7 +5,7 @@ becomes a row of a DataFrame.  Each task scores Arrow batches of its part of
 the corpus against a block of queries as matrix products and keeps the best
 ``k`` per query; only those are shuffled.  Blocks of queries have a bounded
 size and travel to the tasks one after the other, and the corpus is not moved
-at all.  Approximate search joins hash codes and scores only what shares one.
+at all.  Approximate search keeps only what shares a hash code with the query.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from pyspark.sql.types import DataType
 from casewright.functions.text import tokens
 from casewright.operators.ranking import top_k
 from casewright.session import shared_folder
+from casewright.sources.tables import spread
 
 # Queries sent to the tasks at once, in bytes.
 QUERY_BYTES = 32 << 20
@@ -345,25 +346,151 @@ def similarity_column(a: Column, b: Column, metric: str) -> Column:
 
 
 def approximate_search(
-    corpus: DataFrame, queries: DataFrame, k: int = 5, metric: str = "cosine"
+    corpus: DataFrame, queries: DataFrame, k: int = 5, metric: str = "cosine", query_bytes: int = QUERY_BYTES
 ) -> DataFrame:
     """Best ``k`` rows per query among those that share a bucket with it.
 
     ``corpus`` has id, vector and codes, ``queries`` query_id, vector and
-    codes, see :func:`casewright.functions.embedding.plane_codes`.  Vectors
-    are read only for the pairs of :func:`candidate_pairs`.
+    codes, see :func:`casewright.functions.embedding.plane_codes`.  The pairs
+    are those of :func:`candidate_pairs`, but none becomes a row: vectors and
+    codes of an id are brought together once, and each task scores its rows
+    against the queries, counts only those whose codes meet (a bit per row),
+    and keeps the best ``k`` of every query.  A vector that is missing, has a
+    missing number or another length than the first query's has cosine 0, and
+    no score by the other metrics, which ranks last.
     """
-    scored = (
-        candidate_pairs(corpus, queries)
-        .join(corpus.select("id", "vector"), "id")
-        .join(queries.select("query_id", F.col("vector").alias("_asked")), "query_id")
-        .select(
-            "query_id",
-            "id",
-            F.round(similarity_column(F.col("vector"), F.col("_asked"), metric), SCORE_DIGITS).alias("score"),
-        )
+    similarity_column(F.col("vector"), F.col("vector"), metric)
+    spark = corpus.sparkSession
+    folder = shared_folder(spark, "buckets")
+    for side, name in ((corpus, "id"), (queries, "query_id")):
+        known = side.where(F.col(name).isNotNull()).groupBy(name)
+        met = known.agg(F.collect_list(F.struct("vector")).alias("vectors"), F.collect_set("codes").alias("codes"))
+        met.where(F.size("codes") > 0).write.parquet(f"{folder}/{name}")
+    rows = spread(spark.read.parquet(f"{folder}/id"), "id")
+    asked = spark.read.parquet(f"{folder}/query_id")
+    kind, id_kind = queries.schema["query_id"].dataType, corpus.schema["id"].dataType
+    schema = pa.schema([("query_id", to_arrow_type(kind)), ("id", to_arrow_type(id_kind)), ("score", pa.float64())])
+
+    def scan(columns: dict[str, list]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            groups = []
+            dims = next((len(v.vector) for vs in columns["vectors"] for v in vs if v.vector is not None), 0)
+            for at in range(0, len(columns["query_id"]), SCORED_QUERIES):
+                some = {n: v[at : at + SCORED_QUERIES] for n, v in columns.items()}
+                groups.append(_Asked(some, dims, k, metric))
+            for batch in batches:
+                for at in range(0, batch.num_rows, _BIT_ROWS):
+                    part = batch.slice(at, _BIT_ROWS)
+                    lists = part.column("vectors")
+                    row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+                    vectors = lists.flatten().field("vector")
+                    ids = part.column("id").to_numpy(zero_copy_only=False)[row]
+                    for group in groups:
+                        met = group.met(part.column("codes"), part.num_rows)
+                        for first in range(0, len(row), _BIT_ROWS):
+                            some = slice(first, first + _BIT_ROWS)
+                            group.add(ids[some], vectors[some], met[:, row[some]])
+            for group in groups:
+                yield group.rows(schema)
+
+        return run
+
+    out = f"query_id {kind.simpleString()}, id {id_kind.simpleString()}, score double"
+    partial = spark.createDataFrame([], out)
+    # A Python float in a list takes 32 bytes.
+    blocks = _blocks(
+        asked,
+        lambda r: 64 + sum(32 * len(v.vector or ()) for v in r["vectors"]) + sum(64 + 16 * len(c) for c in r["codes"]),
+        query_bytes,
     )
-    return top_k(scored, ["query_id"], [F.desc("score"), F.col("id")], k)
+    for columns in blocks:
+        partial = partial.unionByName(rows.mapInArrow(scan(columns), out))
+    return top_k(partial, ["query_id"], [F.desc("score"), F.col("id")], k)
+
+
+def _known_vectors(vectors: pa.Array, dims: int) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors of ``dims`` numbers as a matrix, with zeros for all others, and which they are."""
+    lengths = np.nan_to_num(vectors.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+    flat = vectors.flatten()
+    ends = np.r_[0, np.cumsum(lengths)]
+    missing = np.r_[0, np.cumsum(flat.is_null().to_numpy(zero_copy_only=False))]
+    known = (lengths == dims) & vectors.is_valid().to_numpy(zero_copy_only=False)
+    known &= missing[ends[1:]] == missing[ends[:-1]]
+    numbers = flat.to_numpy(zero_copy_only=False).astype(np.float64)
+    out = np.zeros((len(vectors), dims))
+    if dims:
+        out[known] = numbers[ends[:-1][known][:, None] + np.arange(dims)]
+    return out, known
+
+
+class _Asked:
+    """Some queries of :func:`approximate_search` and the best rows met so far; ties go to the lower id."""
+
+    def __init__(self, columns: dict[str, list], dims: int, k: int, metric: str) -> None:
+        self.k, self.dims, self.metric, self.ids = k, dims, metric, columns["query_id"]
+        # A row per vector and per code list: most queries have one of each.
+        vectors = [v.vector for vs in columns["vectors"] for v in vs]
+        self.of_vector = np.repeat(np.arange(len(self.ids)), [len(vs) for vs in columns["vectors"]])
+        self.vectors, self.known = _known_vectors(pa.array(vectors, pa.list_(pa.float64())), dims)
+        self.of_code = np.repeat(np.arange(len(self.ids)), [len(cs) for cs in columns["codes"]])
+        self.codes = np.array([c for cs in columns["codes"] for c in cs], np.int64)
+        self.floor = np.full(len(self.ids), -np.inf)
+        self.best: list[tuple[np.ndarray, np.ndarray, np.ndarray] | None] = [None] * len(self.ids)
+
+    def met(self, lists: pa.Array, n: int) -> np.ndarray:
+        """Queries x rows: whether a code list of the row shares a code with one of the query, table by table."""
+        bits = np.zeros((len(self.ids), -(-n // 8)), np.uint8)
+        for at in range(0, len(self.codes), SCORED_QUERIES):
+            mine = self.of_code[at : at + SCORED_QUERIES]
+            starts = np.flatnonzero(np.diff(mine, prepend=-1))
+            some = _bits_met(lists, self.codes[at : at + SCORED_QUERIES])
+            bits[mine[starts]] |= np.bitwise_or.reduceat(some, starts, axis=0)
+        return np.unpackbits(bits, axis=1, count=n).astype(bool)
+
+    def _scores(self, rows: np.ndarray) -> np.ndarray:
+        with np.errstate(all="ignore"):
+            if self.metric == "l2":
+                return -np.stack([np.linalg.norm(rows - q, axis=1) for q in self.vectors])
+            dots = self.vectors @ rows.T
+            if self.metric == "dot":
+                return dots
+            length = np.linalg.norm(self.vectors, axis=1)[:, None] * np.linalg.norm(rows, axis=1)
+            return np.divide(dots, length, out=np.zeros_like(dots), where=length != 0)
+
+    def add(self, ids: np.ndarray, vectors: pa.Array, met: np.ndarray) -> None:
+        rows, known = _known_vectors(vectors, self.dims)
+        scores = np.round(self._scores(rows), SCORE_DIGITS) + 0.0
+        both = self.known[:, None] & known
+        if self.metric == "cosine":
+            scores[~both] = 0.0
+            both[:] = True
+        # The order of Spark: not a number is greatest, no score is least.
+        order = np.where(both, np.where(np.isnan(scores), np.inf, scores), -np.inf)
+        wanted = met[self.of_vector] & (order >= self.floor[self.of_vector][:, None])
+        for v in np.flatnonzero(wanted.any(1)):
+            q, at = self.of_vector[v], np.flatnonzero(wanted[v])
+            if len(at) > self.k:
+                edge = np.partition(order[v, at], len(at) - self.k)[len(at) - self.k]
+                at = at[order[v, at] >= edge]
+            found = (ids[at], scores[v, at], both[v, at])
+            if self.best[q] is not None:
+                found = tuple(np.concatenate(x) for x in zip(self.best[q], found))
+            place = np.where(found[2], np.where(np.isnan(found[1]), np.inf, found[1]), -np.inf)
+            first = np.lexsort((found[0], ~np.isnan(found[1]), -place, ~found[2]))[: self.k]
+            self.best[q] = tuple(x[first] for x in found)
+            if len(first) == self.k:
+                self.floor[q] = place[first[-1]]
+
+    def rows(self, schema: pa.Schema) -> pa.RecordBatch:
+        found = [(q, *b) for q, b in zip(self.ids, self.best) if b is not None]
+        scores = np.concatenate([np.zeros(0), *(s for _, _, s, _ in found)])
+        missing = ~np.concatenate([np.zeros(0, bool), *(known for _, _, _, known in found)])
+        columns = [
+            pa.array([q for q, ids, _, _ in found for _ in ids], schema.field(0).type),
+            pa.array([x for _, ids, _, _ in found for x in ids.tolist()], schema.field(1).type),
+            pa.array(scores, pa.float64(), mask=missing),
+        ]
+        return pa.record_batch(columns, schema=schema)
 
 
 def label_centroids(vectors: DataFrame, label: str = "label") -> DataFrame:

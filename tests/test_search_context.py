@@ -506,3 +506,25 @@ def test_keyword_search_of_a_long_text_among_many(spark):
     average = (long + others - 1) / others
     expected = weight * long / (long + 1.2 * 0.25 + 1.2 * 0.75 * long / average)
     assert hit.id == 0 and hit.score == pytest.approx(expected)
+
+
+@pytest.mark.parametrize("metric", ["cosine", "dot", "l2"])
+def test_approximate_search_ranks_the_pairs_without_making_them(spark, metric):
+    """The hits are those of scored pairs, with ids that come twice, odd vectors and ids that are null."""
+    rng = np.random.default_rng(5)
+    odd = [None, [1.0, None, 2.0], [float("nan"), 1.0, 0.0], [0.0, 0.0, 0.0]]
+    data = [(i % 60, rng.integers(-3, 4, 3).astype(float).tolist(), rng.integers(0, 5, 3).tolist()) for i in range(80)]
+    data += [(70 + i, v, [1, 2, 3]) for i, v in enumerate(odd)] + [(None, [1.0, 1.0, 1.0], [0, 0, 0]), (90, [1.0, 0.0, 0.0], None)]
+    corpus = spark.createDataFrame(data, "id long, vector array<float>, codes array<int>")
+    queries = corpus.where("id % 3 = 0 OR id IS NULL").withColumnRenamed("id", "query_id")
+    pairs = search.candidate_pairs(corpus, queries).join(corpus, "id")
+    pairs = pairs.join(queries.select("query_id", F.col("vector").alias("asked")), "query_id")
+    score = F.round(search.similarity_column(F.col("vector"), F.col("asked"), metric), search.SCORE_DIGITS)
+    want = search.top_k(pairs.select("query_id", "id", score.alias("score")), ["query_id"], [F.desc("score"), F.col("id")], 12)
+    for size in (search.QUERY_BYTES, 500):
+        got = search.approximate_search(corpus, queries, 12, metric, size)
+        shown = [sorted(map(str, rows(x, "query_id", "id", "rank", "score"))) for x in (got, want)]
+        assert shown[0] == shown[1]
+    # No pair of a query and a row is joined.
+    plan = search.approximate_search(corpus, queries, 12, metric)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
