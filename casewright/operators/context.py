@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from casewright.functions.text import excerpt, sentences, strip, token_estimate, tokens
 from casewright.operators.ranking import top_k
-from casewright.operators.search import token_jaccard
+from casewright.operators.search import HIT_BYTES, token_jaccard
 from casewright.session import shared_folder
 
 
@@ -226,35 +226,62 @@ def join_hot(
     )
 
 
-def extractive_summary(corpus: DataFrame, keep: int = 2) -> DataFrame:
+def extractive_summary(corpus: DataFrame, keep: int = 2, hot_bytes: int = HIT_BYTES) -> DataFrame:
     """The ``keep`` sentences per text with the highest mean IDF, in text order.
 
     ``corpus`` has id and text.  Returns id, sentence_no (from 1), sentence and
     score.  Sentences without a token are never chosen.
+
+    The weights of the most frequent terms, ``hot_bytes`` of them at most, are
+    sent to the words, which are summed up per sentence where they are.  Only
+    words of the rarer terms, if there are any, are shuffled.
     """
+    spark = corpus.sparkSession
     split = corpus.select("id", F.posexplode(sentences(F.col("text"))).alias("p", "sentence"))
     split = split.select("id", (F.col("p") + 1).alias("sentence_no"), strip(F.col("sentence")).alias("sentence"))
     words = split.select("id", "sentence_no", F.explode(tokens(F.col("sentence"))).alias("term"))
-    counts = words.groupBy("id", "sentence_no", "term").agg(F.count(F.lit(1)).alias("tf"))
     n = corpus.agg(F.count(F.lit(1))).scalar()
     frequency = (
         corpus.select(F.explode(F.array_distinct(tokens(F.col("text")))).alias("term"))
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"))
         .withColumn("idf", F.log(n / F.col("df")))
-        .withColumn("hot", F.col("df") * 50 >= n)
-    )
-    # The document frequencies add up to N times the mean number of distinct
-    # words per text, so at most 50 times that mean can reach a share of 1/50:
-    # the broadcast does not grow with the corpus.
-    weighted = join_hot(
-        counts, frequency, "term", F.col("hot"), F.xxhash64("id", "sentence_no")
-    )
-    scores = weighted.groupBy("id", "sentence_no").agg(
-        F.round(F.sum(F.col("tf") * F.col("idf")) / F.sum("tf"), 9).alias("score")
     )
+    folder = shared_folder(spark, "frequency")
+    frequency.write.parquet(folder)
+    frequency = spark.read.schema(frequency.schema).parquet(folder)
+    least, rarer = _least_hot(frequency, hot_bytes)
+    hot = F.broadcast(frequency.where(F.col("df") >= least).select("term", "idf"))
+    place, sums = ["id", "sentence_no"], (F.sum("idf").alias("idf"), F.count(F.lit(1)).alias("words"))
+    if rarer:
+        met = words.join(hot, "term", "left").withColumn("term", F.when(F.col("idf").isNull(), F.col("term")))
+        folder = shared_folder(spark, "sums")
+        met.groupBy(*place, "term").agg(*sums).write.parquet(folder)
+        stored = spark.read.parquet(folder)
+        rare = stored.drop("idf").join(frequency.where(F.col("df") < least).select("term", "idf"), "term")
+        rare = rare.select(*place, (F.col("words") * F.col("idf")).alias("idf"), "words")
+        weighed = stored.where(F.col("term").isNull()).select(*place, "idf", "words").unionByName(rare)
+        total = weighed.groupBy(*place).agg(F.sum("idf").alias("idf"), F.sum("words").alias("words"))
+    else:
+        total = words.join(hot, "term").groupBy(*place).agg(*sums)
+    scores = total.select(*place, F.round(F.col("idf") / F.col("words"), 9).alias("score"))
     best = top_k(scores, ["id"], [F.desc("score"), F.col("sentence_no")], keep).drop("rank")
-    return best.join(split, ["id", "sentence_no"]).select("id", "sentence_no", "sentence", "score")
+    return best.join(split, place).select("id", "sentence_no", "sentence", "score")
+
+
+def _least_hot(frequency: DataFrame, most: int) -> tuple[int, bool]:
+    """From which document frequency on terms take ``most`` bytes together, and whether there are others.
+
+    There are few different frequencies: as many as would need half the square of their number of words.
+    """
+    size = F.sum(F.octet_length("term") + F.lit(64)).alias("bytes")
+    held, least = 0, None
+    for r in frequency.groupBy("df").agg(size).orderBy(F.desc("df")).collect():
+        held += r.bytes
+        if held > most:
+            return (r.df + 1 if least is None else least), True
+        least = r.df
+    return least or 0, False
 
 
 # Terms are weighed by buckets of their digests, so that the weights are a table of fixed size.

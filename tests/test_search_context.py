@@ -310,6 +310,30 @@ def test_summary_picks_rare_sentences(spark):
     assert got == [(1, 2, "Zebra quagga!"), (2, 1, "The the.")]
 
 
+def test_summary_moves_no_word_of_a_frequent_term(spark):
+    """Whatever part of the weights is sent to the words, the sentences are those of brute force."""
+    rng = np.random.default_rng(4)
+    names = [f"w{i}" for i in range(60)]
+    texts = [" ".join(" ".join(rng.choice(names, rng.integers(0, 5))) + "." for _ in range(rng.integers(0, 5))) for _ in range(40)]
+    data = [(i // 2 if i < 6 else i, t) for i, t in enumerate(texts)] + [(90, None), (None, "w1 w2. w3")]
+    df = spark.createDataFrame(data, "id int, text string")
+    found = [set(re.findall("[a-z0-9]+", t or "")) for _, t in data]
+    idf = {w: math.log(len(data) / sum(w in f for f in found)) for f in found for w in f}
+    said = [(i, p, s.strip()) for i, t in data if t is not None for p, s in enumerate(re.split(r"(?<=[.!?])\s+", t), 1)]
+    mean = {}
+    for i, p, s in said:
+        mean.setdefault((i, p), []).extend(idf[w] for w in re.findall("[a-z0-9]+", s))
+    mean = {k: round(sum(v) / len(v), 9) for k, v in mean.items() if v}
+    best = {i: sorted((-v, p) for (j, p), v in mean.items() if j == i)[:2] for i, _ in mean}
+    want = sorted((i, p, s) for i, p, s in said if i is not None and p in [x for _, x in best.get(i, [])])
+    for size in (1 << 20, 1_000, 0):
+        got = context.extractive_summary(df, 2, size)
+        assert rows(got, "id", "sentence_no", "sentence") == want
+        assert all(r.score == pytest.approx(mean[r.id, r.sentence_no], abs=2e-9) for r in got.collect())
+    plan = context.extractive_summary(df)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\([^)]*(term|_key)", plan)
+
+
 def test_retrieval_metrics(spark):
     hits = spark.createDataFrame(
         [(1, 1, False), (1, 2, True), (1, 3, True), (2, 1, False)], "query_id int, rank int, relevant boolean"
